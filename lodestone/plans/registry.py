@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from lodestone.plans import search  # noqa: F401
+from lodestone.plans import answers, ingest, search, write  # noqa: F401
 from lodestone.plans.base import QUERIES, SQL  # noqa: F401
