@@ -57,7 +57,15 @@ def pair_score(metric: str, a: Column, b: Column) -> Column:
 
 def int8_codes(values: Column) -> Column:
     """``STRUCT<codes, scale>``: each row scaled by its largest magnitude to -127..127."""
-    peak = F.array_max(F.transform(values, lambda v: F.abs(v.cast("double"))))
-    safe = F.when(peak > 0, peak).otherwise(F.lit(1.0))
-    codes = F.transform(values, lambda v: F.floor(F.lit(127.0) * v.cast("double") / safe + 0.5).cast("tinyint"))
-    return F.struct(codes.alias("codes"), (safe / 127.0).alias("scale"))
+
+    @F.arrow_udf("struct<codes:array<tinyint>,scale:double>")
+    def encode(batch: pa.Array) -> pa.Array:
+        if len(batch) == 0:
+            return pa.array([], pa.struct([("codes", pa.list_(pa.int8())), ("scale", pa.float64())]))
+        rows = to_matrix(batch, len(batch[0]))
+        peak = np.abs(rows).max(1)
+        peak = np.where(peak > 0, peak, 1.0)
+        codes = np.floor(127.0 * rows / peak[:, None] + 0.5).astype(np.int8)
+        return pa.StructArray.from_arrays([to_lists(codes, pa.int8()), pa.array(peak / 127.0)], ["codes", "scale"])
+
+    return encode.asNondeterministic()(values)

@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from lodestone.functions.vectors import int8_codes, pair_score, to_matrix
 from lodestone.operators.dense import (
     BLOCK_CELLS,
-    BLOCK_QUERIES,
-    BLOCK_ROWS,
     DEFAULT_TOP_K,
+    block_shape,
     grid_scan,
     vector_search,
 )
-from lodestone.operators.topk import rank_hits
+from lodestone.operators.topk import rank_hits, with_rows
+from lodestone.session import cut_lineage
 
 MAX_CENTROIDS = 65_536
 SAMPLE_PER_CELL = 256
@@ -54,10 +54,13 @@ def train_centroids(vectors: DataFrame, cells: int | None = None, seed: int = 7)
     return spark.createDataFrame(rows_out, "cell int, centroid array<double>")
 
 
-def mean_centroids(vectors: DataFrame, by: str, dim: int) -> DataFrame:
+def mean_centroids(vectors: DataFrame, by: str) -> DataFrame:
     """Centroids ``cell, centroid`` as the mean vector of each value of ``by``, to 6 decimals."""
-    means = [F.round(F.avg(F.col("values")[i].cast("double")), 6) for i in range(dim)]
-    return vectors.groupBy(F.col(by).cast("int").alias("cell")).agg(F.array(*means).alias("centroid"))
+    cells = vectors.select(F.col(by).cast("int").alias("cell"), F.posexplode_outer("values").alias("i", "x"))
+    means = cells.where(F.col("i").isNotNull()).groupBy("cell", "i")
+    means = means.agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
+    return means.groupBy("cell").agg(F.transform(ordered, lambda p: p["x"]).alias("centroid"))
 
 
 def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +89,7 @@ def nearest_cell(values: Column, centroids: DataFrame) -> Column:
             best.append(np.argmax(np.floor((part @ unit.T) * 1e6 + 0.5), axis=1))
         return pa.array(cells[np.concatenate(best)])
 
-    return assign(values)
+    return assign.asNondeterministic()(values)
 
 
 def ann_build(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -117,31 +120,32 @@ def ann_search(
     k: int = DEFAULT_TOP_K,
     nprobe: int = 0,
     metric: str = "cosine",
-    block_rows: int = BLOCK_ROWS,
-    block_queries: int = BLOCK_QUERIES,
+    block_rows: int | None = None,
+    block_queries: int | None = None,
 ) -> DataFrame:
     """Top-k among the ``nprobe`` nearest cells of each query; 0 means the default.
 
-    Queries meet vectors on the cell, each cell cut on both sides into bounded blocks. Probing
-    every cell gives the exact result.
+    Only probed cells are read, whole folders of an index written by cell. Queries meet vectors
+    on the cell, each cell cut on both sides into bounded blocks. Probing every cell gives the
+    exact result.
     """
-    head = queries.select(F.size("query_vector").alias("dim")).first()
-    if head is None:
-        raise ValueError("no queries")
     if centroids.limit(MAX_CENTROIDS + 1).count() > MAX_CENTROIDS:
         raise ValueError(f"more than {MAX_CENTROIDS} centroids")
-    probes = probe_cells(queries, centroids, nprobe or DEFAULT_NPROBE)
-    probing = probes.groupBy("cell").agg(F.count("*").alias("q"))
-    sizes = cell_sizes(index).join(probing, "cell")
-    salts = sizes.select(
+    probes = cut_lineage(probe_cells(queries, centroids, nprobe or DEFAULT_NPROBE))
+    # One row per probed cell, at most MAX_CENTROIDS of them.
+    probing = probes.groupBy("cell").agg(F.count("*").alias("q"), F.max(F.size("query_vector")).alias("dim")).collect()
+    if not probing:
+        raise ValueError("no queries")
+    dim = max(r["dim"] for r in probing)
+    block_rows, block_queries = block_shape(dim, block_rows, block_queries)
+    rows = index.select("id", "values", "cell").where(F.col("cell").isin([r["cell"] for r in probing]))
+    asked = queries.sparkSession.createDataFrame([(r["cell"], r["q"]) for r in probing], "cell int, q bigint")
+    salts = cell_sizes(rows).join(F.broadcast(asked), "cell").select(
         "cell",
         F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("row_salts"),
         F.ceil(F.col("q") / F.lit(block_queries)).cast("int").alias("query_salts"),
     )
-    # One row per cell, and the number of cells was checked above.
-    salts = F.broadcast(salts)
-    rows = index.select("id", "values", "cell")
-    hits = grid_scan(probes, rows, k, metric, head["dim"], "cell", salts)
+    hits = grid_scan(probes, rows, k, metric, dim, "cell", F.broadcast(salts))
     return rank_hits(hits, k).select("query_id", "rank", "id", "score")
 
 
@@ -160,7 +164,7 @@ def rerank_depth_search(
     codes = index.select("id", F.col("codes").alias("values"), "scale")
     coarse = vector_search(queries.drop("top_k"), codes, depth, "dot").select("query_id", "id")
     exact = (
-        coarse.join(index.select("id", "values"), "id")
+        with_rows(coarse, index.select("id", "values"))
         .join(queries.select("query_id", "query_vector"), "query_id")
         .select("query_id", "id", pair_score(metric, F.col("values"), F.col("query_vector")).alias("score"))
     )

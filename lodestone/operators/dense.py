@@ -21,10 +21,17 @@ from lodestone.functions.vectors import METRICS, score_block, to_matrix
 from lodestone.operators.topk import limit_per_query, rank_hits
 
 DEFAULT_TOP_K = 10
+QUERY_ROWS = 4_096  # most queries sent to every task
 QUERY_BYTES = 64 << 20  # largest query matrix sent to every task
-BLOCK_ROWS = 65_536  # corpus rows of one grid block
-BLOCK_QUERIES = 4_096  # queries of one grid block
-BLOCK_CELLS = 2_000_000  # scores held at once
+BLOCK_BYTES = 32 << 20  # matrix of the corpus rows of one grid block
+BLOCK_QUERIES = 4_096  # queries of one grid block, while their matrix fits BLOCK_BYTES
+BLOCK_CELLS = 2_000_000  # numbers held at once in a score or row matrix
+
+
+def block_shape(dim: int, rows: int | None = None, queries: int | None = None) -> tuple[int, int]:
+    """Rows and queries of one grid block."""
+    fits = max(1, BLOCK_BYTES // (8 * dim))
+    return rows or fits, queries or min(BLOCK_QUERIES, fits)
 
 
 def flat_id(df: DataFrame, col: str = "id") -> tuple[list, list[T.StructField], list[str]]:
@@ -59,6 +66,12 @@ def best_rows(hits: pa.Table, id_cols: list[str], k: int) -> pa.Table:
     return hits.filter(pa.array(place < k))
 
 
+def of_dim(batch: pa.RecordBatch | pa.Table, dim: int) -> pa.RecordBatch | pa.Table:
+    """The rows whose vector has ``dim`` elements."""
+    fits = pc.equal(pc.list_value_length(batch.column("values")), dim)
+    return batch if pc.all(fits.fill_null(False), min_count=0).as_py() else batch.filter(fits)
+
+
 class Scan:
     """Running top-k of every query over a stream of corpus batches."""
 
@@ -68,7 +81,7 @@ class Scan:
         self.best: pa.Table | None = None
 
     def add(self, batch: pa.RecordBatch | pa.Table) -> None:
-        step = max(1, BLOCK_CELLS // max(1, len(self.queries)))
+        step = max(1, BLOCK_CELLS // max(self.queries.shape))
         for start in range(0, batch.num_rows, step):
             self._add(batch.slice(start, step))
 
@@ -108,7 +121,7 @@ def _broadcast_scan(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = Scan(metric, matrix, k, id_cols)
         for batch in batches:
-            state.add(batch)
+            state.add(of_dim(batch, dim))
         out = state.result(query_ids)
         if out is not None:
             yield from out.combine_chunks().to_batches()
@@ -116,7 +129,7 @@ def _broadcast_scan(
     schema = T.StructType(
         [T.StructField("query_id", query_id_type), T.StructField("score", T.DoubleType()), *fields]
     )
-    rows = corpus.where(F.size("values") == dim).select(*exprs, "values", *extra)
+    rows = corpus.select(*exprs, "values", *extra)
     return nested_id(rows.mapInArrow(scan, schema), corpus)
 
 
@@ -132,8 +145,8 @@ def grid_scan(
     dim: int,
     key: str | None = None,
     salts: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
-    block_queries: int = BLOCK_QUERIES,
+    block_rows: int | None = None,
+    block_queries: int | None = None,
 ) -> DataFrame:
     """Top-k per query and block, over blocks of bounded size.
 
@@ -142,18 +155,18 @@ def grid_scan(
     """
     exprs, fields, id_cols = flat_id(corpus)
     extra = ["scale"] if "scale" in corpus.columns else []
-    corpus_rows = corpus.where(F.size("values") == dim)
     if key is None:
-        row_salts = F.lit(_salts(corpus_rows.count(), block_rows))
+        block_rows, block_queries = block_shape(dim, block_rows, block_queries)
+        row_salts = F.lit(_salts(corpus.count(), block_rows))
         query_salts = F.lit(_salts(queries.count(), block_queries))
         left = queries.withColumns({"__key": F.lit(0), "__rs": row_salts, "__qs": query_salts})
-        right = corpus_rows.withColumns({"__key": F.lit(0), "__rs": row_salts, "__qs": query_salts})
+        right = corpus.withColumns({"__key": F.lit(0), "__rs": row_salts, "__qs": query_salts})
     else:
         sizes = salts.select(
             F.col(key), F.col("row_salts").alias("__rs"), F.col("query_salts").alias("__qs")
         )
         left = queries.join(sizes, key).withColumn("__key", F.col(key))
-        right = corpus_rows.join(sizes, key).withColumn("__key", F.col(key))
+        right = corpus.join(sizes, key).withColumn("__key", F.col(key))
     query_cell = F.pmod(F.xxhash64("query_id"), F.col("__qs").cast("bigint"))
     row_cell = F.pmod(F.xxhash64("id"), F.col("__rs").cast("bigint"))
     left = left.withColumn("__q", query_cell).withColumn(
@@ -175,10 +188,11 @@ def grid_scan(
     empty = pa.schema(_arrow_schema(schema))
 
     def block(q: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = of_dim(rows.combine_chunks(), dim)
         if q.num_rows == 0 or rows.num_rows == 0:
             return empty.empty_table()
         state = Scan(metric, to_matrix(q["query_vector"], dim), k, id_cols)
-        state.add(rows.combine_chunks())
+        state.add(rows)
         return state.result(q["query_id"].combine_chunks())
 
     hits = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(block, schema)
@@ -197,7 +211,7 @@ def vector_search(
     k: int = DEFAULT_TOP_K,
     metric: str = "cosine",
     strategy: str = "auto",
-    query_bytes: int = QUERY_BYTES,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """Exact top-k: ``query_id, rank, id, score``, higher scores first.
 
@@ -211,19 +225,16 @@ def vector_search(
         raise ValueError(f"unknown strategy {strategy!r}")
     wanted = queries.where(F.col("query_vector").isNotNull())
     corpus = corpus.select("id", "values", *[c for c in corpus.columns if c == "scale"])
-    head = wanted.select(F.size("query_vector").alias("dim")).first()
-    if head is None:
+    head = wanted.select("query_id", "query_vector").limit(query_rows + 1).toArrow()
+    if head.num_rows == 0:
         raise ValueError("no query has a vector")
-    dim = head["dim"]
-    hits = None
-    if strategy != "grid":
-        fits = max(1, query_bytes // (8 * dim))
-        table = wanted.select("query_id", "query_vector").limit(fits + 1).toArrow()
-        if table.num_rows <= fits:
-            hits = _broadcast_scan(table, corpus, queries.schema["query_id"].dataType, k, metric)
-        elif strategy == "broadcast":
-            raise ValueError("the queries exceed the broadcast budget")
-    if hits is None:
+    dim = len(head["query_vector"][0])
+    fits = head.num_rows <= query_rows and head.num_rows * dim * 8 <= QUERY_BYTES
+    if strategy == "broadcast" and not fits:
+        raise ValueError("the queries exceed the broadcast budget")
+    if fits and strategy != "grid":
+        hits = _broadcast_scan(head, corpus, queries.schema["query_id"].dataType, k, metric)
+    else:
         hits = grid_scan(wanted, corpus, k, metric, dim)
     ranked = rank_hits(hits, k).select("query_id", "rank", "id", "score")
     return limit_per_query(ranked, queries) if "top_k" in queries.columns else ranked

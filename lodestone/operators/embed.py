@@ -1,5 +1,9 @@
 """Texts to vectors.
 
+Embedders are marked non-deterministic although equal texts give equal vectors: otherwise a
+filter on the vector would move below the projection and run the embedder twice. Filter
+records on their metadata before embedding them.
+
 The built-in embedder hashes tokens into ``dim`` buckets and scales the counts to unit length.
 It stands in for a learned model, none of which is available offline: it is exact and
 reproducible but knows nothing about meaning. Other models are registered by provider and name.
@@ -72,7 +76,7 @@ def hashing_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:
         matrix = np.concatenate(parts) if parts else np.zeros((0, dim))
         return to_lists(matrix, pa.float32())
 
-    return count_buckets(F.transform(tokens(text), lambda t: hash_bucket(t, dim)))
+    return count_buckets.asNondeterministic()(F.transform(tokens(text), lambda t: hash_bucket(t, dim)))
 
 
 def _model_vector(text: Column, dim: int, fn: Callable[[list[str]], np.ndarray]) -> Column:
@@ -85,7 +89,7 @@ def _model_vector(text: Column, dim: int, fn: Callable[[list[str]], np.ndarray])
             raise ValueError(f"embedder returned shape {matrix.shape}, expected {(len(texts), dim)}")
         return to_lists(matrix, pa.float32())
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def embed_texts(

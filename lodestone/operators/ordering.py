@@ -2,7 +2,7 @@
 
 A window over a whole group would put a hot group on one task. Here the order column is cut
 into ranges of ``width`` values; each (group, range) is a small window, and the totals of the
-ranges before it are added from a table 1/width the size, itself summed in two levels.
+ranges before it are added from a table with one row per range.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-WIDTH = 4096
+WIDTH = 65_536
 
 
 def _range_of(col: str, width: int) -> Column:
@@ -23,20 +23,15 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the group's rows up to and including this one.
 
-    ``order`` is an integer column, unique within its group.
+    ``order`` is an integer column, unique within its group and without wide gaps.
     """
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     rows = df.withColumns({"__g": group, "__r": _range_of(order, width), "__v": value})
-    ranges = rows.groupBy("__g", "__r").agg(F.sum("__v").alias("__t"))
-    ranges = ranges.withColumn("__rr", _range_of("__r", width))
-    upper = ranges.groupBy("__g", "__rr").agg(F.sum("__t").alias("__tt"))
-    before_upper = W.partitionBy("__g").orderBy("__rr").rowsBetween(W.unboundedPreceding, -1)
-    upper = upper.select(
-        "__g", "__rr", F.coalesce(F.sum("__tt").over(before_upper), F.lit(0)).alias("__a")
-    )
-    before = W.partitionBy("__g", "__rr").orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
-    ranges = ranges.join(upper, ["__g", "__rr"]).select(
-        "__g", "__r", (F.col("__a") + F.coalesce(F.sum("__t").over(before), F.lit(0))).alias("__b")
+    before = W.partitionBy("__g").orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
+    ranges = (
+        rows.groupBy("__g", "__r")
+        .agg(F.sum("__v").alias("__t"))
+        .select("__g", "__r", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__b"))
     )
     inside = W.partitionBy("__g", "__r").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return (

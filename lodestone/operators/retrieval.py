@@ -9,7 +9,7 @@ from lodestone.operators.dense import vector_search
 from lodestone.operators.embed import DEFAULT_DIM, embed_texts
 from lodestone.operators.search import hybrid_search, text_search
 from lodestone.operators.sparse import SparseIndex
-from lodestone.operators.topk import rank_hits
+from lodestone.operators.topk import rank_hits, with_rows
 
 DEFAULT_CONTEXT = 5
 PREVIEW_CHARS = 200
@@ -44,7 +44,7 @@ def retrieve_context(
     else:
         hits = text_search(questions, chunks, k)
     wide = chunks.select("id", *[c for c in CHUNK_FIELDS if c in chunks.columns])
-    return hits.join(wide, "id")
+    return with_rows(hits, wide)
 
 
 def aggregate_citations(context: DataFrame, include_sources: bool = True) -> DataFrame | None:

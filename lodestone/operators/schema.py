@@ -73,17 +73,20 @@ def enforce_metadata_schema(
     ``errors``, the names of the fields whose value does not fit. Undeclared keys stay in the
     variant; a missing or null field is a null, not an error.
     """
-    checks = []
-    for name, kind in schema.fields:
-        raw = _raw(name, variant)
-        checks.append(F.when(raw.isNotNull() & cast_field(raw, kind).isNull(), F.lit(name)))
+    # Text, value and verdict in projections of their own, so that each is computed once.
+    staged = df
+    if schema.fields:
+        staged = df.withColumns({f"__raw_{n}": _raw(n, variant) for n, _ in schema.fields})
+        staged = staged.withColumns({f"__val_{n}": cast_field(F.col(f"__raw_{n}"), k) for n, k in schema.fields})
+    checks = [
+        F.when(F.col(f"__raw_{n}").isNotNull() & F.col(f"__val_{n}").isNull(), F.lit(n)) for n, _ in schema.fields
+    ]
     errors = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    checked = df.withColumn("errors", errors)
-    typed = {n: cast_field(_raw(n, variant), k) for n, k in schema.fields}
-    accepted = checked.where(F.size("errors") == 0).drop("errors")
-    if typed:
-        accepted = accepted.withColumns(typed)
-    return accepted, checked.where(F.size("errors") > 0)
+    checked = staged.withColumn("errors", errors)
+    values = [F.col(f"__val_{n}").alias(n) for n, _ in schema.fields]
+    others = [c for c in df.columns if c not in dict(schema.fields)]
+    accepted = checked.where(F.size("errors") == 0).select(*others, *values)
+    return accepted, checked.where(F.size("errors") > 0).select(*df.columns, "errors")
 
 
 def schema_merge(

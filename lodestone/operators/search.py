@@ -14,7 +14,7 @@ from lodestone.functions.text import tokens
 from lodestone.operators.dense import DEFAULT_TOP_K, vector_search
 from lodestone.operators.embed import DEFAULT_DIM, HASHING, embed_texts
 from lodestone.operators.sparse import SparseIndex, sparse_search
-from lodestone.operators.topk import limit_per_query, rank_hits
+from lodestone.operators.topk import limit_per_query, rank_hits, with_rows
 
 COVERAGE = ("local", "coverage")
 DEFAULT_ALPHA = 0.5
@@ -153,7 +153,7 @@ def rerank(
     else:
         raise ValueError(f"no reranker registered for {provider}/{model}")
     paired = (
-        hits.join(texts.select("id", "text"), "id")
+        with_rows(hits, texts.select("id", "text"))
         .join(queries.select("query_id", "query_text"), "query_id")
         .select("query_id", "id", F.col("score").alias("first_score"), pair.alias("score"))
     )
@@ -181,7 +181,7 @@ def result_projection(
         wanted.append(F.col("values").alias("embedding"))
     if include_documents:
         wanted += ["doc_kind", "doc_value"]
-    return hits.join(records.select("id", *wanted), "id", "left") if wanted else hits
+    return with_rows(hits, records.select("id", *wanted), how="left") if wanted else hits
 
 
 def search_all_collections(

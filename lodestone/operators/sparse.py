@@ -18,15 +18,19 @@ HOT_ROWS = 1_000_000  # postings of one term that one task may hold in a shuffle
 
 @dataclass
 class SparseIndex:
-    """``postings`` (term, id, dl, tf) and ``lengths`` (id, dl), one row per document."""
+    """``postings`` (term, id, dl, tf), ``lengths`` (id, dl), and ``terms`` once it is stored."""
 
     postings: DataFrame
     lengths: DataFrame
+    terms: DataFrame | None = None
 
     def term_stats(self) -> DataFrame:
         """``term, df, cf``: documents holding the term, and its occurrences."""
+        if self.terms is not None:
+            return self.terms
+        # Counting through tf keeps this plan's shuffle equal to the scoring plan's, which reuses it.
         return self.postings.groupBy("term").agg(
-            F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("cf")
+            F.sum((F.col("tf") > 0).cast("bigint")).alias("df"), F.sum("tf").cast("bigint").alias("cf")
         )
 
     def write(self, path: str) -> "SparseIndex":
@@ -34,14 +38,17 @@ class SparseIndex:
 
         Range partitions split the postings of a frequent term over several files.
         """
+        spark = self.postings.sparkSession
         ordered = self.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
         ordered.write.mode("overwrite").parquet(f"{path}/postings")
         self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
-        return SparseIndex.read(self.postings.sparkSession, path)
+        stored = SparseIndex(spark.read.parquet(f"{path}/postings"), self.lengths)
+        stored.term_stats().write.mode("overwrite").parquet(f"{path}/terms")
+        return SparseIndex.read(spark, path)
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> "SparseIndex":
-        return SparseIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"))
+        return SparseIndex(*[spark.read.parquet(f"{path}/{t}") for t in ("postings", "lengths", "terms")])
 
 
 def build_sparse_index(docs: DataFrame, text: str = "text") -> SparseIndex:
@@ -49,7 +56,8 @@ def build_sparse_index(docs: DataFrame, text: str = "text") -> SparseIndex:
     split = docs.select("id", tokens(F.col(text)).alias("__t"))
     split = split.withColumn("dl", F.size("__t").cast("bigint"))
     postings = (
-        split.select("id", "dl", F.explode("__t").alias("term"))
+        split.select("id", "dl", F.explode_outer("__t").alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy("term", "id", "dl")
         .agg(F.count("*").alias("tf"))
     )
@@ -60,7 +68,9 @@ def query_terms(queries: DataFrame) -> DataFrame:
     """Distinct ``query_id, term`` of ``sparse_query``, or of ``query_text`` where it is absent."""
     names = [c for c in ("sparse_query", "query_text") if c in queries.columns]
     text = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in names])
-    return queries.select("query_id", F.explode(F.array_distinct(tokens(text))).alias("term"))
+    # The outer form keeps Spark from tokenising a second time to filter empty lists.
+    terms = queries.select("query_id", F.explode_outer(F.array_distinct(tokens(text))).alias("term"))
+    return terms.where(F.col("term").isNotNull())
 
 
 def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows: int = TERM_ROWS) -> DataFrame:
@@ -76,7 +86,7 @@ def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows
     n, avg_dl = totals.select("n").scalar(), totals.select("avg_dl").scalar()
     wanted = terms.select("term").distinct()
     postings = index.postings.join(F.broadcast(wanted) if bounded else wanted, "term", "left_semi")
-    stats = postings.groupBy("term").agg(F.count("*").alias("df"))
+    stats = SparseIndex(postings, index.lengths, index.terms).term_stats().select("term", "df")
     weights = terms.join(stats, "term").select(
         "query_id", "term", "df", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0).alias("idf")
     )

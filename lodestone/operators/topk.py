@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.session import cut_lineage
+
+FETCH_ROWS = 1_000_000  # largest key list sent to every task
+
 
 def rank_hits(
     hits: DataFrame,
@@ -30,3 +34,23 @@ def limit_per_query(hits: DataFrame, queries: DataFrame) -> DataFrame:
     """Apply the queries' own ``top_k`` to ranked hits."""
     limits = queries.select("query_id", F.col("top_k").alias("__k"))
     return hits.join(limits, "query_id").where(F.col("rank") <= F.col("__k")).drop("__k")
+
+
+def rows_of(wide: DataFrame, keys: DataFrame, on: str, max_rows: int = FETCH_ROWS) -> DataFrame:
+    """The rows of a large table that a small one names, without shuffling the large one.
+
+    ``keys`` should be materialised, since it is counted first. Up to ``max_rows`` distinct
+    keys are sent to the scan; with more, the semi join shuffles both sides by key.
+    """
+    wanted = keys.select(on).distinct()
+    bounded = wanted.limit(max_rows + 1).count() <= max_rows
+    return wide.join(F.broadcast(wanted) if bounded else wanted, on, "left_semi")
+
+
+def with_rows(hits: DataFrame, wide: DataFrame, on: str = "id", how: str = "inner") -> DataFrame:
+    """Attach columns of a large table to ranked hits.
+
+    The ranking is materialised once; only the rows it names leave the scan of the large table.
+    """
+    hits = cut_lineage(hits)
+    return hits.join(rows_of(wide, hits, on), on, how)

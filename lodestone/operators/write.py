@@ -9,6 +9,7 @@ from lodestone.functions.ids import string_id
 from lodestone.functions.maps import set_if_absent
 from lodestone.operators.embed import DEFAULT_DIM, HASHING, embed_texts
 from lodestone.operators.ordering import row_position
+from lodestone.session import cut_lineage
 
 
 def assign_text_ids(batch: DataFrame, position: str = "position") -> DataFrame:
@@ -76,16 +77,18 @@ def prepare_texts(
     The text is copied to ``metadata.text`` unless that key is present, unset ids become
     ``text-<n>``, and each row keeps its own vector.
     """
-    named = assign_text_ids(documents)
-    with_text = named.withColumn("metadata", set_if_absent(F.col("metadata"), "text", F.col("text")))
-    return embed_texts(with_text, "text", "values", provider, model, dim).select(
-        "id", "values", "metadata", "position"
-    )
+    # Embedding comes first: it keeps the input's partitions, the numbering shuffles.
+    with_text = documents.withColumn("metadata", set_if_absent(F.col("metadata"), "text", F.col("text")))
+    embedded = embed_texts(with_text, "text", "values", provider, model, dim)
+    return assign_text_ids(embedded.select("id", "values", "metadata", "position"))
 
 
 def add_texts(existing: DataFrame, documents: DataFrame, batch_id: int, dim: int = DEFAULT_DIM) -> DataFrame:
-    """Embed text documents and upsert them."""
-    return insert_vectors(existing, prepare_texts(documents, dim=dim), dim, batch_id)
+    """Embed text documents and upsert them.
+
+    The embedded batch is materialised once, since the upsert reads it twice.
+    """
+    return insert_vectors(existing, cut_lineage(prepare_texts(documents, dim=dim)), dim, batch_id)
 
 
 def write_collection(

@@ -20,7 +20,7 @@ from lodestone.operators.retrieval import (
     retrieve_context,
 )
 from lodestone.operators.sessions import append_messages, conversation_history, list_messages, session_rollup
-from lodestone.plans.base import query, sql_cosine, sql_embedding, sql_top, table
+from lodestone.plans.base import query, sql_cosine, sql_embedding, sql_top, table, text_table
 from lodestone.plans.ingest import SQL_CHUNKS
 from lodestone.plans.search import text_queries
 from lodestone.streaming.events import stream_answer_text, stream_event_assembly
@@ -34,7 +34,7 @@ cx AS (SELECT query_id, rank, h.id.doc_id AS doc_id, h.id.chunk_index AS chunk_i
 
 
 def context(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    docs = text_table(spark, folder, "documents", "doc_id", "text", "source")
     chunks = chunk_text(docs).withColumn("page", F.floor(F.col("chunk_index") / 10).cast("int"))
     return retrieve_context(text_queries(spark, folder), chunk_vectors(chunks))
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestone.session import spread_small
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,6 +28,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose texts cost enough work per row to want every core."""
+    rows = table(spark, folder, name)
+    return spread_small(rows.select(*columns) if columns else rows)
+
+
 def sql_tokens(text: str) -> str:
     return rf"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')"
 

@@ -19,7 +19,7 @@ from lodestone.operators.catalog import (
     paged_listing,
 )
 from lodestone.operators.chunk import chunk_table_rows, chunk_text
-from lodestone.plans.base import query, table
+from lodestone.plans.base import query, table, text_table
 from lodestone.session import scratch_path
 from lodestone.sources.files import scan_object_files
 from lodestone.sources.records import profile_source, sample_source, scope_filter, thread_documents
@@ -32,7 +32,7 @@ SQL_SLUG = "coalesce(nullif(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', '
 
 @query("slug", f"SELECT doc_id, {SQL_SLUG.format('text')} AS slug FROM documents")
 def _slug(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", slug(F.col("text")).alias("slug"))
+    return text_table(spark, folder, "documents").select("doc_id", slug(F.col("text")).alias("slug"))
 
 
 SQL_HOST = "regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)"
@@ -187,7 +187,7 @@ def _web_crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("web_extract_content")
 def _web_extract_content(spark: SparkSession, folder: str) -> DataFrame:
-    return web_extract_content(table(spark, folder, "pages"), exclude=["footer", ".ad"])
+    return web_extract_content(text_table(spark, folder, "pages"), exclude=["footer", ".ad"])
 
 
 @query(
@@ -196,7 +196,7 @@ def _web_extract_content(spark: SparkSession, folder: str) -> DataFrame:
 FROM (SELECT url, regexp_extract_all(html, '<a\\s[^>]*?href=["'']([^"'']+)', 1) AS h FROM pages)""",
 )
 def _web_page_assets(spark: SparkSession, folder: str) -> DataFrame:
-    assets = web_page_assets(table(spark, folder, "pages"), all_links=True)
+    assets = web_page_assets(text_table(spark, folder, "pages"), all_links=True)
     return assets.select("url", "position", "tag", "target")
 
 
@@ -243,7 +243,7 @@ ch AS (SELECT doc_id, i::INTEGER AS chunk_index, array_to_string(w[i * 100 + 1 :
 
 @query("chunk_text", f"WITH {SQL_CHUNKS} SELECT doc_id, chunk_index, text FROM ch")
 def _chunk_text(spark: SparkSession, folder: str) -> DataFrame:
-    return chunk_text(table(spark, folder, "documents").select("doc_id", "text"))
+    return chunk_text(text_table(spark, folder, "documents", "doc_id", "text"))
 
 
 @query(
@@ -270,7 +270,7 @@ FROM documents JOIN cc USING (doc_id) LEFT JOIN labels USING (doc_id)""",
 )
 def _document_catalog(spark: SparkSession, folder: str) -> DataFrame:
     # Toxic documents were refused before chunking; only labelled ones have their vectors yet.
-    docs = table(spark, folder, "documents")
+    docs = text_table(spark, folder, "documents")
     labels = table(spark, folder, "labels")
     described = docs.select(
         "doc_id", "source", file_names().alias("file_name"), F.col("text").cast("binary").alias("content"), F.lit(1).alias("version")

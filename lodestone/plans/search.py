@@ -27,11 +27,9 @@ from lodestone.plans.base import (
     sql_tokens,
     sql_top,
     table,
+    text_table,
 )
 
-DIM = 64
-
-
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("values"), "label"
@@ -39,7 +37,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_queries(spark: SparkSession, folder: str) -> DataFrame:
-    means = mean_centroids(vectors(spark, folder), "label", DIM)
+    means = mean_centroids(vectors(spark, folder), "label")
     return means.select(F.col("cell").alias("query_id"), F.col("centroid").alias("query_vector"))
 
 
@@ -48,7 +46,7 @@ def text_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").withColumnRenamed("doc_id", "id")
+    return text_table(spark, folder, "documents").withColumnRenamed("doc_id", "id")
 
 
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,7 +212,7 @@ co AS (SELECT vec_id, e, list_transform(e, lambda x: floor(127.0::DOUBLE * x / p
 
 def built_index(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rows = vectors(spark, folder)
-    centroids = mean_centroids(rows, "label", DIM)
+    centroids = mean_centroids(rows, "label")
     return ann_build(rows, centroids), centroids
 
 
@@ -305,7 +303,7 @@ UNION ALL SELECT item_id, 'messages', mid, {sql_cosine('bq.v', 'mv.v')} FROM bq,
 )
 def _search_all_collections(spark: SparkSession, folder: str) -> DataFrame:
     docs = text_vectors(spark, folder).withColumn("id", F.concat(F.lit("doc-"), "id"))
-    messages = table(spark, folder, "conversations").select(
+    messages = text_table(spark, folder, "conversations").select(
         F.concat(F.lit("msg-"), "conv_id", F.lit("-"), "turn").alias("id"), "text"
     )
     queries = embed_texts(text_queries(spark, folder), "query_text", "query_vector")

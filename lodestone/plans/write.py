@@ -17,7 +17,7 @@ from lodestone.operators.write import (
     insert_vectors,
     write_collection,
 )
-from lodestone.plans.base import query, sql_embedding, table
+from lodestone.plans.base import query, sql_embedding, table, text_table
 from lodestone.session import scratch_path
 
 
@@ -143,7 +143,7 @@ SELECT doc_id, bucket, round(weight, 6) AS weight FROM (
   SELECT doc_id, unnest(range(64)) AS bucket, unnest(v) AS weight FROM dv) WHERE weight <> 0""",
 )
 def _embed_texts(spark: SparkSession, folder: str) -> DataFrame:
-    embedded = embed_texts(table(spark, folder, "documents"))
+    embedded = embed_texts(text_table(spark, folder, "documents"))
     long = embedded.select("doc_id", F.posexplode("values").alias("bucket", "weight"))
     return long.where(F.col("weight") != 0).withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
@@ -157,7 +157,7 @@ SELECT CASE WHEN lang = 'en' THEN 'int' ELSE 'str' END AS kind, CASE WHEN lang =
 FROM p JOIN dv USING (doc_id)""",
 )
 def _add_texts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = text_table(spark, folder, "documents")
     batch = docs.select(
         F.when(F.col("lang") == "en", int_id(F.col("doc_id"))).alias("id"),
         "text",
@@ -199,7 +199,7 @@ def loose_events(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("value") > 90, F.lit('{"k": 4294967296}'))
         .otherwise(F.col("props"))
     )
-    return table(spark, folder, "events").select("event_id", F.parse_json(props).alias("metadata"))
+    return text_table(spark, folder, "events").select("event_id", F.parse_json(props).alias("metadata"))
 
 
 SQL_LOOSE = """ev AS (SELECT event_id, CASE WHEN event_type = 'error' THEN '{"k": "x", "note": "bad"}'

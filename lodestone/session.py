@@ -50,3 +50,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Persist ``df`` reliably in the shared folder and drop its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread the rows of a table too small to give every core a split.
+
+    Such a table may be one row group and so one task. Larger ones keep the scan's partitions
+    and are not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df

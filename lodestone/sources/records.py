@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.operators.ordering import WIDTH, row_position
+from lodestone.operators.ordering import row_position
+
+PART_MESSAGES = 4_096
 
 
 def scope_filter(records: DataFrame, field: str, scope: Sequence | DataFrame | None) -> DataFrame:
@@ -68,7 +70,7 @@ def thread_documents(
     order: str,
     line: Column,
     include_comments: bool = True,
-    part_size: int = WIDTH,
+    part_size: int = PART_MESSAGES,
 ) -> DataFrame:
     """One document per thread: its messages in order, a line each.
 

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lodestone.operators.ordering import WIDTH, row_position, running_total
+from lodestone.operators.ordering import row_position, running_total
+
+PART_EVENTS = 4_096
 
 
 def _trimmed(col: Column) -> Column:
@@ -72,7 +74,7 @@ def stream_event_assembly(lines: DataFrame) -> DataFrame:
     return decode_events(assemble_blocks(lines))
 
 
-def stream_answer_text(events: DataFrame, part_size: int = WIDTH) -> DataFrame:
+def stream_answer_text(events: DataFrame, part_size: int = PART_EVENTS) -> DataFrame:
     """``stream_id, part, answer, finished``: the text contents of each stream in order.
 
     An answer is one row unless it has more than ``part_size`` events; then its parts follow in

@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestone.operators.chunk import chunk_text
 from lodestone.operators.embed import DEFAULT_DIM, embed_texts
+from lodestone.operators.topk import rows_of
+from lodestone.session import cut_lineage
 from lodestone.sources.sync import latest_version, sync_incremental
 
 CATALOG = "external_id string, version int, content_hash string, batch bigint"
@@ -44,8 +46,10 @@ def ingest_batch(
     spark = batch.sparkSession
     snapshot = one_per_id(batch, order).select("external_id", F.col("content").cast("string").alias("content"))
     before = _table(spark, f"{path}/catalog", CATALOG).where(F.col("batch") < batch_id)
-    diff = sync_incremental(snapshot, latest_version(before))
+    known = latest_version(rows_of(before, snapshot, "external_id"))
+    diff = sync_incremental(snapshot, known)
     due = diff.where(F.col("action").isin("new", "changed")).select("external_id", "version", "content_hash")
+    due = cut_lineage(due)
     loaded = snapshot.join(due.select("external_id", "version"), "external_id")
     chunks = chunk_text(loaded.withColumnRenamed("content", "text"))
     vectors = embed_texts(chunks, dim=dim).select("external_id", "version", "chunk_index", "text", "values")
