@@ -16,6 +16,7 @@ from lodestone.operators.embed import infer_dim
 from lodestone.operators.filters import filter_advanced, filter_equality
 from lodestone.operators.schema import MetadataSchema
 from lodestone.operators.search import text_search
+from lodestone.operators.topk import without_rows_of
 from lodestone.operators.write import assign_record_ids, latest_per_id, prepare_texts, split_by_dim
 
 DEFAULT_PROVIDER = "default"
@@ -92,34 +93,60 @@ class Collection:
         self._write_spec("overwrite")
         return self
 
-    def _batches(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows")
+    def _table(self, name: str) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return self.spark.createDataFrame([], ROWS)
-        return self.spark.read.schema(ROWS).parquet(f"{self.path}/rows")
+        return self.spark.read.schema(ROWS).parquet(f"{self.path}/{name}")
 
-    def _next_seq(self) -> int:
-        last = self._batches().agg(F.max("seq")).first()[0]
-        return 0 if last is None else last + 1
+    def _last_seq(self) -> int:
+        """Number of the last batch; partition values only, no row is read."""
+        last = [self._table(t).agg(F.max("seq")).first()[0] for t in ("rows", "base")]
+        return max([-1, *[s for s in last if s is not None]])
 
     def _append(self, rows: DataFrame, seq: int) -> None:
         columns = ["id", "values", "metadata", "position", "deleted"]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/rows/seq={seq}")
 
+    def _newest(self, before: int | None = None) -> DataFrame:
+        """The newest row of each id: the last compacted base, overlaid by the batches after it.
+
+        Only ids of later batches are matched against the base, which is not shuffled while
+        they are few.
+        """
+        base, batches = self._table("base"), self._table("rows")
+        if before is not None:
+            batches = batches.where(F.col("seq") < before)
+        upto = base.agg(F.max("seq")).first()[0]
+        if upto is None:
+            return latest_per_id(batches)
+        base = base.where(F.col("seq") == upto)
+        later = latest_per_id(batches.where(F.col("seq") > upto))
+        return without_rows_of(base, later.select("id"), "id").unionByName(later)
+
     def records(self) -> DataFrame:
         """Current records: ``id, values, metadata``."""
-        newest = latest_per_id(self._batches())
-        return newest.where(~F.col("deleted")).select("id", "values", "metadata")
+        return self._newest().where(~F.col("deleted")).select("id", "values", "metadata")
+
+    def compact(self) -> None:
+        """Write the current records as a new base, to spare readers the overlay."""
+        seq = self._last_seq()
+        if seq < 0:
+            return
+        columns = ["id", "values", "metadata", "position", "deleted"]
+        current = self._newest().where(~F.col("deleted")).select(*columns)
+        if self._table("base").where(F.col("seq") == seq).isEmpty():
+            current.write.mode("overwrite").parquet(f"{self.path}/base/seq={seq}")
 
     def insert(self, batch: DataFrame, seq: int | None = None) -> int:
         """Upsert ``id, values, metadata, position``; returns the number of records inserted."""
-        seq = self._next_seq() if seq is None else seq
+        seq = self._last_seq() + 1 if seq is None else seq
         valid, _ = split_by_dim(batch, self.spec.dim)
         rows = assign_record_ids(valid, F.lit(seq)).withColumns(
             {"deleted": F.lit(False), "values": F.col("values").cast("array<float>")}
         )
         self._append(rows, seq)
-        written = self._batches().where(F.col("seq") == seq)
+        written = self._table("rows").where(F.col("seq") == seq)
         return written.select("id").distinct().count()
 
     def add_texts(self, documents: DataFrame, seq: int | None = None) -> tuple[int, int]:
@@ -129,9 +156,8 @@ class Collection:
 
     def delete(self, ids: DataFrame, seq: int | None = None) -> int:
         """Delete the listed typed ids; returns how many there were."""
-        seq = self._next_seq() if seq is None else seq
-        current = self._batches().where(F.col("seq") < seq)
-        newest = latest_per_id(current).where(~F.col("deleted"))
+        seq = self._last_seq() + 1 if seq is None else seq
+        newest = self._newest(before=seq).where(~F.col("deleted"))
         doomed = newest.join(ids.select("id").distinct(), "id", "left_semi")
         tombs = doomed.select(
             "id",
@@ -141,7 +167,7 @@ class Collection:
             F.lit(True).alias("deleted"),
         )
         self._append(tombs, seq)
-        return self._batches().where(F.col("seq") == seq).count()
+        return self._table("rows").where(F.col("seq") == seq).count()
 
     def search(
         self,

@@ -56,7 +56,7 @@ def _predicate(df: DataFrame, f: Filter, variant: str) -> Column:
     if f.op == "not_exists":
         return col.isNull()
     if f.op == "in":
-        return F.coalesce(col.isin(*many), F.lit(False)) if many else F.lit(False)
+        return col.isin(*many) if many else F.lit(False)
     if f.op == "not_in":
         return col.isNull() | ~col.isin(*many) if many else F.lit(True)
     if f.op == "between":

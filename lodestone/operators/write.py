@@ -53,7 +53,8 @@ def insert_vectors(existing: DataFrame, batch: DataFrame, dim: int, batch_id: in
     valid, _ = split_by_dim(batch, dim)
     valid = assign_record_ids(valid, F.lit(batch_id)).withColumn("seq", F.lit(batch_id).cast("bigint"))
     columns = ["id", "values", "metadata", "seq", "position"]
-    return latest_per_id(existing.select(*columns).unionByName(valid.select(*columns)))
+    others = existing.where(F.col("seq") != batch_id).select(*columns)
+    return latest_per_id(others.unionByName(valid.select(*columns)))
 
 
 def delete_vectors(existing: DataFrame, ids: DataFrame) -> DataFrame:

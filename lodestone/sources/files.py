@@ -21,7 +21,8 @@ def scan_object_files(
 
     Patterns are globs on the file name, any of which may match. Zero or empty bounds are
     unset. The size bound reaches the scan, and content is read only when asked for. A bound on
-    the number of files keeps the first by path.
+    the number of files keeps the first by path. Spark's file scan skips empty files and names
+    that start with a dot or an underscore.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if file_patterns:

@@ -27,7 +27,7 @@ def scope_filter(records: DataFrame, field: str, scope: Sequence | DataFrame | N
 
 
 def sample_source(records: DataFrame, id_col: str, limit: int = 0, enabled: bool = True) -> DataFrame:
-    """At most ``limit`` records, the same on every run: those with the smallest hashed id."""
+    """At most ``limit`` records, the same on every run: those with the smallest hashed unique id."""
     if not enabled or limit <= 0:
         return records
     key = F.md5(F.col(id_col).cast("string"))
