@@ -15,7 +15,9 @@ from lodestone.operators.dense import DEFAULT_TOP_K, vector_search
 from lodestone.operators.embed import infer_dim
 from lodestone.operators.filters import filter_advanced, filter_equality
 from lodestone.operators.schema import MetadataSchema
-from lodestone.operators.search import text_search
+from lodestone.operators.search import hybrid_search, result_projection, text_search
+from lodestone.operators.search import rerank as rerank_hits
+from lodestone.operators.sparse import build_sparse_index
 from lodestone.operators.topk import without_rows_of
 from lodestone.operators.write import assign_record_ids, latest_per_id, prepare_texts, split_by_dim
 
@@ -175,17 +177,40 @@ class Collection:
         k: int = DEFAULT_TOP_K,
         filters: Mapping[str, object] | None = None,
         advanced_filters: list | None = None,
+        hybrid: bool | None = None,
+        alpha: float | None = None,
+        rerank: bool | Mapping[str, object] = False,
+        include_metadata: bool | None = None,
+        include_embeddings: bool = False,
+        include_documents: bool = False,
     ) -> DataFrame:
-        """Top-k of each query (``query_vector`` or ``query_text``) among the records that pass."""
+        """Top-k of each query (``query_vector`` or ``query_text``) among the records that pass.
+
+        A hybrid collection searches texts both ways unless told otherwise. ``rerank`` is true,
+        or a mapping with ``enabled`` and optionally ``provider`` and ``model``.
+        """
         corpus = self.records()
         if filters:
             corpus = filter_equality(corpus, filters)
         if advanced_filters:
             corpus = filter_advanced(corpus, advanced_filters)
-        if "query_vector" in queries.columns:
-            return vector_search(queries, corpus, k, self.spec.metric)
         spec = self.spec
-        return text_search(queries, corpus, k, spec.metric, spec.provider, spec.model, spec.dim)
+        model = {"provider": spec.provider, "model": spec.model, "dim": spec.dim}
+        corpus = corpus.withColumn("text", F.col("metadata")["text"])
+        if "query_vector" in queries.columns:
+            hits = vector_search(queries, corpus, k, spec.metric)
+        elif spec.hybrid if hybrid is None else hybrid:
+            index = build_sparse_index(corpus)
+            hits = hybrid_search(queries, corpus, index, k, alpha, metric=spec.metric, **model)
+        else:
+            hits = text_search(queries, corpus, k, spec.metric, **model)
+        asked = {"enabled": rerank} if isinstance(rerank, bool) else dict(rerank)
+        if asked.pop("enabled", False):
+            hits = rerank_hits(hits, queries, corpus, k, **asked)
+        documents = corpus.withColumns({"doc_kind": F.lit("text"), "doc_value": F.col("text")})
+        return result_projection(
+            hits, documents, "metadata", include_metadata, include_embeddings, include_documents
+        )
 
     def drop(self) -> None:
         """Remove the collection and its records."""

@@ -28,12 +28,18 @@ from lodestone.operators.topk import rank_hits, with_rows
 from lodestone.session import cut_lineage
 
 MAX_CENTROIDS = 65_536
+CENTROID_BYTES = 128 << 20  # largest centroid matrix sent to every task
 SAMPLE_PER_CELL = 256
 DEFAULT_NPROBE = 8
 
 
-def default_cells(rows: int) -> int:
-    return max(1, min(MAX_CENTROIDS, round(math.sqrt(rows))))
+def max_cells(dim: int) -> int:
+    """Most cells whose centroids fit the budget of what every task receives."""
+    return max(1, min(MAX_CENTROIDS, CENTROID_BYTES // (8 * dim)))
+
+
+def default_cells(rows: int, dim: int) -> int:
+    return max(1, min(max_cells(dim), round(math.sqrt(rows))))
 
 
 def train_centroids(vectors: DataFrame, cells: int | None = None, seed: int = 7) -> DataFrame:
@@ -41,10 +47,13 @@ def train_centroids(vectors: DataFrame, cells: int | None = None, seed: int = 7)
 
     Training reads a sample of bounded size; every vector is assigned afterwards.
     """
+    head = vectors.select(F.size("values").alias("dim")).first()
+    if head is None:
+        raise ValueError("no vectors")
     rows = vectors.count()
-    cells = cells or default_cells(rows)
-    if not 0 < cells <= MAX_CENTROIDS:
-        raise ValueError(f"cells must lie in 1..{MAX_CENTROIDS}")
+    cells = cells or default_cells(rows, head["dim"])
+    if not 0 < cells <= max_cells(head["dim"]):
+        raise ValueError(f"cells must lie in 1..{max_cells(head['dim'])}")
     fraction = min(1.0, cells * SAMPLE_PER_CELL / max(rows, 1))
     sample = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(fraction * 1_000_000))
     points = sample.select(array_to_vector(F.col("values").cast("array<double>")).alias("features"))
@@ -68,6 +77,8 @@ def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if table.num_rows > MAX_CENTROIDS:
         raise ValueError(f"more than {MAX_CENTROIDS} centroids")
     dim = len(table["centroid"][0])
+    if table.num_rows > max_cells(dim):
+        raise ValueError(f"more than {max_cells(dim)} centroids of {dim} values")
     return table["cell"].to_numpy().astype(np.int32), to_matrix(table["centroid"], dim)
 
 

@@ -80,14 +80,17 @@ def hashing_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:
 
 
 def _model_vector(text: Column, dim: int, fn: Callable[[list[str]], np.ndarray]) -> Column:
+    """Vectors by a registered model, which sees every distinct text of a batch once."""
+
     @F.arrow_udf("array<float>")
     def run(texts: pa.Array) -> pa.Array:
         if len(texts) == 0:
             return pa.array([], pa.list_(pa.float32()))
-        matrix = np.asarray(fn(["" if t is None else t for t in texts.to_pylist()]), dtype=np.float32)
-        if matrix.shape != (len(texts), dim):
-            raise ValueError(f"embedder returned shape {matrix.shape}, expected {(len(texts), dim)}")
-        return to_lists(matrix, pa.float32())
+        coded = texts.fill_null("").dictionary_encode()
+        matrix = np.asarray(fn(coded.dictionary.to_pylist()), dtype=np.float32)
+        if matrix.shape != (len(coded.dictionary), dim):
+            raise ValueError(f"embedder returned shape {matrix.shape}, expected {(len(coded.dictionary), dim)}")
+        return to_lists(matrix[coded.indices.to_numpy()], pa.float32())
 
     return run.asNondeterministic()(text)
 
@@ -102,16 +105,12 @@ def embed_texts(
 ) -> DataFrame:
     """Add ``out``: one vector per row, equal for equal texts.
 
-    The hashing embedder runs in place on each row. A registered model is assumed costly: it
-    runs once per distinct text, and the vectors are joined back by the text.
+    Rows are embedded where they are, without a shuffle, so a text with very many copies skews
+    nothing. A registered model runs once per distinct text of an Arrow batch.
     """
     if (provider, model) == HASHING:
         return df.withColumn(out, hashing_vector(F.col(text), dim))
     if (provider, model) not in _embedders:
         raise ValueError(f"no embedder registered for {provider}/{model}")
     size, fn = _embedders[(provider, model)]
-    keyed = df.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    vectors = (
-        keyed.select("__text").distinct().withColumn(out, _model_vector(F.col("__text"), size, fn))
-    )
-    return keyed.join(vectors, "__text").drop("__text")
+    return df.withColumn(out, _model_vector(F.col(text), size, fn))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.operators.dense import vector_search
 from lodestone.operators.embed import DEFAULT_DIM, embed_texts
 from lodestone.operators.search import hybrid_search, text_search
 from lodestone.operators.sparse import SparseIndex
-from lodestone.operators.topk import rank_hits, with_rows
+from lodestone.operators.topk import with_rows
 
 DEFAULT_CONTEXT = 5
 PREVIEW_CHARS = 200
@@ -70,9 +71,8 @@ def aggregate_citations(context: DataFrame, include_sources: bool = True) -> Dat
         aggregates.append(F.sort_array(F.collect_set("sheet_name")).alias("sheet_names"))
     keys = ["query_id", "doc_id"] + (["source"] if "source" in context.columns else [])
     grouped = context.groupBy(*keys).agg(*aggregates)
-    order = [F.col("relevance").desc(), F.col("doc_id").asc()]
-    every = 2**31 - 1
-    return rank_hits(grouped, every, order=order).withColumnRenamed("rank", "citation")
+    order = W.partitionBy("query_id").orderBy(F.col("relevance").desc(), F.col("doc_id").asc())
+    return grouped.withColumn("citation", F.row_number().over(order))
 
 
 def resolve_inline_citations(answers: DataFrame, citations: DataFrame) -> DataFrame:

@@ -85,10 +85,19 @@ def _min_max(side: DataFrame, name: str) -> DataFrame:
     return side.select("query_id", "id", scaled.alias(name))
 
 
-def fuse(dense: DataFrame, sparse: DataFrame, k: int, alpha: Column | float | None = None) -> DataFrame:
-    """``alpha * dense + (1 - alpha) * sparse`` over two candidate pools; a missing side is 0."""
-    weight = F.coalesce(alpha if isinstance(alpha, Column) else F.lit(alpha).cast("double"), F.lit(DEFAULT_ALPHA))
+def fuse(
+    dense: DataFrame, sparse: DataFrame, k: int, alpha: float | None = None, weights: DataFrame | None = None
+) -> DataFrame:
+    """``alpha * dense + (1 - alpha) * sparse`` over two candidate pools; a missing side is 0.
+
+    ``weights`` (query_id, alpha) gives each query its own; a null one takes ``alpha``, and that
+    is one half when not given.
+    """
+    weight = F.lit(DEFAULT_ALPHA if alpha is None else float(alpha))
     both = _min_max(dense, "d").join(_min_max(sparse, "s"), ["query_id", "id"], "full_outer")
+    if weights is not None:
+        both = both.join(weights.select("query_id", "alpha"), "query_id", "left")
+        weight = F.coalesce(F.col("alpha").cast("double"), weight)
     score = weight * F.coalesce("d", F.lit(0.0)) + (F.lit(1.0) - weight) * F.coalesce("s", F.lit(0.0))
     hits = both.select("query_id", "id", F.round(score, 6).alias("score"))
     return rank_hits(hits, k).select("query_id", "rank", "id", "score")
@@ -101,17 +110,21 @@ def hybrid_search(
     k: int = DEFAULT_TOP_K,
     alpha: float | None = None,
     depth: int | None = None,
+    metric: str = "cosine",
+    provider: str = HASHING[0],
+    model: str = HASHING[1],
     dim: int = DEFAULT_DIM,
 ) -> DataFrame:
     """Dense and sparse candidates of one text, fused.
 
     Each side offers ``depth`` candidates (4k, at least 100). ``alpha`` is the weight of the
-    dense side, one half by default.
+    dense side, one half by default; a column ``alpha`` of the queries comes first.
     """
     depth = depth or max(4 * k, 100)
     plain = queries.drop("top_k")
-    dense = text_search(plain, corpus, depth, dim=dim)
-    fused = fuse(dense, sparse_search(plain, index, depth), k, alpha)
+    dense = text_search(plain, corpus, depth, metric, provider, model, dim)
+    weights = queries if "alpha" in queries.columns else None
+    fused = fuse(dense, sparse_search(plain, index, depth), k, alpha, weights)
     return limit_per_query(fused, queries) if "top_k" in queries.columns else fused
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.operators.ordering import preceding_rows, row_position
+from lodestone.operators.topk import LIMIT_THRESHOLD
 
 TITLE_CHARS = 80
 DEFAULT_LIMIT = 100
@@ -39,6 +40,9 @@ def session_rollup(messages: DataFrame, limit: int = 0) -> DataFrame:
 def list_messages(messages: DataFrame, limit: int = 0) -> DataFrame:
     """The first ``limit`` messages of every session in order; zero or less means 100."""
     size = limit if limit > 0 else DEFAULT_LIMIT
+    if size > LIMIT_THRESHOLD:  # too many rows for Spark to cut them before the shuffle
+        placed = row_position(messages, ["conv_id"], "turn", "place").withColumn("place", F.col("place") + 1)
+        return placed.where(F.col("place") <= size)
     order = W.partitionBy("conv_id").orderBy("turn")
     return messages.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
 
@@ -55,3 +59,8 @@ def append_messages(messages: DataFrame, new: DataFrame) -> DataFrame:
     )
     columns = ["conv_id", "turn", "role", "text"]
     return messages.select(*columns).unionByName(turned.select(*columns))
+
+
+def delete_sessions(messages: DataFrame, ids: DataFrame) -> DataFrame:
+    """The messages of all sessions but the listed ones."""
+    return messages.join(ids.select("conv_id").distinct(), "conv_id", "left_anti")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from lodestone.session import cut_lineage
 
+LIMIT_THRESHOLD = 1_000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+SALTS = 64
 FETCH_ROWS = 1_000_000  # largest key list sent to every task
 
 
@@ -24,9 +26,15 @@ def rank_hits(
     """Keep the ``k`` best rows of each query and add their 1-based ``rank``.
 
     The literal bound lets Spark keep ``k`` rows per query in every map task before the shuffle.
+    It does so up to a threshold; beyond it, each query is ranked in parts first.
     """
     order = order or [F.col("score").desc(), F.col("id").asc()]
     window = W.partitionBy(*by).orderBy(*order)
+    if k > LIMIT_THRESHOLD:
+        part = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+        place = F.row_number().over(W.partitionBy(*by, "__part").orderBy(*order))
+        hits = hits.withColumn("__part", part).withColumn("__place", place).where(F.col("__place") <= k)
+        hits = hits.drop("__part", "__place")
     return hits.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 

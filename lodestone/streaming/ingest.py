@@ -44,7 +44,10 @@ def ingest_batch(
 ) -> None:
     """Load the new and changed documents ``external_id, content`` of one batch."""
     spark = batch.sparkSession
-    snapshot = one_per_id(batch, order).select("external_id", F.col("content").cast("string").alias("content"))
+    # Materialised once: the batch is compared, counted and loaded.
+    snapshot = cut_lineage(
+        one_per_id(batch, order).select("external_id", F.col("content").cast("string").alias("content"))
+    )
     before = _table(spark, f"{path}/catalog", CATALOG).where(F.col("batch") < batch_id)
     known = latest_version(rows_of(before, snapshot, "external_id"))
     diff = sync_incremental(snapshot, known)

@@ -210,6 +210,19 @@ def test_fuse_default_weight(spark):
     assert rows(fuse(dense_hits, sparse_hits, 5)) == [(1, 1, "a", 0.5), (1, 2, "b", 0.5)]
 
 
+def test_fuse_weight_per_query(spark):
+    dense_hits = spark.createDataFrame([(q, 1, "a", 0.9) for q in (1, 2)], "query_id int, rank int, id string, score double")
+    weights = spark.createDataFrame([(1, 0.25), (2, None)], "query_id int, alpha double")
+    fused = fuse(dense_hits, dense_hits.limit(0), 5, weights=weights)
+    assert rows(fused, "query_id", "score") == [(1, 0.25), (2, 0.5)]
+
+
+def test_more_hits_than_spark_cuts_early(spark):
+    hits = spark.range(3000).select(F.lit(1).alias("query_id"), "id", (F.col("id") % 10).cast("double").alias("score"))
+    want = sorted(range(3000), key=lambda i: (-(i % 10), i))[:1500]
+    assert [r["id"] for r in rank_hits(hits, 1500).orderBy("rank").collect()] == want
+
+
 def test_registered_embedder_runs_per_distinct_text(spark):
     register_embedder("test", "len", 2, lambda texts: np.array([[len(t), 1.0] for t in texts]))
     df = spark.createDataFrame([(1, "aa"), (2, "aa"), (3, None), (4, "b")], "id int, text string")

@@ -23,7 +23,7 @@ from lodestone.operators.lineage import cleanup_unused, delete_source, newest_ru
 from lodestone.operators.ordering import preceding_rows, row_position, running_total
 from lodestone.operators.retrieval import aggregate_citations, chunk_vectors, resolve_inline_citations, retrieve_context
 from lodestone.operators.schema import MetadataSchema, enforce_metadata_schema, schema_merge, schema_replace, union_versions
-from lodestone.operators.sessions import append_messages, conversation_history, list_messages, session_rollup
+from lodestone.operators.sessions import append_messages, conversation_history, delete_sessions, list_messages, session_rollup
 from lodestone.operators.sparse import build_sparse_index
 from lodestone.operators.topk import rows_of, with_rows
 from lodestone.operators.write import add_texts, assign_text_ids, delete_vectors, insert_vectors, prepare_texts, split_by_dim
@@ -223,6 +223,8 @@ def test_sessions(spark, messages):
     assert [r["conv_id"] for r in session_rollup(messages, 2).orderBy("conv_id").collect()] == [1, 2]
     assert rows(list_messages(messages, 2).where("conv_id = 1"), "turn") == [(0,), (1,)]
     assert list_messages(messages, 0).count() == messages.count()
+    assert rows(list_messages(messages, 2000), "place") == rows(list_messages(messages, 50), "place")
+    assert delete_sessions(messages, messages.where("conv_id = 1")).count() == 2
     new = spark.createDataFrame([(1, 9, "user", "n2"), (1, 4, "user", "n1"), (7, 0, "user", "first")], "conv_id int, position bigint, role string, text string")
     all_rows = append_messages(messages, new)
     assert rows(all_rows.where("text IN ('n1', 'n2', 'first')"), "conv_id", "turn", "text") == [(1, 4, "n1"), (1, 5, "n2"), (7, 0, "first")]
@@ -287,6 +289,11 @@ def test_collection_end_to_end(spark, folder):
     asks = spark.createDataFrame([(1, "red fox")], "query_id int, query_text string")
     hits = opened.search(asks, 5, filters={"lang": "en"})
     assert rows(hits, "id.kind", "score") == [("int", 1.0), ("str", 1.0)]
+    assert "metadata" in hits.columns and "embedding" not in hits.columns
+    full = opened.search(asks, 5, hybrid=True, alpha=0.7, rerank=True, include_documents=True, include_embeddings=True)
+    best = full.where("rank = 1").first()
+    assert (best["score"], best["doc_value"], len(best["embedding"])) == (1.0, "red fox", 64)
+    assert "metadata" not in opened.search(asks, 5, include_metadata=False, rerank={"enabled": False}).columns
     ids = spark.createDataFrame([(0,)], "x int").select(int_id(F.lit(42)).alias("id"))
     assert opened.delete(ids) == 1 and opened.delete(ids) == 0
     assert opened.records().count() == 2
