@@ -64,14 +64,12 @@ def _raw(name: str, variant: str) -> Column:
     return F.try_variant_get(F.col(variant), "$['" + name.replace("'", "\\'") + "']", "string")
 
 
-def enforce_metadata_schema(
-    df: DataFrame, schema: MetadataSchema, variant: str = "metadata"
-) -> tuple[DataFrame, DataFrame]:
-    """Promote declared fields out of the variant column.
+def check_metadata_schema(df: DataFrame, schema: MetadataSchema, variant: str = "metadata") -> DataFrame:
+    """Promote declared fields out of the variant column, in one pass over all rows.
 
-    Returns the accepted rows with one typed column per field, and the quarantined rows with
-    ``errors``, the names of the fields whose value does not fit. Undeclared keys stay in the
-    variant; a missing or null field is a null, not an error.
+    Adds one typed column per field, null where its value does not fit, and ``errors``, the
+    names of those fields. Undeclared keys stay in the variant; a missing or null field is a
+    null, not an error.
     """
     # Text, value and verdict in projections of their own, so that each is computed once.
     staged = df
@@ -82,11 +80,19 @@ def enforce_metadata_schema(
         F.when(F.col(f"__raw_{n}").isNotNull() & F.col(f"__val_{n}").isNull(), F.lit(n)) for n, _ in schema.fields
     ]
     errors = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    checked = staged.withColumn("errors", errors)
     values = [F.col(f"__val_{n}").alias(n) for n, _ in schema.fields]
     others = [c for c in df.columns if c not in dict(schema.fields)]
-    accepted = checked.where(F.size("errors") == 0).select(*others, *values)
-    return accepted, checked.where(F.size("errors") > 0).select(*df.columns, "errors")
+    return staged.select(*others, *values, errors.alias("errors"))
+
+
+def enforce_metadata_schema(
+    df: DataFrame, schema: MetadataSchema, variant: str = "metadata"
+) -> tuple[DataFrame, DataFrame]:
+    """The accepted rows with their typed columns, and the quarantined rows with ``errors``."""
+    checked = check_metadata_schema(df, schema, variant)
+    names = dict(schema.fields)
+    quarantined = checked.where(F.size("errors") > 0)
+    return checked.where(F.size("errors") == 0).drop("errors"), quarantined.drop(*names)
 
 
 def schema_merge(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import tokens
+from lodestone.functions.text import term_counts, tokens
 from lodestone.operators.topk import limit_per_query, rank_hits
 
 K1 = 1.2
@@ -28,10 +28,7 @@ class SparseIndex:
         """``term, df, cf``: documents holding the term, and its occurrences."""
         if self.terms is not None:
             return self.terms
-        # Counting through tf keeps this plan's shuffle equal to the scoring plan's, which reuses it.
-        return self.postings.groupBy("term").agg(
-            F.sum((F.col("tf") > 0).cast("bigint")).alias("df"), F.sum("tf").cast("bigint").alias("cf")
-        )
+        return self.postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
     def write(self, path: str) -> "SparseIndex":
         """Store the index sorted by term, so that a term's postings lie in few row groups.
@@ -55,12 +52,9 @@ def build_sparse_index(docs: DataFrame, text: str = "text") -> SparseIndex:
     """Index ``id, <text>``; documents without tokens count towards the corpus size."""
     split = docs.select("id", tokens(F.col(text)).alias("__t"))
     split = split.withColumn("dl", F.size("__t").cast("bigint"))
-    postings = (
-        split.select("id", "dl", F.explode_outer("__t").alias("term"))
-        .where(F.col("term").isNotNull())
-        .groupBy("term", "id", "dl")
-        .agg(F.count("*").alias("tf"))
-    )
+    # The outer form keeps Spark from tokenising a second time to filter empty lists.
+    counted = split.select("id", "dl", F.explode_outer(term_counts(F.col("__t"))).alias("__c"))
+    postings = counted.where(F.col("__c").isNotNull()).select("__c.term", "id", "dl", "__c.tf")
     return SparseIndex(postings, split.select("id", "dl"))
 
 
@@ -68,7 +62,6 @@ def query_terms(queries: DataFrame) -> DataFrame:
     """Distinct ``query_id, term`` of ``sparse_query``, or of ``query_text`` where it is absent."""
     names = [c for c in ("sparse_query", "query_text") if c in queries.columns]
     text = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in names])
-    # The outer form keeps Spark from tokenising a second time to filter empty lists.
     terms = queries.select("query_id", F.explode_outer(F.array_distinct(tokens(text))).alias("term"))
     return terms.where(F.col("term").isNotNull())
 
@@ -78,24 +71,25 @@ def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows
 
     A bounded table of query terms goes to the postings, which then stay where they are. A
     larger one is shuffled by term, with frequent terms cut by document. Either way partial
-    scores are summed by (query, document), which no frequent term can skew.
+    scores are summed by (query, document), which no frequent term can skew; postings that still
+    lie by document are summed before that shuffle.
     """
     terms = query_terms(queries)
     bounded = terms.limit(term_rows + 1).count() <= term_rows
     totals = index.lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avg_dl"))
     n, avg_dl = totals.select("n").scalar(), totals.select("avg_dl").scalar()
     wanted = terms.select("term").distinct()
-    postings = index.postings.join(F.broadcast(wanted) if bounded else wanted, "term", "left_semi")
-    stats = SparseIndex(postings, index.lengths, index.terms).term_stats().select("term", "df")
+    asked = index.postings.join(F.broadcast(wanted) if bounded else wanted, "term", "left_semi")
+    stats = SparseIndex(asked, index.lengths, index.terms).term_stats().select("term", "df")
     weights = terms.join(stats, "term").select(
         "query_id", "term", "df", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0).alias("idf")
     )
     if bounded:
-        matched = postings.join(F.broadcast(weights), "term")
+        matched = index.postings.join(F.broadcast(weights), "term")
     else:
         parts = F.ceil(F.col("df") / F.lit(HOT_ROWS)).cast("int")
         spread = weights.withColumn("__s", F.explode(F.sequence(F.lit(0), parts - 1)))
-        sized = postings.join(stats.select("term", parts.alias("__parts")), "term")
+        sized = index.postings.join(stats.select("term", parts.alias("__parts")), "term")
         salted = sized.withColumn("__s", F.pmod(F.xxhash64("id"), F.col("__parts")).cast("int"))
         matched = salted.join(spread, ["term", "__s"])
     saturation = F.col("tf") + K1 * ((1 - B) + B * F.col("dl") / avg_dl)

@@ -44,24 +44,27 @@ def limit_per_query(hits: DataFrame, queries: DataFrame) -> DataFrame:
     return hits.join(limits, "query_id").where(F.col("rank") <= F.col("__k")).drop("__k")
 
 
-def _matched(wide: DataFrame, keys: DataFrame, on: str, max_rows: int, how: str) -> DataFrame:
-    wanted = keys.select(on).distinct()
-    bounded = wanted.limit(max_rows + 1).count() <= max_rows
-    return wide.join(F.broadcast(wanted) if bounded else wanted, on, how)
+def join_counted(wide: DataFrame, small: DataFrame, on: str, how: str, max_rows: int = FETCH_ROWS) -> DataFrame:
+    """Join a table of narrow rows to a large one, which stays in place while they are few.
+
+    ``small`` is counted first and should be cheap to read twice.
+    """
+    bounded = small.limit(max_rows + 1).count() <= max_rows
+    return wide.join(F.broadcast(small) if bounded else small, on, how)
 
 
 def rows_of(wide: DataFrame, keys: DataFrame, on: str, max_rows: int = FETCH_ROWS) -> DataFrame:
     """The rows of a large table that a small one names, without shuffling the large one.
 
-    ``keys`` is counted first and should be cheap to read twice. Up to ``max_rows`` distinct
-    keys are sent to the scan; with more, the semi join shuffles both sides by key.
+    Up to ``max_rows`` distinct keys are sent to the scan; with more, the semi join shuffles
+    both sides by key.
     """
-    return _matched(wide, keys, on, max_rows, "left_semi")
+    return join_counted(wide, keys.select(on).distinct(), on, "left_semi", max_rows)
 
 
 def without_rows_of(wide: DataFrame, keys: DataFrame, on: str, max_rows: int = FETCH_ROWS) -> DataFrame:
     """The rows of a large table that a small one does not name; see ``rows_of``."""
-    return _matched(wide, keys, on, max_rows, "left_anti")
+    return join_counted(wide, keys.select(on).distinct(), on, "left_anti", max_rows)
 
 
 def with_rows(hits: DataFrame, wide: DataFrame, on: str = "id", how: str = "inner") -> DataFrame:

@@ -185,7 +185,17 @@ def _web_crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
     return web_crawl_frontier(edges, start, max_depth=4)
 
 
-@query("web_extract_content")
+SQL_CONTENT = r"""WITH p AS (SELECT url, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t,
+  regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+b AS (SELECT url, t, regexp_replace(regexp_replace(a, '</?(h1|h2|h3|p|br|div|ul|ol|li|table|tr|td|th|section|pre)( [^>]*)?>', chr(10), 'g'),
+  '</?[a-z][^>]*>|<!--.*?-->', '', 'g') AS c FROM p),
+e AS (SELECT url, list_transform([t, c], lambda s: regexp_replace(replace(replace(replace(replace(replace(replace(s,
+  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&amp;?', '&', 'g')) AS d FROM b)
+SELECT url, trim(regexp_replace(d[1], '\s+', ' ', 'g')) AS title, array_to_string(list_filter(list_transform(
+  string_split(d[2], chr(10)), lambda l: trim(regexp_replace(l, '\s+', ' ', 'g'))), lambda l: l <> ''), chr(10)) AS content FROM e"""
+
+
+@query("web_extract_content", SQL_CONTENT)
 def _web_extract_content(spark: SparkSession, folder: str) -> DataFrame:
     return web_extract_content(text_table(spark, folder, "pages"), exclude=["footer", ".ad"])
 

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from lodestone.functions.ids import id_from_json, id_text, id_to_json, int_id, string_id, unset_id
 from lodestone.functions.maps import merge_maps, set_if_absent
 from lodestone.operators.embed import embed_texts
-from lodestone.operators.schema import MetadataSchema, enforce_metadata_schema, schema_merge, schema_replace
+from lodestone.operators.schema import (
+    MetadataSchema,
+    check_metadata_schema,
+    enforce_metadata_schema,
+    schema_merge,
+    schema_replace,
+)
 from lodestone.operators.write import (
     add_texts,
     assign_text_ids,
@@ -216,15 +222,14 @@ SCHEMA = MetadataSchema((("k", "u32"), ("note", "string")))
 FROM (SELECT *, raw IS NULL OR coalesce(k BETWEEN 0 AND 4294967295, FALSE) AS ok FROM ca)""",
 )
 def _enforce_metadata_schema(spark: SparkSession, folder: str) -> DataFrame:
-    accepted, quarantined = enforce_metadata_schema(loose_events(spark, folder), SCHEMA)
-    good = accepted.select("event_id", "k", "note", F.lit("").alias("errors"))
-    bad = quarantined.select(
+    checked = check_metadata_schema(loose_events(spark, folder), SCHEMA)
+    fine = F.size("errors") == 0
+    return checked.select(
         "event_id",
-        F.lit(None).cast("bigint").alias("k"),
-        F.lit(None).cast("string").alias("note"),
+        F.when(fine, F.col("k")).alias("k"),
+        F.when(fine, F.col("note")).alias("note"),
         F.array_join("errors", ",").alias("errors"),
     )
-    return good.unionByName(bad)
 
 
 def declared_events(spark: SparkSession, folder: str) -> tuple[DataFrame, MetadataSchema]:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestone.operators.chunk import chunk_text
 from lodestone.operators.embed import DEFAULT_DIM, embed_texts
-from lodestone.operators.topk import rows_of
+from lodestone.operators.topk import join_counted, rows_of
 from lodestone.session import cut_lineage
 from lodestone.sources.sync import latest_version, sync_incremental
 
@@ -53,7 +53,7 @@ def ingest_batch(
     diff = sync_incremental(snapshot, known)
     due = diff.where(F.col("action").isin("new", "changed")).select("external_id", "version", "content_hash")
     due = cut_lineage(due)
-    loaded = snapshot.join(due.select("external_id", "version"), "external_id")
+    loaded = join_counted(snapshot, due.select("external_id", "version"), "external_id", "inner")
     chunks = chunk_text(loaded.withColumnRenamed("content", "text"))
     vectors = embed_texts(chunks, dim=dim).select("external_id", "version", "chunk_index", "text", "values")
     # Vectors first: a version counts once its catalog row is there.
