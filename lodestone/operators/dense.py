@@ -26,6 +26,7 @@ QUERY_BYTES = 64 << 20  # largest query matrix sent to every task
 BLOCK_BYTES = 32 << 20  # matrix of the corpus rows of one grid block
 BLOCK_QUERIES = 4_096  # queries of one grid block, while their matrix fits BLOCK_BYTES
 BLOCK_CELLS = 2_000_000  # numbers held at once in a score or row matrix
+MERGE_ROWS = 65_536  # candidates gathered before the running top-k is sorted again
 
 
 def block_shape(dim: int, rows: int | None = None, queries: int | None = None) -> tuple[int, int]:
@@ -73,12 +74,18 @@ def of_dim(batch: pa.RecordBatch | pa.Table, dim: int) -> pa.RecordBatch | pa.Ta
 
 
 class Scan:
-    """Running top-k of every query over a stream of corpus batches."""
+    """Running top-k of every query over a stream of corpus batches.
+
+    Candidates below a query's known k-th score are dropped at once; the others are gathered
+    and sorted into the running result in bulk.
+    """
 
     def __init__(self, metric: str, queries: np.ndarray, k: int, id_cols: list[str]):
         self.metric, self.queries, self.k, self.id_cols = metric, queries, k, id_cols
         self.floor = np.full(len(queries), -np.inf)
         self.best: pa.Table | None = None
+        self.pending: list[pa.Table] = []
+        self.waiting = 0
 
     def add(self, batch: pa.RecordBatch | pa.Table) -> None:
         step = max(1, BLOCK_CELLS // max(self.queries.shape))
@@ -97,10 +104,24 @@ class Scan:
             {"qpos": q.astype(np.int64), "score": scores[row, q]}
             | {c: batch.column(c).take(pa.array(row)) for c in self.id_cols}
         )
-        merged = found if self.best is None else pa.concat_tables([self.best, found])
-        self.best = best_rows(merged, self.id_cols, self.k)
+        self.pending.append(found)
+        self.waiting += found.num_rows
+        if self.waiting > max(MERGE_ROWS, self.k * len(self.queries)):
+            self._merge()
+
+    def _merge(self) -> None:
+        if not self.pending:
+            return
+        parts = self.pending if self.best is None else [self.best, *self.pending]
+        self.best = best_rows(pa.concat_tables(parts), self.id_cols, self.k)
+        self.pending, self.waiting = [], 0
+        counts = np.bincount(self.best["qpos"].to_numpy(), minlength=len(self.queries))
+        full = counts >= self.k
+        worst = self.best["score"].to_numpy()[np.cumsum(counts)[full] - 1]
+        self.floor[full] = np.maximum(self.floor[full], worst)
 
     def result(self, query_ids: pa.Array) -> pa.Table | None:
+        self._merge()
         if self.best is None:
             return None
         ids = query_ids.take(self.best["qpos"])

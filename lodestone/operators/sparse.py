@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import term_counts, tokens
 from lodestone.operators.topk import limit_per_query, rank_hits
+from lodestone.session import cut_lineage
 
 K1 = 1.2
 B = 0.75
@@ -69,7 +70,8 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows: int = TERM_ROWS) -> DataFrame:
     """BM25 top-k: ``query_id, rank, id, score``.
 
-    A bounded table of query terms goes to the postings, which then stay where they are. A
+    A bounded table of query terms goes to the postings, which then stay where they are; those
+    of the query terms are materialised, so that an index not yet stored is built once. A
     larger one is shuffled by term, with frequent terms cut by document. Either way partial
     scores are summed by (query, document), which no frequent term can skew; postings that still
     lie by document are summed before that shuffle.
@@ -80,12 +82,14 @@ def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows
     n, avg_dl = totals.select("n").scalar(), totals.select("avg_dl").scalar()
     wanted = terms.select("term").distinct()
     asked = index.postings.join(F.broadcast(wanted) if bounded else wanted, "term", "left_semi")
+    if bounded:  # counted for the term statistics and scored: read the postings once
+        asked = cut_lineage(asked)
     stats = SparseIndex(asked, index.lengths, index.terms).term_stats().select("term", "df")
     weights = terms.join(stats, "term").select(
         "query_id", "term", "df", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0).alias("idf")
     )
     if bounded:
-        matched = index.postings.join(F.broadcast(weights), "term")
+        matched = asked.join(F.broadcast(weights), "term")
     else:
         parts = F.ceil(F.col("df") / F.lit(HOT_ROWS)).cast("int")
         spread = weights.withColumn("__s", F.explode(F.sequence(F.lit(0), parts - 1)))

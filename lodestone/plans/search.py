@@ -19,6 +19,7 @@ from lodestone.operators.search import (
     text_search,
 )
 from lodestone.operators.sparse import build_sparse_index, sparse_search
+from lodestone.operators.write import write_collection
 from lodestone.plans.base import (
     SQL_CENTROIDS,
     query,
@@ -29,6 +30,7 @@ from lodestone.plans.base import (
     table,
     text_table,
 )
+from lodestone.session import scratch_path
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
@@ -243,6 +245,9 @@ FROM pr JOIN ce USING (cell) JOIN embeddings USING (vec_id)"""
 @query("ann_search", f"WITH {SQL_CELLS}, {SQL_PROBES} {sql_top(SQL_ANN, 10)}")
 def _ann_search(spark: SparkSession, folder: str) -> DataFrame:
     index, centroids = built_index(spark, folder)
+    path = scratch_path(spark, "cells")
+    write_collection(index, path, partition_by="cell")
+    index = spark.read.parquet(path)
     return ann_search(label_queries(spark, folder), index, centroids, 10, nprobe=3)
 
 

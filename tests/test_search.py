@@ -60,6 +60,7 @@ def test_small_blocks_and_batches_change_nothing(spark, queries, vectors, monkey
     assert rows(rank_hits(hits, 5).select("query_id", "rank", "id", "score")) == want
     assert rows(vector_search(queries, vectors, 5, query_rows=4)) == want  # too many queries: the grid
     monkeypatch.setattr(dense, "BLOCK_CELLS", 64)
+    monkeypatch.setattr(dense, "MERGE_ROWS", 1)
     assert rows(vector_search(queries, vectors, 5)) == want
 
 
