@@ -97,7 +97,9 @@ class Scan:
         if "scale" in batch.schema.names:
             matrix = matrix * batch.column("scale").to_numpy()[:, None]
         scores = score_block(self.metric, matrix, self.queries)
-        if len(scores) > self.k:  # ties with the k-th score stay in until ids break them
+        # A first bound from the first block; later ones come from the merged result. Ties with
+        # the k-th score stay in until ids break them.
+        if len(scores) > self.k and not np.isfinite(self.floor).all():
             self.floor = np.maximum(self.floor, np.partition(scores, -self.k, axis=0)[-self.k])
         row, q = np.nonzero(scores >= self.floor)
         found = pa.table(
