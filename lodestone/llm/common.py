@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.session import scratch_path
 
-BATCH_BYTES = "32m"
+BATCH_BYTES = "8m"
 
 
 def text_of(column: str) -> Column:

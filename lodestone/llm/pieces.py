@@ -42,7 +42,7 @@ BLOCK = 256
 SCALE = 1 << 16
 UNKNOWN = 10
 NEVER = -(1 << 60)
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 IDS = pa.list_(pa.int32())
 
@@ -66,51 +66,73 @@ class Lattice(dict):
         super().__init__()
         first = next(i for i, (_, usable) in enumerate(pieces) if usable)
         self.pieces = {p: (i, -round(SCALE * math.log(i - first + 2))) for i, (p, usable) in enumerate(pieces) if usable}
-        self.begun = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        #: Score and id of every beginning of a piece; one that is no piece itself scores NEVER.
+        self.known = {p[:n]: (NEVER, None) for p in self.pieces for n in range(1, len(p))}
+        self.known |= {p: (score, i) for p, (i, score) in self.pieces.items()}
         self.longest = max(map(len, self.pieces))
         self.unknown = -round(SCALE * (math.log(len(pieces)) + UNKNOWN))
         self.bytes = {int(p[3:-1], 16): i for i, (p, usable) in enumerate(pieces) if re.fullmatch("<0x[0-9A-F]{2}>", p) and not usable}
-        cuts = not any(" " in p.lstrip(" ") or "\n" in p for p in self.pieces)
-        #: The segments between the places where every path has a cut.
-        self.segments = re.compile(r"\n| +[^ \n]*|[^ \n]+" if cuts else r"(?s).+")
+        self.segments = self.cutter()
+        self.older: dict = {}
+
+    def cutter(self) -> re.Pattern:
+        """Matches the segments between the places where every path has a cut.
+
+        These lie before a blank, around a line break, and between a letter and those signs that
+        follow a letter in no piece.
+        """
+        if any(" " in p.lstrip(" ") or "\n" in p for p in self.pieces):
+            return re.compile(r"(?s).+")
+        inside = {b for p in self.pieces for a, b in zip(p, p[1:]) if re.fullmatch(r"[^\W\d_]", a)}
+        signs = re.escape("".join(c for c in ",.;:!?|%$&*#" if c not in inside)) or r"\n"
+        rest = rf"[^ \n{signs}]*(?:(?<![^\W\d_])[{signs}][^ \n{signs}]*)*"
+        return re.compile(rf"\n| +{rest}|[{signs}]{rest}|[^ \n{signs}]{rest}")
 
     def __missing__(self, segment: str) -> tuple[tuple[int, ...], int]:
-        made = self.path(segment)
+        made = self.older.get(segment) or self.path(segment)
         if len(segment) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED:  # segments not met again for as many others are forgotten
+                self.older = dict(self)
                 self.clear()
             self[segment] = made
         return made
 
     def edges(self, text: str, start: int, end: int) -> Iterator[tuple[int, int, int | None]]:
         """Pieces that begin at ``start``: their end, score and id; None is the character's bytes."""
-        known = False
         for stop in range(start + 1, min(start + self.longest, end) + 1):
-            piece = text[start:stop]
-            if piece not in self.begun:
+            found = self.known.get(text[start:stop])
+            if found is None:
                 break
-            if (found := self.pieces.get(piece)) is not None:
-                known |= stop == start + 1
-                yield stop, found[1], found[0]
-        if not known and start < end:
+            if found[1] is not None:
+                yield stop, found[0], found[1]
+        if start < end and text[start] not in self.pieces:
             yield start + 1, self.unknown, None
 
     def path(self, text: str, crossing: int = 0) -> tuple[tuple[int, ...], int]:
         """Ids and score of the best path over a whole text whose first piece ends behind ``crossing``."""
-        n = len(text)
-        best, back = [NEVER] * (n + 1), [None] * (n + 1)
+        n, size, known = len(text), self.longest, self.known.get
+        best, start, piece = [NEVER] * (n + 1), [0] * (n + 1), [None] * (n + 1)
         best[0] = 0
-        for start in range(n):
-            if best[start] == NEVER:
+        for i in range(n):
+            here = best[i]
+            if here == NEVER:
                 continue
-            for stop, score, piece in self.edges(text, start, n):
-                if (start or stop > crossing) and best[start] + score > best[stop]:
-                    best[stop], back[stop] = best[start] + score, (start, piece)
+            first = i if i or not crossing else crossing
+            for j in range(i + 1, min(i + size, n) + 1):
+                found = known(text[i:j])
+                if found is None:
+                    break
+                if here + found[0] > best[j] and j > first:
+                    best[j], start[j], piece[j] = here + found[0], i, found[1]
+            if text[i] not in self.pieces and here + self.unknown > best[i + 1] and i + 1 > first:
+                best[i + 1], start[i + 1], piece[i + 1] = here + self.unknown, i, None
         out: list[int] = []
-        while n and back[n] is not None:
-            start, piece = back[n]
-            out += [piece] if piece is not None else [self.bytes[b] for b in text[start:n].encode("utf-8", "surrogatepass")[::-1]]
-            n = start
+        while n:
+            if piece[n] is not None:
+                out.append(piece[n])
+            else:
+                out += [self.bytes[b] for b in text[start[n] : n].encode("utf-8", "surrogatepass")[::-1]]
+            n = start[n]
         return tuple(out[::-1]), best[-1]
 
     def encode(self, text: str) -> np.ndarray:

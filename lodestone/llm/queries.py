@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, pieces, secrets, simhash, toxicity
+from lodestone.llm import decontaminate, pieces, secrets, simhash, toxicity, warc
+from lodestone.session import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -61,6 +62,20 @@ def _secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SQL_WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+g AS (SELECT payload_digest, min(page_id) AS least FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN least IS NULL OR page_id IS NOT DISTINCT FROM least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)"""
+
+
+@query("op2_warc", SQL_WARC)
+def _warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+
+
 @query("op4_simhash")
 def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash(table(spark, folder, "documents"))

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import fresh, small_batches, stored, text_of
@@ -56,10 +56,15 @@ def fingerprint_of(text: str) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.arrow_udf("long")
-def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        yield pa.array([fingerprint_of(t) for t in texts.to_pylist()], pa.int64())
+def fingerprint(text: Column) -> Column:
+    """The fingerprint of a text column."""
+
+    @F.arrow_udf("long")
+    def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([fingerprint_of(t) for t in texts.to_pylist()], pa.int64())
+
+    return prints(text)
 
 
 def _flips() -> np.ndarray:
@@ -196,7 +201,7 @@ def signatures(documents: DataFrame) -> DataFrame:
     """``doc_id`` and fingerprint (``print``) per row, written once."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("t"))
-    return stored(rows.select("doc_id", fingerprint("t").alias("print")), "prints")
+    return stored(rows.select("doc_id", fingerprint(F.col("t")).alias("print")), "prints")
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ class Grammar:
         if next(self.finder.iter(text), None) is None:
             return FLOOR
         total = sum(self.clause(m.group()) for m in CLAUSE.finditer(text))
-        return 1.0 - (1.0 - FLOOR) * math.exp(-total)
+        return 1.0 - (1.0 - FLOOR) * math.exp(-total) if total else FLOOR
 
 
 def word_counts(documents: DataFrame, labels: DataFrame, held_out: Column) -> tuple[DataFrame, int, int]:
