@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,8 +40,10 @@ REPORTS = "said says wrote called calls claimed claims quoted quote reported rep
 #: Rows of labelled documents the lexicon is fitted on, per class.
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000
 #: Least log-likelihood ratio and precision (classes weighted alike) of a learned entry.
-EVIDENCE, PRECISION = 22.0, 0.9
+EVIDENCE, PRECISION = 22.0, 0.95
 PREFIXES = (4, 8)
+#: How fast an entry's weight falls with the share of clean documents among those that hold it.
+DOUBT = 60.0
 MAX_ENTRIES = 5_000
 FLOOR = 0.02
 #: Weight factors and reach, in words, of the marks.
@@ -130,7 +133,8 @@ def word_counts(documents: DataFrame, labels: DataFrame, held_out: Column) -> tu
     """Of the sampled labelled documents outside ``held_out``: in how many of each class a word stands.
 
     The sample holds the documents whose hashed id is smallest, at most ``TOXIC_ROWS`` and
-    ``CLEAN_ROWS``. Copies, told by their first 40 characters, count once.
+    ``CLEAN_ROWS``. Copies and near copies, told by two minimum hashes of their word triples, count once,
+    else every word of a much copied document would look like evidence.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -143,7 +147,9 @@ def word_counts(documents: DataFrame, labels: DataFrame, held_out: Column) -> tu
     chosen = chosen.unionAll(known.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").select("toxic", "text").where("text <> ''")
-    rows = rows.groupBy("toxic", F.substring("text", 1, 40).alias("head")).agg(F.min("text").alias("text"))
+    rows = rows.withColumn("low", least_hashes()("text")).select("toxic", "text", "low.*")
+    rows = rows.groupBy("toxic", "first").agg(F.min("text").alias("text"), F.min_by("second", "text").alias("second"))
+    rows = rows.groupBy("toxic", "second").agg(F.min("text").alias("text")).select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
@@ -167,6 +173,22 @@ def word_counts(documents: DataFrame, labels: DataFrame, held_out: Column) -> tu
     return counts
 
 
+def least_hashes():
+    """A column function: the least values of two hashes over the word triples of a text."""
+
+    @F.arrow_udf("struct<first:bigint,second:bigint>")
+    def low(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = []
+            for text in texts.to_pylist():
+                words = WORD.findall(text.lower()) or [text]
+                triples = [" ".join(words[i : i + 3]).encode() for i in range(max(len(words) - 2, 1))]
+                out.append({"first": min(map(zlib.crc32, triples)), "second": min(zlib.crc32(t, 1) * 2654435761 % 2**32 for t in triples)})
+            yield pa.array(out, pa.struct([("first", pa.int64()), ("second", pa.int64())]))
+
+    return low
+
+
 def learn(documents: DataFrame, labels: DataFrame, held_out: Column) -> tuple[dict[str, float], dict[str, float]]:
     """The learned words and word beginnings with their weights, at most ``MAX_ENTRIES`` of each."""
     counts = stored(word_counts(documents, labels, held_out), "words")
@@ -196,9 +218,9 @@ def learn(documents: DataFrame, labels: DataFrame, held_out: Column) -> tuple[di
     )
     begun = begun.where("words >= 3 AND top <= 0.5 * toxic")
     best = lambda df, key: df.orderBy(F.desc("gain"), key).limit(MAX_ENTRIES).collect()
-    prefixes = {r.prefix: float(r.precision) for r in best(evidence(begun), "prefix")}
+    prefixes = {r.prefix: math.exp((r.precision - 1) * DOUBT) for r in best(evidence(begun), "prefix")}
     short = {p: w for p, w in prefixes.items() if not any(p[:n] in prefixes for n in range(low, len(p)))}
-    exact = {r.word: float(r.precision) for r in best(evidence(words), "word")}
+    exact = {r.word: math.exp((r.precision - 1) * DOUBT) for r in best(evidence(words), "word")}
     return exact, short
 
 
