@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, lm, pieces, quality, secrets, simhash, toxicity, warc
+from lodestone.llm import decontaminate, hnsw, lm, pieces, quality, secrets, simhash, toxicity, warc
 from lodestone.session import scratch_path
 
 QUERIES = {}
@@ -106,6 +106,11 @@ def _cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op8_hnsw")
+def _hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op9_sentencepiece")
 def _sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
