@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, hnsw, lm, pieces, quality, secrets, simhash, toxicity, warc
+from lodestone.llm import decontaminate, hnsw, lm, pieces, quality, secrets, simhash, suffix_dedup, toxicity, warc
 from lodestone.session import scratch_path
 
 QUERIES = {}
@@ -76,6 +76,11 @@ def _warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive(table(spark, folder, "pages"), scratch_path(spark, "warc"))
 
 
+@query("op3_suffix_dedup")
+def _suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, folder, "documents"))
+
+
 @query("op4_simhash")
 def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash(table(spark, folder, "documents"))
