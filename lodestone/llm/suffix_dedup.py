@@ -14,7 +14,8 @@ by the identifiers of what follows, only while they hold more than one document:
 In each round documents ask in parts: a part sends every distinct (bucket, identifier) with its
 smallest document once, sorted tasks merge the parts, and the answers go back to the parts, so a
 passage that a third of all documents share costs one entry per part. Only runs of shared buckets
-are carried on, a fraction of the text. Identifiers of refined buckets have 128 bits.
+are carried on, a fraction of the text. The first question sends 48 bits of a bucket, which can only
+let too many pass; identifiers of refined buckets have 128 bits.
 
 Of documents with the same text, all but the smallest are removed as a whole, without any of this,
 if they have 50 bytes. Null texts are empty. Rows that share id and text get the same result. A
@@ -35,7 +36,9 @@ from lodestone.llm.common import parts, small_batches, stored, text_of
 from lodestone.operators.topk import join_counted
 
 LENGTH = 50
-GRAM = 16
+GRAM = 32
+#: Bytes of a bucket identifier in the first question, which is only a filter.
+SHORT = 6
 #: Bytes of text a part holds, about.
 PART_BYTES = 16 << 20
 #: Largest table of removed spans sent to every task.
@@ -132,38 +135,54 @@ class Entries:
         rows = {s: i for i, s in enumerate(told["slot"].to_pylist())}
         for slot, at in self.slots(n):
             i = rows[slot]
-            many[at] = np.frombuffer(told["many"][i].as_py(), bool)
+            many[at] = np.unpackbits(np.frombuffer(told["many"][i].as_py(), np.uint8))[: len(at)].astype(bool)
             if (raw := told["least"][i].as_py()) is not None:
-                least[at] = np.frombuffer(raw, np.int64)
+                least[at] = unsqueezed(raw)
         return least[self.place], many[self.place]
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(values.tobytes(), asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(raw[8:], 8 * int.from_bytes(raw[:8], "little")), np.int64)
+
+
+def cut_short(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT].tobytes()
+
+
+def made_long(raw: bytes) -> np.ndarray:
+    short = np.frombuffer(raw, np.uint8).reshape(-1, SHORT)
+    return np.pad(short, ((0, 0), (0, 8 - SHORT))).view("<u8").ravel()
+
+
 def answer(table: pa.Table) -> pa.Table:
-    """Merge what all parts ask of one slot; an entry without ``b`` has only its part as identifier."""
+    """Merge what all parts ask of one slot."""
     rows = table.to_pylist()
-    a = [np.frombuffer(r["a"], U) for r in rows]
-    sizes = [len(x) for x in a]
     plain = rows[0]["b"] is None
-    if plain:
-        b, o = [np.full(n, r["part"], np.int64).view(U) for n, r in zip(sizes, rows)], [np.zeros(n, np.int64) for n in sizes]
-        m = np.concatenate([np.frombuffer(r["m"], bool) for r in rows])
+    a = [made_long(r["a"]) if plain else np.frombuffer(r["a"], U) for r in rows]
+    sizes, a = [len(x) for x in a], np.concatenate(a)
+    many, least = np.empty(len(a), bool), None
+    if plain:  # a bucket that two parts send has several documents
+        order = np.argsort(a, kind="stable")
+        head = np.concatenate([[True], a[order][1:] != a[order][:-1]])
+        heads, m = np.nonzero(head)[0], np.concatenate([np.frombuffer(r["m"], bool) for r in rows])
+        several = (np.diff([*heads, len(a)]) > 1) | np.logical_or.reduceat(m[order], heads)
     else:
-        b, o = [np.frombuffer(r["b"], U) for r in rows], [np.frombuffer(r["o"], np.int64) for r in rows]
-    a, b, o = np.concatenate(a), np.concatenate(b), np.concatenate(o)
-    order = np.lexsort((o, b, a))
-    x, y = a[order], b[order]
-    head = np.concatenate([[True], x[1:] != x[:-1]])
-    kind = head | np.concatenate([[True], y[1:] != y[:-1]])
-    several = np.add.reduceat(kind, np.nonzero(head)[0]) > 1
-    if plain:
-        several |= np.logical_or.reduceat(m[order], np.nonzero(head)[0])
-    least, many = np.empty(len(a), np.int64), np.empty(len(a), bool)
+        b, o = np.concatenate([np.frombuffer(r["b"], U) for r in rows]), np.concatenate([unsqueezed(r["o"]) for r in rows])
+        order = np.lexsort((o, b, a))
+        head = np.concatenate([[True], a[order][1:] != a[order][:-1]])
+        kind = head | np.concatenate([[True], b[order][1:] != b[order][:-1]])
+        several = np.add.reduceat(kind, np.nonzero(head)[0]) > 1
+        least = np.empty(len(a), np.int64)
+        least[order] = o[order][kind][np.cumsum(kind) - 1]
     many[order] = several[np.cumsum(head) - 1]
-    least[order] = o[order][kind][np.cumsum(kind) - 1]
     out = []
     for r, start, n in zip(rows, np.cumsum([0, *sizes]), sizes):
         at = slice(start, start + n)
-        out.append((r["part"], r["slot"], None if plain else least[at].tobytes(), many[at].tobytes()))
+        out.append((r["part"], r["slot"], None if plain else squeezed(least[at]), np.packbits(many[at]).tobytes()))
     return table_of(out, ANSWER)
 
 
@@ -174,24 +193,30 @@ def asked(rows: DataFrame, entries, slots: int) -> DataFrame:
         found, part = entries(table), key[0].as_py()
         out = []
         for slot, at in found.slots(slots):
-            if found.b[:1].tolist() == [None]:
-                out.append((part, slot, found.a[at].tobytes(), None, None, found.o[at].tobytes()))
+            if isinstance(found, Buckets):
+                out.append((part, slot, cut_short(found.a[at]), None, None, found.several[at].tobytes()))
             else:
-                out.append((part, slot, found.a[at].tobytes(), found.b[at].tobytes(), found.o[at].tobytes(), None))
+                out.append((part, slot, found.a[at].tobytes(), found.b[at].tobytes(), squeezed(found.o[at]), None))
         return table_of(out, ENTRY)
 
     return rows.groupBy("part").applyInArrow(send, ENTRY).groupBy("slot").applyInArrow(answer, ANSWER)
 
 
 class Buckets(Entries):
-    """The first question: distinct buckets, and whether several documents of the part hold them."""
+    """The first question: distinct buckets, and whether several documents of the part hold them.
+
+    ``owners`` do not fall; buckets are cut to ``SHORT`` bytes.
+    """
 
     def __init__(self, keys: np.ndarray, owners: np.ndarray):
-        super().__init__(keys, np.zeros(len(keys), U), np.zeros(len(keys), np.int64))
-        first, last = np.full(len(self.a), LAST), np.full(len(self.a), -1)
-        np.minimum.at(first, self.place, owners)
-        np.maximum.at(last, self.place, owners)
-        self.o, self.b = first != last, np.array([None])
+        keys = keys >> U(64 - 8 * SHORT)
+        order = np.argsort(keys, kind="stable")
+        keys, owners = keys[order], owners[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        self.place = np.empty(len(keys), np.int64)
+        self.place[order] = np.cumsum(new) - 1
+        self.a, heads = keys[new], np.nonzero(new)[0]
+        self.several = owners[heads] != owners[np.concatenate([heads[1:] - 1, [len(owners) - 1]])]
 
 
 def part_runs(table: pa.Table) -> tuple[list, Buckets]:
