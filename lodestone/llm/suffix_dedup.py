@@ -64,14 +64,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    return np.concatenate([[U(1)], np.cumprod(np.full(n, base, U))])
+    """The first ``n`` powers, kept for the next call."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = _POWERS[int(base)] = np.concatenate([[U(1)], np.cumprod(np.full(max(n, 1 << 16), base, U))])
+    return known[:n]
 
 
 def identifiers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """64-bit identifiers of the strings ``data[start:end]``."""
-    sums = np.concatenate([[U(0)], np.cumsum(TABLE[which][data] * powers(BASE[which], len(data))[:-1])])
-    return mix((sums[ends] - sums[starts]) * powers(INVERSE[which], len(data))[starts] + (ends - starts).astype(U))
+    n = len(data)
+    sums = np.zeros(n + 1, U)
+    np.cumsum(TABLE[which][data] * powers(BASE[which], n), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * powers(INVERSE[which], n + 1)[starts] + (ends - starts).astype(U))
 
 
 def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,13 +276,15 @@ def run_entries(table: pa.Table) -> Entries:
 def window_entries(table: pa.Table) -> Entries:
     """The third question: two identifiers of every window that is still open."""
     table = in_order(table)
-    a, b, o = [], [], []
-    for d, f, l, order in zip(*_arrays(table, "data firsts lasts"), table["ord"].to_pylist()):
-        at = open_windows(f, l)
-        a.append(identifiers(d, at, at + LENGTH))
-        b.append(identifiers(d, at, at + LENGTH, 1))
-        o.append(np.full(len(at), order))
-    return Entries(np.concatenate(a), np.concatenate(b), np.concatenate(o))
+    data, firsts, lasts = _arrays(table, "data firsts lasts")
+    sizes = [len(d) for d in data]
+    # the regions of a part as one text: no window reaches over the end of its region
+    begin = np.repeat(np.cumsum([0, *sizes[:-1]]), [len(f) for f in firsts])
+    firsts, lasts, data = np.concatenate(firsts) + begin, np.concatenate(lasts) + begin, np.concatenate(data)
+    at = open_windows(firsts, lasts)
+    whose = np.searchsorted(np.cumsum(sizes), at, side="right")
+    owners = np.array(table["ord"].to_pylist(), np.int64)[whose]
+    return Entries(identifiers(data, at, at + LENGTH), identifiers(data, at, at + LENGTH, 1), owners)
 
 
 def open_windows(firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
