@@ -36,7 +36,7 @@ from lodestone.llm.common import fresh, small_batches, stored, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer texts are scanned in parallel.
-CHUNK = 16_384
+CHUNK = 65_536
 #: Chunks multiplied in one task.
 BLOCK = 256
 SCALE = 1 << 16
