@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.vectors import int8_codes, pair_score, to_matrix
 from lodestone.operators.dense import (
+    no_hits,
     BLOCK_CELLS,
     DEFAULT_TOP_K,
     block_shape,
     grid_scan,
     vector_search,
 )
-from lodestone.operators.topk import rank_hits, with_rows
+from lodestone.operators.topk import deepest, limit_per_query, rank_hits, with_rows
 from lodestone.session import cut_lineage
 
 MAX_CENTROIDS = 65_536
@@ -146,7 +147,8 @@ def ann_search(
     # One row per probed cell, at most MAX_CENTROIDS of them.
     probing = probes.groupBy("cell").agg(F.count("*").alias("q"), F.max(F.size("query_vector")).alias("dim")).collect()
     if not probing:
-        raise ValueError("no queries")
+        return no_hits(queries, index)
+    depth = deepest(queries, k)
     dim = max(r["dim"] for r in probing)
     block_rows, block_queries = block_shape(dim, block_rows, block_queries)
     rows = index.select("id", "values", "cell").where(F.col("cell").isin([r["cell"] for r in probing]))
@@ -156,8 +158,8 @@ def ann_search(
         F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("row_salts"),
         F.ceil(F.col("q") / F.lit(block_queries)).cast("int").alias("query_salts"),
     )
-    hits = grid_scan(probes, rows, k, metric, dim, "cell", F.broadcast(salts))
-    return rank_hits(hits, k).select("query_id", "rank", "id", "score")
+    hits = grid_scan(probes, rows, depth, metric, dim, "cell", F.broadcast(salts))
+    return limit_per_query(rank_hits(hits, depth).select("query_id", "rank", "id", "score"), queries, k)
 
 
 def rerank_depth_search(
@@ -171,7 +173,8 @@ def rerank_depth_search(
 
     Depth 0 means 10k, at least 100. The full vectors are read only for the candidates.
     """
-    depth = depth or max(10 * k, 100)
+    most = deepest(queries, k)
+    depth = max(depth or max(10 * most, 100), most)
     codes = index.select("id", F.col("codes").alias("values"), "scale")
     coarse = vector_search(queries.drop("top_k"), codes, depth, "dot").select("query_id", "id")
     exact = (
@@ -179,4 +182,4 @@ def rerank_depth_search(
         .join(queries.select("query_id", "query_vector"), "query_id")
         .select("query_id", "id", pair_score(metric, F.col("values"), F.col("query_vector")).alias("score"))
     )
-    return rank_hits(exact, k).select("query_id", "rank", "id", "score")
+    return limit_per_query(rank_hits(exact, most).select("query_id", "rank", "id", "score"), queries, k)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.vectors import METRICS, score_block, to_matrix
-from lodestone.operators.topk import limit_per_query, rank_hits
+from lodestone.operators.topk import deepest, limit_per_query, rank_hits
 
 DEFAULT_TOP_K = 10
 QUERY_ROWS = 4_096  # most queries sent to every task
@@ -96,6 +96,9 @@ class Scan:
         matrix = to_matrix(batch.column("values"), self.queries.shape[1])
         if "scale" in batch.schema.names:
             matrix = matrix * batch.column("scale").to_numpy()[:, None]
+        finite = np.isfinite(matrix).all(axis=1)
+        if not finite.all():
+            matrix, batch = matrix[finite], batch.filter(pa.array(finite))
         scores = score_block(self.metric, matrix, self.queries)
         # A first bound from the first block; later ones come from the merged result. Ties with
         # the k-th score stay in until ids break them.
@@ -228,6 +231,12 @@ def _arrow_schema(schema: T.StructType) -> list:
     return list(to_arrow_schema(schema))
 
 
+def no_hits(queries: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The result of a search without queries."""
+    fields = [queries.schema["query_id"], T.StructField("rank", T.IntegerType()), corpus.schema["id"]]
+    return queries.sparkSession.createDataFrame([], T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+
+
 def vector_search(
     queries: DataFrame,
     corpus: DataFrame,
@@ -239,7 +248,9 @@ def vector_search(
     """Exact top-k: ``query_id, rank, id, score``, higher scores first.
 
     Metrics: ``cosine``, ``dot`` and ``l2`` (negated distance). Filter the corpus before the
-    call to search a subset of it; rows of another dimension than the queries do not match.
+    call to search a subset of it; rows of another dimension than the queries, and rows with a null
+    or non-finite element, do not match. A column ``top_k`` of the queries comes before ``k``; null
+    and 0 mean ``k``. Without queries there are no hits.
     ``strategy`` is ``broadcast``, ``grid`` or ``auto`` (by the measured size of the queries).
     """
     if metric not in METRICS:
@@ -250,14 +261,15 @@ def vector_search(
     corpus = corpus.select("id", "values", *[c for c in corpus.columns if c == "scale"])
     head = wanted.select("query_id", "query_vector").limit(query_rows + 1).toArrow()
     if head.num_rows == 0:
-        raise ValueError("no query has a vector")
+        return no_hits(queries, corpus)
     dim = len(head["query_vector"][0])
+    depth = deepest(wanted, k)
     fits = head.num_rows <= query_rows and head.num_rows * dim * 8 <= QUERY_BYTES
     if strategy == "broadcast" and not fits:
         raise ValueError("the queries exceed the broadcast budget")
     if fits and strategy != "grid":
-        hits = _broadcast_scan(head, corpus, queries.schema["query_id"].dataType, k, metric)
+        hits = _broadcast_scan(head, corpus, queries.schema["query_id"].dataType, depth, metric)
     else:
-        hits = grid_scan(wanted, corpus, k, metric, dim)
-    ranked = rank_hits(hits, k).select("query_id", "rank", "id", "score")
-    return limit_per_query(ranked, queries) if "top_k" in queries.columns else ranked
+        hits = grid_scan(wanted, corpus, depth, metric, dim)
+    ranked = rank_hits(hits, depth).select("query_id", "rank", "id", "score")
+    return limit_per_query(ranked, queries, k)

@@ -78,11 +78,11 @@ def aggregate_citations(context: DataFrame, include_sources: bool = True) -> Dat
 def resolve_inline_citations(answers: DataFrame, citations: DataFrame) -> DataFrame:
     """Each ``[n]`` of an answer with the n-th source of that answer.
 
-    Marks beyond the last source stay, with a null source.
+    Marks beyond the last source stay, with a null source; numbers beyond 32 bits have a null citation.
     """
     marks = answers.select(
-        "query_id", F.posexplode(F.regexp_extract_all("answer", F.lit(r"\[(\d{1,9})\]"), F.lit(1))).alias("mark", "n")
-    ).withColumn("citation", F.col("n").cast("int")).drop("n")
+        "query_id", F.posexplode(F.regexp_extract_all("answer", F.lit(r"\[(\d+)\]"), F.lit(1))).alias("mark", "n")
+    ).withColumn("citation", F.col("n").try_cast("int")).drop("n")
     return marks.join(citations.select("query_id", "citation", "doc_id"), ["query_id", "citation"], "left").select(
         "query_id", "mark", "citation", "doc_id"
     )

@@ -14,7 +14,7 @@ from lodestone.functions.text import tokens
 from lodestone.operators.dense import DEFAULT_TOP_K, vector_search
 from lodestone.operators.embed import DEFAULT_DIM, HASHING, embed_texts
 from lodestone.operators.sparse import SparseIndex, sparse_search
-from lodestone.operators.topk import limit_per_query, rank_hits, with_rows
+from lodestone.operators.topk import deepest, limit_per_query, rank_hits, with_rows
 
 COVERAGE = ("local", "coverage")
 DEFAULT_ALPHA = 0.5
@@ -120,12 +120,13 @@ def hybrid_search(
     Each side offers ``depth`` candidates (4k, at least 100). ``alpha`` is the weight of the
     dense side, one half by default; a column ``alpha`` of the queries comes first.
     """
-    depth = depth or max(4 * k, 100)
+    most = deepest(queries, k)
+    depth = depth or max(4 * most, 100)
     plain = queries.drop("top_k")
     dense = text_search(plain, corpus, depth, metric, provider, model, dim)
     weights = queries if "alpha" in queries.columns else None
-    fused = fuse(dense, sparse_search(plain, index, depth), k, alpha, weights)
-    return limit_per_query(fused, queries) if "top_k" in queries.columns else fused
+    fused = fuse(dense, sparse_search(plain, index, depth), most, alpha, weights)
+    return limit_per_query(fused, queries, k)
 
 
 def register_reranker(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import term_counts, tokens
-from lodestone.operators.topk import limit_per_query, rank_hits
+from lodestone.operators.topk import deepest, limit_per_query, rank_hits
 from lodestone.session import cut_lineage
 
 K1 = 1.2
@@ -103,5 +103,5 @@ def sparse_search(queries: DataFrame, index: SparseIndex, k: int = 10, term_rows
         .groupBy("query_id", "id")
         .agg(F.round(F.sum("__p"), 6).alias("score"))
     )
-    ranked = rank_hits(hits, k).select("query_id", "rank", "id", "score")
-    return limit_per_query(ranked, queries) if "top_k" in queries.columns else ranked
+    ranked = rank_hits(hits, deepest(queries, k)).select("query_id", "rank", "id", "score")
+    return limit_per_query(ranked, queries, k)

@@ -38,9 +38,23 @@ def rank_hits(
     return hits.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def limit_per_query(hits: DataFrame, queries: DataFrame) -> DataFrame:
-    """Apply the queries' own ``top_k`` to ranked hits."""
-    limits = queries.select("query_id", F.col("top_k").alias("__k"))
+def own_top_k(k: int) -> Column:
+    """The depth a query asks for in its ``top_k``; null and 0 ask for ``k``."""
+    return F.coalesce(F.nullif(F.col("top_k").cast("int"), F.lit(0)), F.lit(k))
+
+
+def deepest(queries: DataFrame, k: int) -> int:
+    """The depth to rank to: the largest that any query asks for."""
+    if "top_k" not in queries.columns:
+        return k
+    return max(queries.agg(F.max(own_top_k(k))).first()[0] or k, 1)
+
+
+def limit_per_query(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Cut hits ranked to ``deepest`` to each query's own ``top_k``, if the queries have one."""
+    if "top_k" not in queries.columns:
+        return hits
+    limits = queries.select("query_id", own_top_k(k).alias("__k"))
     return hits.join(limits, "query_id").where(F.col("rank") <= F.col("__k")).drop("__k")
 
 

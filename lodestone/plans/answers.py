@@ -62,14 +62,14 @@ def _aggregate_citations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "resolve_inline_citations",
-    f"""WITH {SQL_CITATIONS}, an AS (SELECT item_id AS query_id, text || ' see [1] and [3], not [x] or [9].' AS answer FROM benchmark),
-mk AS (SELECT query_id, (unnest(generate_series(1, len(m))) - 1)::INTEGER AS mark, unnest(m)::INTEGER AS citation
-  FROM (SELECT query_id, regexp_extract_all(answer, '\\[(\\d{{1,9}})\\]', 1) AS m FROM an))
+    f"""WITH {SQL_CITATIONS}, an AS (SELECT item_id AS query_id, text || ' see [1] and [3], not [x], [12345678901] or [9].' AS answer FROM benchmark),
+mk AS (SELECT query_id, (unnest(generate_series(1, len(m))) - 1)::INTEGER AS mark, try_cast(unnest(m) AS INTEGER) AS citation
+  FROM (SELECT query_id, regexp_extract_all(answer, '\\[(\\d+)\\]', 1) AS m FROM an))
 SELECT mk.query_id, mark, mk.citation, doc_id FROM mk LEFT JOIN cn ON cn.query_id = mk.query_id AND cn.citation = mk.citation""",
 )
 def _resolve_inline_citations(spark: SparkSession, folder: str) -> DataFrame:
     answers = text_queries(spark, folder).select(
-        "query_id", F.concat("query_text", F.lit(" see [1] and [3], not [x] or [9].")).alias("answer")
+        "query_id", F.concat("query_text", F.lit(" see [1] and [3], not [x], [12345678901] or [9].")).alias("answer")
     )
     return resolve_inline_citations(answers, aggregate_citations(context(spark, folder)))
 
@@ -246,30 +246,31 @@ def _schedule_references(spark: SparkSession, folder: str) -> DataFrame:
     return schedule_references(sources, schedules)
 
 
+def labelled_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as sources, and the labels that refer to them."""
+    columns = [F.col("doc_id").alias("source_id"), F.col("source").alias("name"), F.col("lang").alias("type")]
+    return table(spark, folder, "documents").select(*columns), table(spark, folder, "labels").select(F.col("doc_id").alias("source_id"))
+
+
 @query(
     "unused_sources",
-    """SELECT c_custkey AS source_id, c_name AS name, c_mktsegment AS type FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AND c_custkey NOT IN (SELECT l_suppkey FROM lineitem)""",
+    """SELECT doc_id AS source_id, source AS name, lang AS type FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
 )
 def _unused_sources(spark: SparkSession, folder: str) -> DataFrame:
-    sources, _, _ = customer_sources(spark, folder)
-    finished = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("source_id"))
-    lines = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("source_id"))
-    return unused_sources(sources, finished, lines)
+    sources, labelled = labelled_documents(spark, folder)
+    return unused_sources(sources, labelled)
 
 
 @query(
     "cleanup_unused",
-    """WITH dm AS (SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
-  UNION SELECT doc_id FROM labels WHERE toxic = 1)
-SELECT c_custkey AS source_id, c_name AS name, c_mktsegment AS type,
-  CASE WHEN c_custkey IN (SELECT c_custkey FROM dm) THEN 'deleted' ELSE 'kept' END AS outcome FROM customer""",
+    """SELECT doc_id AS source_id, source AS name, lang AS type,
+  CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0) THEN 'kept' ELSE 'deleted' END AS outcome FROM documents""",
 )
 def _cleanup_unused(spark: SparkSession, folder: str) -> DataFrame:
-    sources, _, _ = customer_sources(spark, folder)
-    finished = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("source_id"))
+    sources, labelled = labelled_documents(spark, folder)
     forced = table(spark, folder, "labels").where("toxic = 1").select(F.col("doc_id").alias("source_id"))
-    kept, deleted = cleanup_unused(sources, finished, force=forced)
+    kept, deleted = cleanup_unused(sources, labelled, force=forced)
     columns = ["source_id", "name", "type"]
     return kept.select(*columns, F.lit("kept").alias("outcome")).unionByName(
         deleted.select(*columns, F.lit("deleted").alias("outcome"))

@@ -68,6 +68,29 @@ def _vector_search_grid(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search(label_queries(spark, folder), vectors(spark, folder), 10, strategy="grid")
 
 
+# Label 0 asks for 3 hits, label 1 for 25, the others for the default by 0 or null.
+SQL_OWN_K = "CASE query_id WHEN 0 THEN 3 WHEN 1 THEN 25 ELSE 10 END"
+
+
+def with_own_top_k(queries: DataFrame) -> DataFrame:
+    place = F.col("query_id").cast("int")
+    return queries.withColumn("top_k", F.when(place == 0, 3).when(place == 1, 25).when(place == 2, 0))
+
+
+@query("vector_search_own_top_k", f"WITH {SQL_CENTROIDS} {sql_top(SQL_EXACT, SQL_OWN_K)}")
+def _vector_search_own_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search(with_own_top_k(label_queries(spark, folder)), vectors(spark, folder), 10)
+
+
+# Vectors of label 3 lose an element or get one that is no number: they match nothing.
+@query("vector_search_bad_vectors", f"WITH {SQL_CENTROIDS} {sql_top(SQL_EXACT + ' WHERE embeddings.label <> 3', 10)}")
+def _vector_search_bad_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    corpus = table(spark, folder, "embeddings")
+    broken = F.when(F.col("vec_id") % 2 == 0, F.lit(float("nan")).cast("float"))
+    values = F.when(F.col("label") == 3, F.concat(F.slice("embedding", 1, 63), F.array(broken))).otherwise(F.col("embedding"))
+    return vector_search(label_queries(spark, folder), corpus.select(F.col("vec_id").alias("id"), values.alias("values")), 10)
+
+
 SQL_L2 = "SELECT query_id, vec_id AS id, round(-list_distance(embedding::DOUBLE[], qv), 6) AS score FROM q, embeddings"
 
 
@@ -146,6 +169,12 @@ def _sparse_search(spark: SparkSession, folder: str) -> DataFrame:
     return sparse_search(text_queries(spark, folder), build_sparse_index(texts(spark, folder)), 10)
 
 
+@query("sparse_search_own_top_k", f"WITH {SQL_BM25} {sql_top('SELECT * FROM bm', SQL_OWN_K)}")
+def _sparse_search_own_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    asked = with_own_top_k(text_queries(spark, folder))
+    return sparse_search(asked, build_sparse_index(texts(spark, folder)), 10)
+
+
 SQL_FUSED = f"""{SQL_TEXT_VECTORS}, {SQL_BM25},
 dn AS ({sql_top(SQL_TEXT_HITS, 100)}), sp AS ({sql_top('SELECT * FROM bm', 100)}),
 dm AS (SELECT query_id, id, CASE WHEN max(score) OVER w > min(score) OVER w

@@ -20,6 +20,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         },

@@ -69,8 +69,7 @@ def test_strategy_errors(queries, vectors):
         vector_search(queries, vectors, 5, "hamming")
     with pytest.raises(ValueError):
         vector_search(queries, vectors, 5, strategy="broadcast", query_rows=2)
-    with pytest.raises(ValueError):
-        vector_search(queries.limit(0), vectors, 5)
+    assert vector_search(queries.where("false"), vectors).count() == 0
 
 
 def test_copies_tie_by_id(spark):
@@ -106,6 +105,28 @@ def test_top_k_per_query(spark, queries, vectors):
     assert all(r["count"] == r["query_id"] % 3 + 1 for r in counts.collect())
 
 
+def test_own_depth_and_no_queries(spark, queries, vectors):
+    asked = queries.withColumn("top_k", F.when(F.col("query_id") == 0, 3).when(F.col("query_id") == 1, 25).when(F.col("query_id") == 2, 0))
+    centroids = ann.train_centroids(vectors, 6)
+    index = ann.ann_build(vectors, centroids)
+    for hits in (
+        vector_search(asked, vectors, 10),
+        ann.ann_search(asked, index, centroids, 10, nprobe=64),
+        ann.rerank_depth_search(asked, index, 10),
+    ):
+        found = {r.query_id: r["count"] for r in hits.groupBy("query_id").count().collect()}
+        assert (found[0], found[1], found[2], found[3]) == (3, 25, 10, 10)
+    none = queries.where("false")
+    assert vector_search(none, vectors).count() == ann.ann_search(none, index, centroids).count() == 0
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_vectors_with_bad_elements_match_nothing(spark, queries, vectors, metric):
+    bad = [(9_000_001, [float("nan")] * 64), (9_000_002, [None] * 64), (9_000_003, [float("inf")] + [0.0] * 63)]
+    more = vectors.unionAll(spark.createDataFrame(bad, "id long, values array<float>"))
+    assert rows(vector_search(queries, more, 10, metric)) == rows(vector_search(queries, vectors, 10, metric))
+
+
 def test_ann_with_all_cells_is_exact(queries, vectors):
     centroids = ann.train_centroids(vectors, 6)
     index = ann.ann_build(vectors, centroids)
