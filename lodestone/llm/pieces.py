@@ -43,6 +43,8 @@ SCALE = 1 << 16
 UNKNOWN = 10
 NEVER = -(1 << 60)
 REMEMBERED = 100_000
+#: Longest segment that is remembered, and the number of new ones solved together.
+TOGETHER, AT_ONCE = 64, 50_000
 
 IDS = pa.list_(pa.int32())
 
@@ -74,6 +76,13 @@ class Lattice(dict):
         self.bytes = {int(p[3:-1], 16): i for i, (p, usable) in enumerate(pieces) if re.fullmatch("<0x[0-9A-F]{2}>", p) and not usable}
         self.segments = self.cutter()
         self.older: dict = {}
+        # the beginnings of pieces as a tree: node 0 is empty, a step is (node, character)
+        node = {"": 0} | {p: i for i, p in enumerate(self.known, 1)}
+        steps = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in self.known])
+        order = np.argsort(steps)
+        self.steps, self.nodes = steps[order], order + 1
+        self.scores = np.array([NEVER] + [score for score, _ in self.known.values()])
+        self.ids = np.array([-1] + [-1 if i is None else i for _, i in self.known.values()])
 
     def cutter(self) -> re.Pattern:
         """Matches the segments between the places where every path has a cut.
@@ -90,7 +99,7 @@ class Lattice(dict):
 
     def __missing__(self, segment: str) -> tuple[tuple[int, ...], int]:
         made = self.older.get(segment) or self.path(segment)
-        if len(segment) <= 64:
+        if len(segment) <= TOGETHER:
             if len(self) >= REMEMBERED:  # segments not met again for as many others are forgotten
                 self.older = dict(self)
                 self.clear()
@@ -131,12 +140,98 @@ class Lattice(dict):
             if piece[n] is not None:
                 out.append(piece[n])
             else:
-                out += [self.bytes[b] for b in text[start[n] : n].encode("utf-8", "surrogatepass")[::-1]]
+                out += self.spelled(text[start[n] : n])[::-1]
             n = start[n]
         return tuple(out[::-1]), best[-1]
 
+    def remember(self, segments: set[str]) -> None:
+        """Solve the segments not yet known together, in array steps."""
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        new = []
+        for s in segments:
+            if s not in self and 0 < len(s) <= TOGETHER:
+                if (made := self.older.get(s)) is not None:
+                    self[s] = made
+                else:
+                    new.append(s)
+        for at in range(0, len(new), AT_ONCE):
+            self.update(self.solved(new[at : at + AT_ONCE]))
+
+    def solved(self, words: list[str]) -> Iterator[tuple[str, tuple[tuple[int, ...], int]]]:
+        """What ``path`` gives for each of many short texts."""
+        sizes = np.array([len(w) for w in words])
+        chars = np.array([ord(c) for w in words for c in w])
+        # position p of word w is place begin[w] + p; a word has one place more than characters
+        begin = np.cumsum(sizes + 1) - (sizes + 1)
+        places = np.arange(len(chars)) + np.repeat(np.arange(len(words)), sizes)
+        stops = np.repeat(begin + sizes, sizes)
+        padded = np.zeros(len(chars) + len(words), np.int64)
+        padded[places] = chars
+        found, at, node = [], places, np.zeros(len(places), np.int64)
+        for n in range(self.longest):
+            step = node << 21 | padded[at + n]
+            i = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            held = self.steps[i] == step
+            at, stops, node = at[held], stops[held], self.nodes[i[held]]
+            whole = self.ids[node] >= 0
+            found.append((at[whole], at[whole] + n + 1, self.scores[node[whole]], self.ids[node[whole]]))
+            if not n:  # characters without a piece
+                single = np.zeros(len(padded), bool)
+                single[at[whole]] = True
+                lone = places[~single[places]]
+                found.append((lone, lone + 1, np.full(len(lone), self.unknown), np.full(len(lone), -1)))
+            at, stops, node = (x[at + n + 1 < stops] for x in (at, stops, node))
+        start, stop, score, piece = map(np.concatenate, zip(*found))
+        # edges by the offset of their end in the word, then by that end, the longest first
+        offset = (np.arange(len(padded)) - np.repeat(begin, sizes + 1))[stop]
+        order = np.lexsort((start, stop, offset))
+        start, stop, score, piece, offset = (x[order] for x in (start, stop, score, piece, offset))
+        best = np.full(len(padded), NEVER)
+        best[begin] = 0
+        back, taken = np.zeros(len(padded), np.int64), np.zeros(len(padded), np.int64)
+        cuts = np.searchsorted(offset, np.arange(1, sizes.max() + 2))
+        for low, high in zip(cuts, cuts[1:]):
+            ends, total = stop[low:high], best[start[low:high]] + score[low:high]
+            heads = np.nonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))[0]
+            top = np.maximum.reduceat(total, heads)
+            hit = np.nonzero(total == np.repeat(top, np.diff([*heads, len(ends)])))[0]
+            first = hit[np.concatenate([[True], ends[hit][1:] != ends[hit][:-1]])]
+            best[ends[heads]], back[ends[heads]], taken[ends[heads]] = top, start[low:high][first], piece[low:high][first]
+        word, at = np.arange(len(words)), begin + sizes
+        owners, pieces, froms = [], [], []
+        while len(word):
+            owners.append(word), pieces.append(taken[at]), froms.append(back[at])
+            at = back[at]
+            left = at > begin[word]
+            word, at = word[left], at[left]
+        owner, piece, start = map(np.concatenate, (owners, pieces, froms))
+        order = np.lexsort((start, owner))
+        ids, lost = piece[order].tolist(), (start - begin[owner])[order].tolist()
+        counts = np.bincount(owner, minlength=len(words))
+        odd = np.zeros(len(words), bool)
+        odd[owner[piece < 0]] = True
+        ends = np.cumsum(counts)
+        for w, a, b, strange, total in zip(words, (ends - counts).tolist(), ends.tolist(), odd.tolist(), best[begin + sizes].tolist()):
+            if strange:
+                each = (self.spelled(w[p]) if i < 0 else (i,) for i, p in zip(ids[a:b], lost[a:b]))
+                yield w, (tuple(chain.from_iterable(each)), total)
+            else:
+                yield w, (tuple(ids[a:b]), total)
+
+    def spelled(self, text: str) -> list[int]:
+        """The ids of a text's bytes."""
+        return [self.bytes[b] for b in text.encode("utf-8", "surrogatepass")]
+
+    def cut(self, text: str) -> list[str]:
+        """The segments of a whole text."""
+        return self.segments.findall(f" {text}") if text else []
+
     def encode(self, text: str) -> np.ndarray:
-        segments = self.segments.findall(f" {text}") if text else []
+        return self.join(self.cut(text))
+
+    def join(self, segments: list[str]) -> np.ndarray:
         return np.fromiter(chain.from_iterable(self[s][0] for s in segments), np.int32)
 
     def states(self, text: str, begin: int, cut: int | None, end: int) -> np.ndarray:
@@ -213,7 +308,9 @@ def encoder(pieces: list[tuple[str, bool]]):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lattice = Lattice(pieces)
         for texts in batches:
-            each = [lattice.encode(t) for t in texts.to_pylist()]
+            cut = [lattice.cut(t) for t in texts.to_pylist()]
+            lattice.remember(set().union(*cut))
+            each = [lattice.join(c) for c in cut]
             ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *each])))
 
