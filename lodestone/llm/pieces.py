@@ -42,9 +42,11 @@ BLOCK = 256
 SCALE = 1 << 16
 UNKNOWN = 10
 NEVER = -(1 << 60)
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 #: Longest segment that is remembered, and the number of new ones solved together.
-TOGETHER, AT_ONCE = 64, 50_000
+TOGETHER, AT_ONCE = 64, 10_000
+#: Characters of the texts whose segments are held at once, about.
+HELD = 1 << 20
 
 IDS = pa.list_(pa.int32())
 
@@ -62,7 +64,7 @@ def vocabulary(path: str = MODEL) -> list[tuple[str, bool]]:
 
 
 class Lattice(dict):
-    """The paths over a vocabulary; as a dict, the ids and score of a segment's best path."""
+    """The paths over a vocabulary; as a dict, the ids (32-bit, as bytes) and score of a segment's best path."""
 
     def __init__(self, pieces: list[tuple[str, bool]]):
         super().__init__()
@@ -97,7 +99,7 @@ class Lattice(dict):
         rest = rf"[^ \n{signs}]*(?:(?<![^\W\d_])[{signs}][^ \n{signs}]*)*"
         return re.compile(rf"\n| +{rest}|[{signs}]{rest}|[^ \n{signs}]{rest}")
 
-    def __missing__(self, segment: str) -> tuple[tuple[int, ...], int]:
+    def __missing__(self, segment: str) -> tuple[bytes, int]:
         made = self.older.get(segment) or self.path(segment)
         if len(segment) <= TOGETHER:
             if len(self) >= REMEMBERED:  # segments not met again for as many others are forgotten
@@ -117,7 +119,7 @@ class Lattice(dict):
         if start < end and text[start] not in self.pieces:
             yield start + 1, self.unknown, None
 
-    def path(self, text: str, crossing: int = 0) -> tuple[tuple[int, ...], int]:
+    def path(self, text: str, crossing: int = 0) -> tuple[bytes, int]:
         """Ids and score of the best path over a whole text whose first piece ends behind ``crossing``."""
         n, size, known = len(text), self.longest, self.known.get
         best, start, piece = [NEVER] * (n + 1), [0] * (n + 1), [None] * (n + 1)
@@ -142,7 +144,7 @@ class Lattice(dict):
             else:
                 out += self.spelled(text[start[n] : n])[::-1]
             n = start[n]
-        return tuple(out[::-1]), best[-1]
+        return np.array(out[::-1], np.int32).tobytes(), best[-1]
 
     def remember(self, segments: set[str]) -> None:
         """Solve the segments not yet known together, in array steps."""
@@ -159,7 +161,7 @@ class Lattice(dict):
         for at in range(0, len(new), AT_ONCE):
             self.update(self.solved(new[at : at + AT_ONCE]))
 
-    def solved(self, words: list[str]) -> Iterator[tuple[str, tuple[tuple[int, ...], int]]]:
+    def solved(self, words: list[str]) -> Iterator[tuple[str, tuple[bytes, int]]]:
         """What ``path`` gives for each of many short texts."""
         sizes = np.array([len(w) for w in words])
         chars = np.array([ord(c) for w in words for c in w])
@@ -184,21 +186,21 @@ class Lattice(dict):
                 found.append((lone, lone + 1, np.full(len(lone), self.unknown), np.full(len(lone), -1)))
             at, stops, node = (x[at + n + 1 < stops] for x in (at, stops, node))
         start, stop, score, piece = map(np.concatenate, zip(*found))
-        # edges by the offset of their end in the word, then by that end, the longest first
+        # edges by the offset of their end in the word, the longest first: an end occurs once for each length
         offset = (np.arange(len(padded)) - np.repeat(begin, sizes + 1))[stop]
-        order = np.lexsort((start, stop, offset))
-        start, stop, score, piece, offset = (x[order] for x in (start, stop, score, piece, offset))
+        rank = (offset * self.longest + self.longest - (stop - start)).astype(np.int16)
+        order = np.argsort(rank, kind="stable")
+        rank, start, stop, score, piece = (x[order] for x in (rank, start, stop, score, piece))
         best = np.full(len(padded), NEVER)
         best[begin] = 0
         back, taken = np.zeros(len(padded), np.int64), np.zeros(len(padded), np.int64)
-        cuts = np.searchsorted(offset, np.arange(1, sizes.max() + 2))
+        cuts = [0, *(np.nonzero(np.diff(rank))[0] + 1).tolist(), len(rank)]
         for low, high in zip(cuts, cuts[1:]):
-            ends, total = stop[low:high], best[start[low:high]] + score[low:high]
-            heads = np.nonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))[0]
-            top = np.maximum.reduceat(total, heads)
-            hit = np.nonzero(total == np.repeat(top, np.diff([*heads, len(ends)])))[0]
-            first = hit[np.concatenate([[True], ends[hit][1:] != ends[hit][:-1]])]
-            best[ends[heads]], back[ends[heads]], taken[ends[heads]] = top, start[low:high][first], piece[low:high][first]
+            starts, ends = start[low:high], stop[low:high]
+            total = best[starts] + score[low:high]
+            better = total > best[ends]
+            ends = ends[better]
+            best[ends], back[ends], taken[ends] = total[better], starts[better], piece[low:high][better]
         word, at = np.arange(len(words)), begin + sizes
         owners, pieces, froms = [], [], []
         while len(word):
@@ -207,18 +209,18 @@ class Lattice(dict):
             left = at > begin[word]
             word, at = word[left], at[left]
         owner, piece, start = map(np.concatenate, (owners, pieces, froms))
-        order = np.lexsort((start, owner))
-        ids, lost = piece[order].tolist(), (start - begin[owner])[order].tolist()
-        counts = np.bincount(owner, minlength=len(words))
+        order = np.argsort(start)
+        ids, at = piece[order], (start - begin[owner])[order]
+        raw = ids.astype(np.int32).tobytes()
         odd = np.zeros(len(words), bool)
         odd[owner[piece < 0]] = True
-        ends = np.cumsum(counts)
-        for w, a, b, strange, total in zip(words, (ends - counts).tolist(), ends.tolist(), odd.tolist(), best[begin + sizes].tolist()):
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        for w, a, b, strange, total in zip(words, [0, *ends], ends, odd.tolist(), best[begin + sizes].tolist()):
             if strange:
-                each = (self.spelled(w[p]) if i < 0 else (i,) for i, p in zip(ids[a:b], lost[a:b]))
-                yield w, (tuple(chain.from_iterable(each)), total)
+                each = (self.spelled(w[p]) if i < 0 else (i,) for i, p in zip(ids[a:b].tolist(), at[a:b].tolist()))
+                yield w, (np.fromiter(chain.from_iterable(each), np.int32).tobytes(), total)
             else:
-                yield w, (tuple(ids[a:b]), total)
+                yield w, (raw[4 * a : 4 * b], total)
 
     def spelled(self, text: str) -> list[int]:
         """The ids of a text's bytes."""
@@ -232,7 +234,7 @@ class Lattice(dict):
         return self.join(self.cut(text))
 
     def join(self, segments: list[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(self[s][0] for s in segments), np.int32)
+        return np.frombuffer(b"".join([self[s][0] for s in segments]), np.int32)
 
     def states(self, text: str, begin: int, cut: int | None, end: int) -> np.ndarray:
         """Scores to the positions from ``begin`` to ``end`` for each state at ``begin``, by row the position.
@@ -308,9 +310,15 @@ def encoder(pieces: list[tuple[str, bool]]):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lattice = Lattice(pieces)
         for texts in batches:
-            cut = [lattice.cut(t) for t in texts.to_pylist()]
-            lattice.remember(set().union(*cut))
-            each = [lattice.join(c) for c in cut]
+            each, held, size = [], [], 0
+            for t in chain(texts.to_pylist(), [None]):
+                if t is not None:
+                    held.append(lattice.cut(t))
+                    size += len(t)
+                if t is None or size >= HELD:
+                    lattice.remember(set().union(*held))
+                    each += [lattice.join(c) for c in held]
+                    held, size = [], 0
             ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *each])))
 
@@ -419,11 +427,9 @@ def _trace(lattice: Lattice, text: str, begin: int, first: int, last: int) -> li
     path = text[begin - first : len(text) - last]
     cuts = [m.start() for m in lattice.segments.finditer(path)][1:]
     cuts = [c for c in cuts if c >= first] or [len(path)]
-    out = list(lattice.path(path[: cuts[0]], first)[0]) if first else []
-    start = cuts[0] if first else 0
-    for m in lattice.segments.finditer(path, start):
-        out += lattice[m.group()][0]
-    return out
+    out = [lattice.path(path[: cuts[0]], first)[0]] if first else []
+    out += [lattice[m.group()][0] for m in lattice.segments.finditer(path, cuts[0] if first else 0)]
+    return np.frombuffer(b"".join(out), np.int32).tolist()
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
