@@ -60,6 +60,17 @@ def cast_field(raw: Column, kind: str) -> Column:
     return value
 
 
+def retyped(name: str, old: str, kind: str) -> Column:
+    """A declared column under another type; null where the value does not fit.
+
+    A fraction does not fit a whole-number type.
+    """
+    value = F.col(name)
+    if old in ("f32", "f64") and kind in ("u32", "i32", "i64"):
+        return cast_field(F.when(F.rint(value) == value, value), kind)
+    return cast_field(value.cast("string"), kind)
+
+
 def _raw(name: str, variant: str) -> Column:
     return F.try_variant_get(F.col(variant), "$['" + name.replace("'", "\\'") + "']", "string")
 
@@ -108,8 +119,7 @@ def schema_merge(
     for name, kind in merged.fields:
         if old.get(name) == kind:
             continue
-        source = F.col(name).cast("string") if name in old else _raw_or_null(df, name, variant)
-        out[name] = cast_field(source, kind)
+        out[name] = retyped(name, old[name], kind) if name in old else cast_field(_raw_or_null(df, name, variant), kind)
     others = [c for c in df.columns if c not in dict(merged.fields)]
     return (df.withColumns(out) if out else df).select(*others, *[n for n, _ in merged.fields]), merged
 
@@ -126,8 +136,8 @@ def schema_replace(
         if old.get(name) == kind:
             kept.append(F.col(name))
         else:
-            source = F.col(name).cast("string") if name in old else _raw_or_null(df, name, variant)
-            kept.append(cast_field(source, kind).alias(name))
+            value = retyped(name, old[name], kind) if name in old else cast_field(_raw_or_null(df, name, variant), kind)
+            kept.append(value.alias(name))
     return df.select(*others, *kept), replaced
 
 

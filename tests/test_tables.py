@@ -151,6 +151,19 @@ def test_schema_changes(spark):
     assert union_versions([merged.drop("b"), merged]).count() == 4
 
 
+@pytest.mark.parametrize("old, new", [("f32", "i32"), ("f64", "i64"), ("f64", "u32")])
+def test_retyping_to_whole_numbers_keeps_values_that_fit(spark, old, new):
+    kind = {"f32": "float", "f64": "double"}[old]
+    values = [1.0, 2.0, 2.5, None, float("nan"), float("inf"), 1e30]
+    df = spark.createDataFrame(list(enumerate(values)), f"id int, a {kind}")
+    schema = MetadataSchema((("a", old),))
+    want = [1, 2, None, None, None, None, None]
+    merged, _ = schema_merge(df, schema, [("a", new)])
+    assert [a for _, a in rows(merged, "id", "a")] == want
+    replaced, _ = schema_replace(df, schema, [("a", new)])
+    assert [a for _, a in rows(replaced, "id", "a")] == want
+
+
 def test_chunks(spark):
     text = " ".join(str(i) for i in range(23))
     df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "a  b\nc")], "doc_id int, text string")
