@@ -19,14 +19,15 @@ from lodestone.operators.search import hybrid_search, result_projection, text_se
 from lodestone.operators.search import rerank as rerank_hits
 from lodestone.operators.sparse import build_sparse_index
 from lodestone.operators.topk import without_rows_of
-from lodestone.operators.write import assign_record_ids, latest_per_id, prepare_texts, split_by_dim
+from lodestone.operators.write import assign_record_ids, latest_per_id, prepare_texts
 
 DEFAULT_PROVIDER = "default"
 DEFAULT_MODEL = "embedding-4b"
 DEFAULT_METRIC = "cosine"
 
 ROWS = (
-    f"id {ID_TYPE}, values array<float>, metadata map<string,string>, position bigint, deleted boolean, seq bigint"
+    f"id {ID_TYPE}, values array<float>, metadata map<string,string>, position bigint, deleted boolean,"
+    " reason string, seq bigint"
 )
 
 
@@ -62,7 +63,8 @@ class Collection:
     """A handle on the collection at ``path``.
 
     Inserts and deletes append a batch under a sequence number; reading takes the newest row
-    of each id. Repeating a call with the same ``seq`` rewrites the same batch.
+    of each id. Repeating a call with the same ``seq`` rewrites the same batch; a new batch must
+    follow the last compacted one. Of two writers that take the same next number one fails.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: CollectionSpec):
@@ -95,20 +97,39 @@ class Collection:
         self._write_spec("overwrite")
         return self
 
-    def _table(self, name: str) -> DataFrame:
+    def _seqs(self, name: str) -> list[int]:
+        """Numbers of the batches below a folder, empty ones included; no file is read."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        folders = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+        return [int(f.removeprefix("seq=")) for f in folders if f.startswith("seq=")]
+
+    def _table(self, name: str) -> DataFrame:
+        if not self._seqs(name):
             return self.spark.createDataFrame([], ROWS)
         return self.spark.read.schema(ROWS).parquet(f"{self.path}/{name}")
 
     def _last_seq(self) -> int:
-        """Number of the last batch; partition values only, no row is read."""
-        last = [self._table(t).agg(F.max("seq")).first()[0] for t in ("rows", "base")]
-        return max([-1, *[s for s in last if s is not None]])
-
-    def _append(self, rows: DataFrame, seq: int) -> None:
-        columns = ["id", "values", "metadata", "position", "deleted"]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/rows/seq={seq}")
+        """Number of the last batch."""
+        return max([-1, *self._seqs("rows"), *self._seqs("base")])
+
+    def _claim(self, seq: int | None) -> tuple[int, str]:
+        """The number of a batch and how to write it; a replay that is already in the base is ignored."""
+        if seq is None:
+            return self._last_seq() + 1, "errorifexists"
+        upto = self._table("base").agg(F.max("seq")).first()[0]
+        if upto is None or seq > upto:
+            return seq, "overwrite"
+        if seq not in self._seqs("rows"):
+            raise ValueError(f"batch {seq} would come before the base compacted at {upto}")
+        return seq, "ignore"
+
+    def _append(self, rows: DataFrame, seq: int, mode: str) -> DataFrame:
+        """Write a batch and return its rows as stored."""
+        columns = ["id", "values", "metadata", "position", "deleted", "reason"]
+        if mode != "ignore":
+            rows.select(*columns).write.mode(mode).parquet(f"{self.path}/rows/seq={seq}")
+        return self._table("rows").where((F.col("seq") == seq) & F.col("reason").isNull())
 
     def _newest(self, before: int | None = None) -> DataFrame:
         """The newest row of each id: the last compacted base, overlaid by the batches after it.
@@ -116,7 +137,7 @@ class Collection:
         Only ids of later batches are matched against the base, which is not shuffled while
         they are few.
         """
-        base, batches = self._table("base"), self._table("rows")
+        base, batches = self._table("base"), self._table("rows").where(F.col("reason").isNull())
         if before is not None:
             batches = batches.where(F.col("seq") < before)
         upto = base.agg(F.max("seq")).first()[0]
@@ -130,6 +151,10 @@ class Collection:
         """Current records: ``id, values, metadata``."""
         return self._newest().where(~F.col("deleted")).select("id", "values", "metadata")
 
+    def rejects(self) -> DataFrame:
+        """Inserted rows that are no records, with the ``reason`` and the batch they came in (``seq``)."""
+        return self._table("rows").where(F.col("reason").isNotNull()).drop("deleted")
+
     def compact(self) -> None:
         """Write the current records as a new base, to spare readers the overlay."""
         seq = self._last_seq()
@@ -141,15 +166,17 @@ class Collection:
             current.write.mode("overwrite").parquet(f"{self.path}/base/seq={seq}")
 
     def insert(self, batch: DataFrame, seq: int | None = None) -> int:
-        """Upsert ``id, values, metadata, position``; returns the number of records inserted."""
-        seq = self._last_seq() + 1 if seq is None else seq
-        valid, _ = split_by_dim(batch, self.spec.dim)
-        rows = assign_record_ids(valid, F.lit(seq)).withColumns(
+        """Upsert ``id, values, metadata, position``; returns the number of records inserted.
+
+        Rows of another dimension or without a position are kept apart, see ``rejects``.
+        """
+        seq, mode = self._claim(seq)
+        fits = F.coalesce(F.size("values") == self.spec.dim, F.lit(False))
+        reason = F.when(~fits, f"vector has not {self.spec.dim} values").when(F.col("position").isNull(), "no position")
+        rows = assign_record_ids(batch.withColumn("reason", reason), F.lit(seq)).withColumns(
             {"deleted": F.lit(False), "values": F.col("values").cast("array<float>")}
         )
-        self._append(rows, seq)
-        written = self._table("rows").where(F.col("seq") == seq)
-        return written.select("id").distinct().count()
+        return self._append(rows, seq, mode).select("id").distinct().count()
 
     def add_texts(self, documents: DataFrame, seq: int | None = None) -> tuple[int, int]:
         """Embed and upsert ``id, text, metadata, position``; returns (inserted, embeddings)."""
@@ -158,7 +185,7 @@ class Collection:
 
     def delete(self, ids: DataFrame, seq: int | None = None) -> int:
         """Delete the listed typed ids; returns how many there were."""
-        seq = self._last_seq() + 1 if seq is None else seq
+        seq, mode = self._claim(seq)
         newest = self._newest(before=seq).where(~F.col("deleted"))
         doomed = newest.join(ids.select("id").distinct(), "id", "left_semi")
         tombs = doomed.select(
@@ -167,9 +194,9 @@ class Collection:
             F.lit(None).cast("map<string,string>").alias("metadata"),
             F.lit(0).cast("bigint").alias("position"),
             F.lit(True).alias("deleted"),
+            F.lit(None).cast("string").alias("reason"),
         )
-        self._append(tombs, seq)
-        return self._table("rows").where(F.col("seq") == seq).count()
+        return self._append(tombs, seq, mode).count()
 
     def search(
         self,
@@ -187,17 +214,20 @@ class Collection:
         """Top-k of each query (``query_vector`` or ``query_text``) among the records that pass.
 
         A hybrid collection searches texts both ways unless told otherwise. ``rerank`` is true,
-        or a mapping with ``enabled`` and optionally ``provider`` and ``model``.
+        or a mapping with ``enabled`` and optionally ``provider`` and ``model``. Filters name metadata
+        keys, never columns of the records; declared fields compare in their types.
         """
-        corpus = self.records()
+        corpus, spec = self.records(), self.spec
+        fields = dict(spec.schema.fields)
         if filters:
-            corpus = filter_equality(corpus, filters)
+            corpus = filter_equality(corpus, filters, fields=fields)
         if advanced_filters:
-            corpus = filter_advanced(corpus, advanced_filters)
-        spec = self.spec
+            corpus = filter_advanced(corpus, advanced_filters, fields=fields)
         model = {"provider": spec.provider, "model": spec.model, "dim": spec.dim}
         corpus = corpus.withColumn("text", F.col("metadata")["text"])
         if "query_vector" in queries.columns:
+            if not queries.where(F.size("query_vector") != spec.dim).isEmpty():
+                raise ValueError(f"a query vector has not {spec.dim} values")
             hits = vector_search(queries, corpus, k, spec.metric)
         elif spec.hybrid if hybrid is None else hybrid:
             index = build_sparse_index(corpus)

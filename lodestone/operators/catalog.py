@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions.scalars import mime_from_extension
+from lodestone.operators.topk import join_counted, rows_of
 
 DEFAULT_PAGE = 50
 
@@ -46,17 +47,17 @@ def document_catalog(docs: DataFrame, chunks: DataFrame, vectors: DataFrame) ->
 
 
 def _cursor_column(created: Column, id_col: Column) -> Column:
-    return F.base64(F.concat_ws("|", F.unix_micros(created).cast("string"), id_col.cast("string")).cast("binary"))
+    return F.base64(F.concat_ws("|", F.coalesce(F.unix_micros(created).cast("string"), F.lit("")), id_col.cast("string")).cast("binary"))
 
 
-def encode_cursor(created: datetime, doc_id: object) -> str:
-    micros = round((created - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+def encode_cursor(created: datetime | None, doc_id: object) -> str:
+    micros = "" if created is None else round((created - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
     return base64.b64encode(f"{micros}|{doc_id}".encode()).decode()
 
 
-def decode_cursor(cursor: str) -> tuple[int, str]:
+def decode_cursor(cursor: str) -> tuple[int | None, str]:
     micros, _, doc_id = base64.b64decode(cursor).decode().partition("|")
-    return int(micros), doc_id
+    return int(micros) if micros else None, doc_id
 
 
 def list_documents_keyset(
@@ -69,17 +70,21 @@ def list_documents_keyset(
 ) -> DataFrame:
     """The page after ``cursor`` in order of creation, with ``next_cursor`` on its rows.
 
-    ``next_cursor`` is empty on the last page. Rows are found by key, never by offset.
+    ``next_cursor`` is empty on the last page. Rows are found by key, never by offset. Rows without a
+    time come first.
     """
     size = limit if limit > 0 else DEFAULT_PAGE
     rows = catalog.where(F.col("status") == status) if status else catalog
     if cursor:
         micros, last = decode_cursor(cursor)
-        at = F.timestamp_micros(F.lit(micros))
-        if catalog.schema[created].dataType.typeName() == "timestamp_ntz":
-            at = at.cast("timestamp_ntz")
         last_id = F.lit(last).cast(catalog.schema[id_col].dataType)
-        rows = rows.where((F.col(created) > at) | ((F.col(created) == at) & (F.col(id_col) > last_id)))
+        if micros is None:
+            rows = rows.where(F.col(created).isNotNull() | (F.col(id_col) > last_id))
+        else:
+            at = F.timestamp_micros(F.lit(micros))
+            if catalog.schema[created].dataType.typeName() == "timestamp_ntz":
+                at = at.cast("timestamp_ntz")
+            rows = rows.where((F.col(created) > at) | ((F.col(created) == at) & (F.col(id_col) > last_id)))
     page = rows.orderBy(created, id_col).limit(size + 1)
     # The window runs over one page, at most size + 1 rows.
     whole = W.partitionBy(F.lit(0)).orderBy(created, id_col)
@@ -104,7 +109,7 @@ def paged_listing(entities: DataFrame, id_col: str, limit: int = 0, offset: int
 def get_originals(catalog: DataFrame, ids: DataFrame) -> DataFrame:
     """Original bytes ``doc_id, content`` of the listed documents that kept them."""
     kept = catalog.where(F.col("content").isNotNull()).select("doc_id", "content")
-    return kept.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    return rows_of(kept, ids, "doc_id")
 
 
 def get_original_files(spark: SparkSession, catalog: DataFrame, ids: DataFrame, root: str) -> DataFrame:
@@ -112,6 +117,6 @@ def get_original_files(spark: SparkSession, catalog: DataFrame, ids: DataFrame,
 
     Content is read only for the files whose path is listed.
     """
-    paths = catalog.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "path")
+    paths = rows_of(catalog.select("doc_id", "path"), ids, "doc_id")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select("path", "content").join(paths, "path").select("doc_id", "content")
+    return join_counted(files.select("path", "content"), paths, "path", "inner").select("doc_id", "content")

@@ -1,8 +1,10 @@
 """Metadata filters compiled to a column predicate, applied before any ranking.
 
 A declared field is its own typed column, so its comparison reaches the Parquet scan. Any
-other field is read from the variant column and compared as a string. A null field fails
-every operator except ``not_exists``, ``ne`` and ``not_in``.
+other field is read from the variant column and compared as a string, or as a number where the
+literals are numbers. A null field fails every operator except ``not_exists``, ``ne`` and ``not_in``;
+text that is no number counts as null there. Names that clash with other columns are told apart by
+``fields``: the declared fields with their types, all of them read from the variant column.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.operators.schema import FIELD_TYPES, cast_field
+
 OPS = (
     "eq", "ne", "gt", "gte", "lt", "lte", "in", "not_in", "between",
     "exists", "not_exists", "prefix", "contains",
@@ -28,28 +32,42 @@ class Filter:
     values: tuple = ()
 
 
-def _field(df: DataFrame, name: str, variant: str) -> tuple[Column, str]:
-    if name in df.columns:
-        return F.col(name), df.schema[name].dataType.simpleString()
+def _text(df: DataFrame, name: str, variant: str) -> Column:
     if variant not in df.columns:
-        return F.lit(None).cast("string"), "string"
-    kind = df.schema[variant].dataType.simpleString()
-    if kind == "variant":
+        return F.lit(None).cast("string")
+    if df.schema[variant].dataType.simpleString() == "variant":
         path = "$['" + name.replace("'", "\\'") + "']"
-        return F.try_variant_get(F.col(variant), path, "string"), "string"
-    return F.try_element_at(F.col(variant), F.lit(name)), "string"
+        return F.try_variant_get(F.col(variant), path, "string")
+    return F.try_element_at(F.col(variant), F.lit(name))
+
+
+def _field(df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None) -> tuple[Column, str]:
+    """The column a filter looks at and the type in which it compares."""
+    if fields is None and f.field in df.columns:
+        return F.col(f.field), df.schema[f.field].dataType.simpleString()
+    text = _text(df, f.field, variant)
+    if fields and f.field in fields:
+        kind = fields[f.field]
+        return cast_field(text, kind), FIELD_TYPES[kind]
+    given = [*f.values, *([] if f.value is None else [f.value])]
+    if f.op in ("prefix", "contains") or not given or not all(type(v) in (int, float) for v in given):
+        return text, "string"
+    kind = "double" if any(type(v) is float for v in given) else "decimal(38,9)"
+    return text.try_cast(kind), kind
 
 
 def _literal(value: object, kind: str) -> Column:
     if kind == "string" and isinstance(value, bool):
         value = str(value).lower()
+    if isinstance(value, float) and kind in ("tinyint", "smallint", "int", "bigint"):
+        kind = "double"  # a fraction is not cut off
     return F.lit(value).cast(kind)
 
 
-def _predicate(df: DataFrame, f: Filter, variant: str) -> Column:
+def _predicate(df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None) -> Column:
     if f.op not in OPS:
         raise ValueError(f"unknown filter op {f.op!r}, expected one of {OPS}")
-    col, kind = _field(df, f.field, variant)
+    col, kind = _field(df, f, variant, fields)
     many = [_literal(v, kind) for v in f.values]
     if f.op == "exists":
         return col.isNotNull()
@@ -76,17 +94,23 @@ def _predicate(df: DataFrame, f: Filter, variant: str) -> Column:
     return compare[f.op]
 
 
-def compile_filters(df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata") -> Column:
+def compile_filters(
+    df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata", fields: Mapping[str, str] | None = None
+) -> Column:
     """Conjunction of the filters; bad filters raise before any job runs."""
     built = [f if isinstance(f, Filter) else Filter(**{**f, "values": tuple(f.get("values") or ())}) for f in filters]
-    return reduce(lambda a, b: a & b, [_predicate(df, f, variant) for f in built], F.lit(True))
+    return reduce(lambda a, b: a & b, [_predicate(df, f, variant, fields) for f in built], F.lit(True))
 
 
-def filter_advanced(df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata") -> DataFrame:
+def filter_advanced(
+    df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata", fields: Mapping[str, str] | None = None
+) -> DataFrame:
     """Rows that satisfy every (field, op, value, values)."""
-    return df.where(compile_filters(df, filters, variant))
+    return df.where(compile_filters(df, filters, variant, fields))
 
 
-def filter_equality(df: DataFrame, wanted: Mapping[str, object], variant: str = "metadata") -> DataFrame:
+def filter_equality(
+    df: DataFrame, wanted: Mapping[str, object], variant: str = "metadata", fields: Mapping[str, str] | None = None
+) -> DataFrame:
     """Rows whose metadata equals every (field, value); a missing field does not match."""
-    return filter_advanced(df, [Filter(k, "eq", v) for k, v in wanted.items()], variant)
+    return filter_advanced(df, [Filter(k, "eq", v) for k, v in wanted.items()], variant, fields)

@@ -2,7 +2,8 @@
 
 A window over a whole group would put a hot group on one task. Here the order column is cut
 into ranges of ``width`` values; each (group, range) is a small window, and the totals of the
-ranges before it are added from a table with one row per range.
+ranges before it are added from a table with one row per range. Rows without an order value come
+last, in no fixed order.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WIDTH = 65_536
+#: Range of the rows without an order value.
+LAST_RANGE = (1 << 63) - 1
 
 
 def _range_of(col: str, width: int) -> Column:
-    return F.floor(F.col(col) / F.lit(width)).cast("bigint")
+    return F.coalesce(F.floor(F.col(col) / F.lit(width)).cast("bigint"), F.lit(LAST_RANGE))
 
 
 def running_total(
@@ -55,8 +58,7 @@ def preceding_rows(
 
     Each range of positions also gets copies of the last ``n`` rows of the range before it.
     """
-    if n > width:
-        raise ValueError(f"n must not exceed the range width {width}")
+    width = max(width, n)
     rows = row_position(df, keys, order, "__p", width).withColumn("__item", item)
     rows = rows.withColumn("__r", _range_of("__p", width))
     spill = F.pmod(F.col("__p"), F.lit(width)) >= width - n

@@ -20,20 +20,24 @@ def conversation_history(messages: DataFrame, n: int) -> DataFrame:
     return framed.where(F.col("role") == "user").select("conv_id", "turn", "text", "history")
 
 
-def session_rollup(messages: DataFrame, limit: int = 0) -> DataFrame:
+def session_rollup(messages: DataFrame, limit: int = 0, time: str | None = None) -> DataFrame:
     """Per session its title, size and turns; with a limit, the newest sessions only.
 
-    The title is the first user message, cut to 80 characters.
+    The title is the first user message, cut to 80 characters. The newest sessions are those with the
+    latest ``time``, whose bounds are added as ``created_at`` and ``updated_at``; without that column
+    their last turn stands in for it.
     """
     is_user = F.col("role") == "user"
+    bounds = [F.min(time).alias("created_at"), F.max(time).alias("updated_at")] if time else []
     rolled = messages.groupBy("conv_id").agg(
         F.min_by(F.when(is_user, F.substring("text", 1, TITLE_CHARS)), F.when(is_user, F.col("turn"))).alias("title"),
         F.count("*").alias("message_count"),
         F.min("turn").alias("first_turn"),
         F.max("turn").alias("last_turn"),
+        *bounds,
     )
     if limit > 0:
-        rolled = rolled.orderBy(F.col("last_turn").desc(), F.col("conv_id").desc()).limit(limit)
+        rolled = rolled.orderBy(F.col("updated_at" if time else "last_turn").desc(), F.col("conv_id").desc()).limit(limit)
     return rolled
 
 

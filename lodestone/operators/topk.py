@@ -58,7 +58,7 @@ def limit_per_query(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return hits.join(limits, "query_id").where(F.col("rank") <= F.col("__k")).drop("__k")
 
 
-def join_counted(wide: DataFrame, small: DataFrame, on: str, how: str, max_rows: int = FETCH_ROWS) -> DataFrame:
+def join_counted(wide: DataFrame, small: DataFrame, on: str | list[str], how: str, max_rows: int = FETCH_ROWS) -> DataFrame:
     """Join a table of narrow rows to a large one, which stays in place while they are few.
 
     ``small`` is counted first and should be cheap to read twice.

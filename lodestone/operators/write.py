@@ -9,6 +9,7 @@ from lodestone.functions.ids import string_id
 from lodestone.functions.maps import set_if_absent
 from lodestone.operators.embed import DEFAULT_DIM, HASHING, embed_texts
 from lodestone.operators.ordering import row_position
+from lodestone.operators.topk import rows_of, without_rows_of
 from lodestone.session import cut_lineage
 
 
@@ -35,12 +36,12 @@ def latest_per_id(rows: DataFrame, seq: str = "seq", position: str = "position")
     """The row of each id with the highest (batch, place in batch).
 
     Only the narrow keys are aggregated, partially before the shuffle; the vectors are then
-    matched on the whole (id, batch, place), so an id repeated very often skews nothing.
+    matched on the whole (id, batch, place), so an id repeated very often skews nothing. A row
+    without a place comes before the others of its batch.
     """
     place = F.struct(F.col(seq), F.col(position))
     winners = rows.groupBy("id").agg(F.max(place).alias("__w"))
-    winners = winners.select("id", F.col("__w")[seq].alias(seq), F.col("__w")[position].alias(position))
-    return rows.join(winners, ["id", seq, position], "left_semi")
+    return rows.withColumn("__w", place).join(winners, ["id", "__w"], "left_semi").drop("__w")
 
 
 def insert_vectors(existing: DataFrame, batch: DataFrame, dim: int, batch_id: int) -> DataFrame:
@@ -59,12 +60,12 @@ def insert_vectors(existing: DataFrame, batch: DataFrame, dim: int, batch_id: in
 
 def delete_vectors(existing: DataFrame, ids: DataFrame) -> DataFrame:
     """The records whose typed id is not listed; unknown ids are ignored."""
-    return existing.join(ids.select("id").distinct(), "id", "left_anti")
+    return without_rows_of(existing, ids, "id")
 
 
 def deleted_count(existing: DataFrame, ids: DataFrame) -> DataFrame:
     """One row, ``deleted``: how many records the list removes."""
-    return existing.join(ids.select("id").distinct(), "id", "left_semi").agg(F.count("*").alias("deleted"))
+    return rows_of(existing, ids, "id").agg(F.count("*").alias("deleted"))
 
 
 def prepare_texts(

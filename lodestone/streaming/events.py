@@ -17,15 +17,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lodestone.operators.ordering import row_position, running_total
 
 PART_EVENTS = 4_096
+# The white space that is trimmed.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _trimmed(col: Column) -> Column:
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    return F.btrim(col, F.lit(SPACE))
 
 
 def assemble_blocks(lines: DataFrame) -> DataFrame:
     """``stream_id, event_no, event, raw`` of complete streams; event numbers count from 0."""
-    rows = lines.select("stream_id", "line_no", F.regexp_replace("line", r"\r$", "").alias("line"))
+    rows = lines.select("stream_id", "line_no", F.regexp_replace("line", r"\r\z", "").alias("line"))
     blank = (F.col("line") == "").cast("bigint")
     rows = running_total(rows, ["stream_id"], "line_no", blank, "__ends")
     rows = rows.withColumn("block", F.col("__ends") - blank)
@@ -108,19 +110,21 @@ class _Assembler(StatefulProcessor):
         next_line, event_no, event, data = self.open.get() if self.open.exists() else (0, 0, "", [])
         data = list(data)
         done: list[tuple] = []
+        ended = False
 
         def take(line: str | None) -> None:
-            nonlocal event_no, event, data
+            nonlocal event_no, event, data, ended
             line = None if line is None or pd.isna(line) else line.removesuffix("\r")
+            ended = ended or line is None
             if not line:  # a blank line, or the null that ends a stream
                 if data:
                     done.append((key[0], event_no, event, "\n".join(data)))
                     event_no += 1
                 event, data = "", []
             elif line.startswith("event:"):
-                event = line[6:].strip()
+                event = line[6:].strip(SPACE)
             elif line.startswith("data:"):
-                data.append(line[5:].strip())
+                data.append(line[5:].strip(SPACE))
 
         for batch in rows:
             batch = batch.sort_values("line_no")
@@ -140,7 +144,11 @@ class _Assembler(StatefulProcessor):
             if done:
                 yield pd.DataFrame(done, columns=["stream_id", "event_no", "event", "raw"])
                 done = []
-        self.open.update((next_line, event_no, event, data))
+        if ended:
+            self.open.clear()
+            self.early.clear()
+        else:
+            self.open.update((next_line, event_no, event, data))
 
     def close(self) -> None:
         pass
@@ -150,7 +158,8 @@ def stream_events(lines: DataFrame) -> DataFrame:
     """Streaming form of ``stream_event_assembly``.
 
     Line numbers count from 0 without gaps and may arrive in any order; a null line after the
-    last one ends the stream and emits data still open. Needs the RocksDB state store.
+    last one ends the stream, emits data still open and frees its state; lines of that stream that
+    come again later start it anew. Needs the RocksDB state store.
     """
     blocks = lines.groupBy("stream_id").transformWithStateInPandas(
         statefulProcessor=_Assembler(),

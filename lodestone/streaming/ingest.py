@@ -31,12 +31,19 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def one_per_id(batch: DataFrame, order: str | None) -> DataFrame:
-    """One row per external id of a batch: the last by ``order``, ties by content."""
-    hashed = batch.withColumn("__h", F.sha2(F.col("content").cast("binary"), 256))
-    keys = [order, "__h"] if order else ["__h"]
-    last = hashed.groupBy("external_id").agg(F.max(F.struct(*keys)).alias("__w"))
-    last = last.select("external_id", *[F.col("__w")[k].alias(k) for k in keys])
-    return hashed.join(last, ["external_id", *keys], "left_semi").dropDuplicates(["external_id", "__h"]).drop("__h")
+    """One row per external id of a batch: the last by ``order``, ties by content.
+
+    Without an order, an id with several contents fails the batch: none of them is known to be newer.
+    """
+    hashed = batch.withColumn("__h", F.coalesce(F.sha2(F.col("content").cast("binary"), 256), F.lit("")))
+    place = F.struct(*([order] if order else []), "__h")
+    last = F.max(place)
+    if not order:
+        several = F.concat(F.lit("several contents and no order: "), F.col("external_id").cast("string"))
+        last = F.when(F.min("__h") == F.max("__h"), last).otherwise(F.raise_error(several))
+    last = hashed.groupBy("external_id").agg(last.alias("__w"))
+    kept = hashed.withColumn("__w", place).join(last, ["external_id", "__w"], "left_semi")
+    return kept.dropDuplicates(["external_id", "__w"]).drop("__h", "__w")
 
 
 def ingest_batch(
@@ -81,4 +88,5 @@ def ingested_catalog(spark: SparkSession, path: str) -> DataFrame:
 def ingested_vectors(spark: SparkSession, path: str) -> DataFrame:
     """The vectors of the newest version of every document."""
     newest = ingested_catalog(spark, path).select("external_id", "version", "batch")
-    return _table(spark, f"{path}/vectors", VECTORS).join(newest, ["external_id", "version", "batch"], "left_semi")
+    vectors = _table(spark, f"{path}/vectors", VECTORS)
+    return join_counted(vectors, newest, ["external_id", "version", "batch"], "left_semi")
