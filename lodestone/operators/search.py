@@ -205,10 +205,18 @@ def search_all_collections(
     scope: str = "all",
     metric: str = "cosine",
 ) -> DataFrame:
-    """Top-k over one collection or over all of them, each hit tagged with its collection."""
+    """Top-k over one collection or over all of them, each hit tagged with its collection.
+
+    A collection that holds vectors, but none as long as the queries', is an error.
+    """
     if scope != "all" and scope not in collections:
         raise ValueError(f"unknown collection {scope!r}")
     names = sorted(collections) if scope == "all" else [scope]
+    asked = queries.where(F.size("query_vector") > 0).select(F.size("query_vector").alias("dim")).first()
+    for n in names if asked else []:
+        held = collections[n].where(F.size("values") > 0)
+        if held.where(F.size("values") == asked["dim"]).isEmpty() and not held.isEmpty():
+            raise ValueError(f"collection {n!r} has no vectors of {asked['dim']} values")
     parts = [
         vector_search(queries, collections[n], k, metric).withColumn("collection", F.lit(n)) for n in names
     ]

@@ -10,6 +10,7 @@ from lodestone.operators.catalog import list_documents_keyset
 from lodestone.operators.filters import Filter, filter_advanced
 from lodestone.operators.ordering import preceding_rows, row_position
 from lodestone.operators.schema import MetadataSchema
+from lodestone.operators.search import search_all_collections
 from lodestone.operators.sessions import session_rollup
 from lodestone.streaming.events import assemble_blocks
 from lodestone.streaming.ingest import one_per_id
@@ -79,6 +80,15 @@ def test_filters_of_a_collection(spark, collection):
     assert found(Filter("id", "eq", "x")) == [("a",)] and found(Filter("values", "exists")) == [("c",)]
 
 
+def test_collections_of_another_dimension(spark):
+    query = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, query_vector array<float>")
+    two = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id int, values array<float>")
+    three = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "id int, values array<float>")
+    assert rows(search_all_collections(query, {"a": two, "b": two.limit(0)}), "collection", "id") == [("a", 1)]
+    with pytest.raises(ValueError):
+        search_all_collections(query, {"a": two, "b": three})
+
+
 def test_fractions_are_not_cut_off(spark):
     df = spark.createDataFrame([(9,), (10,)], "n int")
     assert rows(filter_advanced(df, [Filter("n", "lt", 9.5)])) == [(9,)]
