@@ -114,12 +114,17 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of signed fingerprints. Of a signed number numpy counts the bits of its absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(prints: np.ndarray, homes: np.ndarray) -> tuple[list, list]:
     """Links of one block that join its home rows with all rows within the threshold, without cycles."""
     a, b = [], []
     label = np.arange(len(prints))
     for i in np.nonzero(homes)[0]:
-        near = np.bitwise_count(prints ^ prints[i]) <= THRESHOLD
+        near = distances(prints, prints[i]) <= THRESHOLD
         near[i] = True
         met, first = np.unique(label[near], return_index=True)
         if len(met) > 1:
@@ -152,7 +157,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = sizes[group[home]]
         x = np.repeat(home, reach)
         y = np.repeat(starts[group[home]], reach) + np.arange(len(x)) - np.repeat(np.cumsum(reach) - reach, reach)
-        near = (x != y) & (np.bitwise_count(prints[x] ^ prints[y]) <= THRESHOLD)
+        near = (x != y) & (distances(prints[x], prints[y]) <= THRESHOLD)
         a, b = [prints[x[near]]], [prints[y[near]]]
         for g in np.nonzero((sizes > 1) & (held > 0) & ~few)[0]:
             at = slice(starts[g], starts[g] + sizes[g])
