@@ -18,7 +18,7 @@ smallest of its other ids, or null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -209,10 +209,11 @@ def signatures(documents: DataFrame) -> DataFrame:
     return stored(rows.select("doc_id", fingerprint(F.col("t")).alias("print")), "prints")
 
 
-def near_duplicates(prints: DataFrame) -> DataFrame:
-    """Per fingerprint: ``print`` and ``component_id``, the smallest id reachable over links."""
+def near_duplicates(prints: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Per fingerprint: ``print`` and ``component_id``, the smallest id reachable over links (``near_links``)."""
     groups = stored(prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "groups")
-    linked = components(near_links(groups.select("print"))).select(F.col("node").alias("print"), "root")
+    links = near_links(groups.select("print")) if links is None else links
+    linked = components(links).select(F.col("node").alias("print"), "root")
     groups = groups.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     least = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return stored(groups.join(least, "root").select("print", "root", "component_id"), "classes")
@@ -230,7 +231,11 @@ def keep_one(documents: DataFrame) -> DataFrame:
     Rows that share the id and the component count as one; a null id counts as the largest.
     """
     prints = signatures(documents)
-    classes = near_duplicates(prints)
+    return keep_least(documents, prints, near_duplicates(prints), fingerprint)
+
+
+def keep_least(documents: DataFrame, prints: DataFrame, classes: DataFrame, print_of: Callable[[Column], Column]) -> DataFrame:
+    """``keep_one`` by the ``classes`` of the ``prints`` that ``print_of`` gives a text."""
     member = prints.join(classes, "print")
     odd = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id")
     odd = stored(odd, "repeated")
@@ -244,7 +249,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     plain = documents.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti")
     plain = without_rows_of(plain, losers.join(known, "doc_id", "left_anti"), "doc_id")
     rest = documents.where("doc_id IS NULL").unionAll(documents.join(known, "doc_id", "left_semi").select(documents.columns))
-    rest = rest.withColumn(name, fingerprint(text_of("text")))
+    rest = rest.withColumn(name, print_of(text_of("text")))
     rest = rest.join(classes.toDF(name, root, least), name)
     rest = rest.where(F.col("doc_id").eqNullSafe(F.col(least))).dropDuplicates(["doc_id", root])
     return plain.select(documents.columns).unionAll(rest.select(documents.columns))

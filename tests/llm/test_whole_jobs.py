@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 
-from lodestone.llm import queries, simhash
+import corpus_pipeline
+from lodestone.llm import near, queries, simhash
 
 SF = "/root/testdata/sf0.1"
 
@@ -61,3 +63,34 @@ def test_op4_at_a_larger_size_against_brute_force(spark):
     links = [(first[distinct[i]], first[distinct[j]]) for i, j in within(signed(distinct), 3)]
     least = least_ids(first.values(), links)
     assert {r.doc_id: r.component_id for r in out} == {i: least[first[p]] for i, p in prints.items()}
+
+
+def word_sets(text):
+    words = text.encode().lower().split()
+    size = min(5, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def jaccard_links(rows):
+    sets = [(i, word_sets(t or "")) for i, t in rows]
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                yield i, j
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_pipeline_drops_near_copies_by_jaccard(spark, monkeypatch, block):
+    monkeypatch.setattr(near, "BLOCK", block)
+    docs = spark.read.parquet(SF.replace("0.1", "0.01") + "/documents.parquet").select("doc_id", "text")
+    rng = random.Random(7)
+    chain = [[rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(60)]]
+    for _ in range(8):  # each like the one before, the ends unlike
+        chain.append([*chain[-1][4:], *(rng.choice("xyz") + str(rng.randrange(99)) for _ in range(4))])
+    more = [(10_000 + i, " ".join(w)) for i, w in enumerate(chain)] + [(20_000, None), (20_001, " "), (20_002, "a b"), (20_003, "A  b"), (20_004, "a c")]
+    docs = docs.unionAll(spark.createDataFrame(more, docs.schema))
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    least = least_ids([i for i, _ in rows], jaccard_links(rows))
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == set(least.values())
+    assert {10_000, 20_000, 20_002, 20_004} <= kept and not kept & {10_008, 20_001, 20_003}
