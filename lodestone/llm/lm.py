@@ -1,38 +1,38 @@
-"""Cross-entropy difference of two matched bigram models over one vocabulary.
+"""Cross-entropy difference of two bigram models over one vocabulary.
 
-The vocabulary holds the words that make up at least ``WORD_SHARE`` of all tokens of the corpus, so
-it has at most ``1 / WORD_SHARE`` words whatever the corpus is; the others are one unknown word. Of
-the bigrams over it those of at least ``PAIR_SHARE`` are kept, likewise. The target model counts
-the documents labelled good, the background model all documents; both have the same words, the
-same bigrams and the same smoothing: ``P(b | a) = MIX * c(ab) / c(a) + (1 - MIX) * (c(b) + 1) / (n + V)``.
+All words and all bigrams of the corpus are known. The target model counts the documents labelled
+good, the background model all documents; both have the same words, the same bigrams and the same
+smoothing: ``P(b | a) = MIX * c(ab) / c(a) + (1 - MIX) * (c(b) + 1) / (n + V)``.
 The loss of a token is ``-ln P``; a document's score is the mean over its tokens of target loss
 minus background loss, so a lower one is closer to the target.
 
-All counts cover all documents: tasks send the counts of their part, which grow with the corpus and
-are added before and after the shuffle. Null and empty texts have no tokens and null losses.
-Repeated rows count as often as they occur. Labels without document teach nothing.
+Words and bigrams are 64-bit hashes, and their counts a table that grows with the corpus. Bigrams
+of at least ``PAIR_SHARE`` of all tokens, so at most ``1 / PAIR_SHARE``, are sent to the tasks that
+score; the others are joined by shuffle, where no key has a larger share. Null and empty texts have
+no tokens and null losses. Repeated rows count as often as they occur. Labels without document
+teach nothing.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import small_batches, stored, text_of
 from lodestone.operators.topk import join_counted
 
-WORD_SHARE = 1e-5
+#: Bigrams of this share of all tokens are looked up in every task instead of joined.
 PAIR_SHARE = 1e-6
 MIX = 0.7
-#: Distinct words or bigrams a task holds before it sends their counts on.
-HELD = 300_000
+#: Tokens a task holds before it sends the counts of their bigrams on.
+HELD = 2_000_000
+#: The word before the first one.
+START = 1
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -48,142 +48,103 @@ def with_target(documents: DataFrame, good: DataFrame) -> DataFrame:
     return join_counted(rows, ids, "doc_id", "left").select(F.coalesce("target", F.lit(False)).alias("target"), "text")
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word``, ``target`` and ``background`` counts."""
+def pairs_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a text's bigrams, the one with its first token included, and of their first and second words."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    second = np.array([digest(t, 0) for t in tokens(text)], np.uint64)
+    first = np.concatenate([np.full(min(1, len(second)), START, np.uint64), second[:-1]])
+    pair = first * np.uint64(0x9E3779B97F4A7C15) ^ second
+    pair = (pair ^ pair >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (pair ^ pair >> np.uint64(32)).view(np.int64), first.view(np.int64), second.view(np.int64)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """``pair``, its words ``a`` and ``b``, and its ``target`` and ``background`` counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (Counter(), Counter())
+        held, size = [], 0
 
         def sent() -> Iterator[pa.RecordBatch]:
-            words = list(held[0])
-            for at in range(0, len(words), 20_000):
-                part = words[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), pa.array([held[1][w] for w in part]), pa.array([held[0][w] for w in part])],
-                    ["word", "target", "background"],
-                )
-            held[0].clear()
-            held[1].clear()
+            pair, first, second, good = (np.concatenate(c) for c in zip(*held))
+            kinds, at, place, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+            of_target = np.bincount(place[good], minlength=len(kinds)).astype(np.int64)
+            columns = [kinds, first[at], second[at], of_target, n.astype(np.int64)]
+            for i in range(0, len(kinds), 100_000):
+                arrays = [pa.array(c[i : i + 100_000]) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["pair", "a", "b", "target", "background"])
 
         for batch in batches:
-            for target, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = tokens(text)
-                held[0].update(found)
-                if target:
-                    held[1].update(found)
-                if len(held[0]) > HELD:
+            for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = pairs_of(text)
+                held.append((*found, np.full(len(found[0]), good)))
+                size += len(found[0])
+                if size > HELD:
                     yield from sent()
-        yield from sent()
-
-    counts = rows.mapInArrow(count, "word string, target long, background long")
-    return counts.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+                    held, size = [], 0
+        if held:
+            yield from sent()
 
+    counts = rows.mapInArrow(count, "pair long, a long, b long, target long, background long")
+    sums = [F.sum(c).alias(c) for c in ("target", "background")]
+    return counts.groupBy("pair").agg(F.min("a").alias("a"), F.min("b").alias("b"), *sums)
 
-class Vocabulary:
-    """Word numbers; 0 is the unknown word, and ``len(words) + 1`` stands before the first token."""
 
-    def __init__(self, words: list[str]):
-        self.number = {w: i for i, w in enumerate(words, 1)}
-        self.size = len(words) + 2
+def train(documents: DataFrame, good: DataFrame) -> tuple[DataFrame, float]:
+    """Per ``pair`` its ``background`` count and its losses ``lt`` and ``lb``; and the number of tokens."""
+    counts = stored(pair_counts(with_target(documents, good)), "pairs")
 
-    def pairs(self, text: str) -> np.ndarray:
-        """The text's bigrams as one number each, the one with its first token included."""
-        words = np.fromiter(map(self.number.get, tokens(text), repeat(0)), np.int64)
-        before = np.concatenate([[self.size - 1], words[:-1]]) if len(words) else words
-        return before * self.size + words
+    def by(word: str) -> DataFrame:
+        sums = [F.sum(c).alias(f"{word}_{c}") for c in ("target", "background")]
+        return stored(counts.groupBy(word).agg(*sums), f"words_{word}")
 
+    before, single = by("a"), by("b")
+    total = single.agg(F.count("*").alias("words"), F.sum("b_target").alias("target"), F.sum("b_background").alias("background")).first()
 
-def pair_counts(rows: DataFrame, words: list[str]) -> DataFrame:
-    """``pair``, ``target`` and ``background`` counts of the bigrams over a vocabulary."""
+    def loss(model: str) -> Column:
+        own = (F.col(f"b_{model}") + 1.0) / float((total[model] or 0) + total["words"] + 2)
+        given = F.when(F.col(f"a_{model}") > 0, F.col(model) / F.col(f"a_{model}")).otherwise(0.0)
+        return -F.log(MIX * given + (1 - MIX) * own)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(words)
-        every, target, size = [], [], 0
-
-        def sent() -> pa.RecordBatch:
-            kinds, n = np.unique(np.concatenate([np.empty(0, np.int64), *every]), return_counts=True)
-            some, m = np.unique(np.concatenate([np.empty(0, np.int64), *target]), return_counts=True)
-            of_target = np.zeros(len(kinds), np.int64)
-            of_target[np.searchsorted(kinds, some)] = m
-            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(of_target), pa.array(n)], ["pair", "target", "background"])
-
-        for batch in batches:
-            for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pairs = vocabulary.pairs(text)
-                every.append(pairs)
-                size += len(pairs)
-                if good:
-                    target.append(pairs)
-                if size > 10 * HELD:
-                    yield sent()
-                    every, target, size = [], [], 0
-        yield sent()
-
-    counts = rows.mapInArrow(count, "pair long, target long, background long")
-    return counts.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def frequent(counts: DataFrame, key: str, share: float) -> list:
-    """Rows that make up at least ``share`` of the total count, at most ``1 / share``; by key."""
-    total = counts.agg(F.sum("background")).first()[0] or 0
-    return sorted(counts.where(F.col("background") >= F.lit(share * total)).select(key, "target", "background").collect())
-
-
-class Models:
-    """Losses under both models: arrays by word and by kept bigram, target first."""
-
-    def __init__(self, words: list, pairs: list, totals: np.ndarray):
-        self.words = [w.word for w in words]
-        size = len(words) + 2
-        single = np.zeros((2, size))
-        for i, w in enumerate(words, 1):
-            single[:, i] = w.target, w.background
-        single[:, 0] = totals - single.sum(axis=1)
-        self.single = (1 - MIX) * (single + 1) / (totals[:, None] + size)
-        self.pairs = np.array([p.pair for p in pairs], np.int64)
-        both = np.array([[p.target for p in pairs], [p.background for p in pairs]], float).reshape(2, -1)
-        before = np.zeros((2, size))
-        np.add.at(before[0], self.pairs // size, both[0])
-        np.add.at(before[1], self.pairs // size, both[1])
-        given = before[:, self.pairs // size]
-        self.double = MIX * np.divide(both, given, out=np.zeros_like(both), where=given > 0)
-
-    def losses(self, pairs: np.ndarray) -> np.ndarray:
-        """Summed losses of a text's bigrams under the two models."""
-        p = self.single[:, pairs % self.single.shape[1]]
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-            p = p + np.where(self.pairs[at] == pairs, self.double[:, at], 0.0)
-        return -np.log(p).sum(axis=1)
-
-
-def train(documents: DataFrame, good: DataFrame) -> Models:
-    rows = with_target(documents, good)
-    counts = stored(word_counts(rows), "words")
-    sums = counts.agg(F.sum("target"), F.sum("background")).first()
-    words = frequent(counts, "word", WORD_SHARE)
-    pairs = stored(pair_counts(rows, [w.word for w in words]), "pairs")
-    kept = frequent(pairs, "pair", PAIR_SHARE)
-    return Models(words, kept, np.array([float(s or 0) for s in sums]))
+    rows = join_counted(join_counted(counts, before, "a", "inner"), single, "b", "inner")
+    models = rows.select("pair", "background", loss("target").alias("lt"), loss("background").alias("lb"))
+    return stored(models, "models"), float(total["background"] or 0)
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score`` per row."""
     small_batches(documents.sparkSession)
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-    models = train(documents, good)
-    kind = pa.struct([("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
-
-    @F.arrow_udf("struct<n_tokens:bigint,target_loss:double,background_loss:double>")
+    models, n = train(documents, good)
+    # collected as columns: a list of rows would be many times as large
+    table = models.where(F.col("background") >= F.lit(PAIR_SHARE * n)).select("pair", "lt", "lb").toArrow()
+    keys, lt, lb = (table.column(i).to_numpy() for i in range(3))
+    order = np.argsort(keys)
+    keys, known = keys[order], np.stack([lt, lb])[:, order]
+    kind = pa.struct([("n_tokens", pa.int64()), ("lt", pa.float64()), ("lb", pa.float64()), ("rest", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("struct<n_tokens:bigint,lt:double,lb:double,rest:array<bigint>>")
     def losses(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = Vocabulary(models.words)
         for texts in batches:
             out = []
             for text in texts.to_pylist():
-                pairs = vocabulary.pairs(text)
-                mean = models.losses(pairs) / len(pairs) if len(pairs) else (None, None)
-                out.append({"n_tokens": len(pairs), "target_loss": mean[0], "background_loss": mean[1]})
+                pairs = pairs_of(text)[0]
+                at = np.searchsorted(keys, pairs)
+                found = at < len(keys)
+                found[found] = keys[at[found]] == pairs[found]
+                sums = known[:, at[found]].sum(axis=1)
+                out.append({"n_tokens": len(pairs), "lt": sums[0], "lb": sums[1], "rest": pairs[~found]})
             yield pa.array(out, kind)
 
     rows = documents.select("doc_id", losses(text_of("text")).alias("s")).select("doc_id", "s.*")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "frequent")
+    rare = rows.select("row", F.explode("rest").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("n"))
+    rare = rare.join(models.where(F.col("background") < F.lit(PAIR_SHARE * n)), "pair")
+    rare = rare.groupBy("row").agg(F.sum(F.col("n") * F.col("lt")).alias("rt"), F.sum(F.col("n") * F.col("lb")).alias("rb"))
+    rows = rows.drop("rest").join(rare, "row", "left")
+    count = F.nullif(F.col("n_tokens"), F.lit(0))
+    target = (F.col("lt") + F.coalesce("rt", F.lit(0.0))) / count
+    background = (F.col("lb") + F.coalesce("rb", F.lit(0.0))) / count
+    rows = rows.select("doc_id", "n_tokens", target.alias("target_loss"), background.alias("background_loss"))
     return rows.withColumn("score", F.col("target_loss") - F.col("background_loss"))

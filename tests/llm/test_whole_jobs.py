@@ -1,12 +1,13 @@
 """Parts of the job that earlier versions left out."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from lodestone.llm import near, queries, simhash
+from lodestone.llm import lm, near, queries, simhash
 
 SF = "/root/testdata/sf0.1"
 
@@ -94,3 +95,28 @@ def test_pipeline_drops_near_copies_by_jaccard(spark, monkeypatch, block):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert kept == set(least.values())
     assert {10_000, 20_000, 20_002, 20_004} <= kept and not kept & {10_008, 20_001, 20_003}
+
+
+def test_lm_knows_every_word_at_a_larger_size(spark):
+    sf = SF.replace("0.1", "0.01")
+    texts = {r.doc_id: lm.tokens(r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
+    single, pair, before = ([Counter(), Counter()] for _ in range(3))
+    for i, t in texts.items():
+        for model in (0, 1) if i in good else (1,):
+            single[model].update(t)
+            pair[model].update(zip(["^", *t], t))
+            before[model].update(["^", *t][: len(t)])
+    size = len(single[1]) + 2
+    assert size > 60_000
+    n = [sum(c.values()) for c in single]
+
+    def loss(model, t):
+        p = [0.7 * pair[model][a, b] / max(before[model][a], 1) + 0.3 * (single[model][b] + 1) / (n[model] + size) for a, b in zip(["^", *t], t)]
+        return -np.log(p).mean()
+
+    out = {r.doc_id: r for r in queries.QUERIES["op7_cross_entropy_difference"](spark, sf).collect()}
+    assert len(out) == len(texts)
+    for i, t in texts.items():
+        if t:
+            assert [out[i].n_tokens, out[i].target_loss, out[i].background_loss] == pytest.approx([len(t), loss(0, t), loss(1, t)], abs=1e-9)
