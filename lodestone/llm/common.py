@@ -41,3 +41,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def once_per_worker(spark: SparkSession, data, build):
+    """A function for tasks that returns ``build(data)``, made once per Python worker process.
+
+    ``data`` is plain data of a fixed size, such as the contents of a vocabulary file.
+    """
+    held = spark.sparkContext.broadcast([data])
+
+    def get():
+        slot = held.value
+        if len(slot) == 1:
+            slot.append(build(slot[0]))
+        return slot[1]
+
+    return get

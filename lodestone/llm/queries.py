@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, hnsw, lm, pieces, quality, secrets, simhash, suffix_dedup, toxicity, warc
+from lodestone.llm import (
+    alignment,
+    decontaminate,
+    divergence,
+    hnsw,
+    lm,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from lodestone.session import scratch_path
 
 QUERIES = {}
@@ -133,3 +147,41 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op11_tokenizer_alignment")
+def _tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op12_token_counts")
+def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SQL_DIVERGENCE = rf"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.LEAST}),
+l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY ALL),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(s.n, 0)::HUGEINT AS gn, l.v::HUGEINT AS v, l.n::HUGEINT AS ln
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN s USING (lang, source) LEFT JOIN l USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + ({divergence.UNIT}::HUGEINT * (coalesce(c.n, 0) + 1)) // (gn + v) AS p,
+  1 + ({divergence.UNIT}::HUGEINT * (total + 1)) // (ln + v) AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)) WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
+@query("op13_source_divergence", SQL_DIVERGENCE)
+def _source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
