@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -140,21 +139,25 @@ def bitmaps(cells: DataFrame) -> DataFrame:
     return cells.groupBy("lang", "source", "block", "p", "zero").agg(*words)
 
 
-def joint(rows: pd.DataFrame) -> pd.DataFrame:
+VALUES = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+
+
+def joint(rows: pa.Table) -> pa.Table:
     """Partial values of all pairs of sources of two tiles over a span of blocks.
 
     A joint cell counts for its divergence less what the complement assumes: that of the first
     count with a zero, of a zero with the second, plus that of two zeros.
     """
-    ta, tb = int(rows["ta"].iloc[0]), int(rows["tb"].iloc[0])
-    names = sorted(set(rows["source"]))
-    place = {name: i for i, name in enumerate(names)}
+    numbers = {c: rows.column(c).to_numpy() for c in ("ta", "tb", "tile", "at", "more", "p", "zero")}
+    ta, tb = numbers["ta"][0], numbers["tb"][0]
+    names, source = np.unique(np.array(rows.column("source").to_pylist(), object), return_inverse=True)
+    bits = np.stack([rows.column(f"w{i}").to_numpy() for i in range(WORDS)], axis=1).astype(np.int64).view(np.uint64)
     values = np.zeros((len(names), len(names)), np.int64)
-    for _, part in rows.groupby(["at", "more"], sort=False):
-        source = part["source"].map(place).to_numpy()
-        p, zero, tile = (part[c].to_numpy(np.int64) for c in ("p", "zero", "tile"))
-        bits = part[[f"w{i}" for i in range(WORDS)]].to_numpy(np.int64).view(np.uint64)
-        first, second = np.flatnonzero(tile == ta), np.flatnonzero(tile == tb)
+    p, zero, tile = (numbers[c].astype(np.int64) for c in ("p", "zero", "tile"))
+    blocks = numbers["at"].astype(np.int64) << 20 | numbers["more"].astype(np.int64)
+    order = np.argsort(blocks, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(blocks[order])) + 1):
+        first, second = part[tile[part] == ta], part[tile[part] == tb]
         for start in range(0, len(first), 128):
             some = first[start : start + 128]
             common = np.bitwise_count(bits[some, None, :] & bits[None, second, :]).sum(axis=2, dtype=np.int64)
@@ -165,8 +168,8 @@ def joint(rows: pd.DataFrame) -> pd.DataFrame:
                 cell = (pg - qh) ** 2 // qh - (pg - zh) ** 2 // zh - (zg - qh) ** 2 // qh + (zg - zh) ** 2 // zh
                 np.add.at(values, (source[g], source[h]), n * cell)
     g, h = np.nonzero(values)
-    out = {"lang": rows["lang"].iloc[0], "source": [names[i] for i in g], "item": [names[i] for i in h], "value": values[g, h]}
-    return pd.DataFrame(out)
+    lang = [rows.column("lang")[0].as_py()] * len(g)
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip((lang, names[g], names[h], values[g, h]), VALUES.types)], schema=VALUES)
 
 
 def pair_values(maps: DataFrame, groups: DataFrame) -> DataFrame:
@@ -179,7 +182,7 @@ def pair_values(maps: DataFrame, groups: DataFrame) -> DataFrame:
         "span": F.floor(F.col("block.at") / SPAN), "at": F.col("block.at"), "more": F.col("block.more"),
     })
     rows = rows.drop("block", "item_tile")
-    cells = rows.groupBy("lang", "span", "ta", "tb").applyInPandas(joint, "lang string, source string, item string, value long")
+    cells = rows.groupBy("lang", "span", "ta", "tb").applyInArrow(joint, "lang string, source string, item string, value long")
     # the zeros of the other group, by complement: sizes of the bitmaps, all blocks together
     n = sum((F.bit_count(f"w{i}") for i in range(WORDS)), F.lit(0))
     levels = maps.groupBy("lang", "source", "p", "zero").agg(F.sum(n).alias("n"))

@@ -30,7 +30,6 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -323,14 +322,19 @@ def compose(steps: dict[int, dict[str, tuple[str, int]]], first: int, last: int,
     return entry, count, None
 
 
-def block_maps(rows: pd.DataFrame) -> pd.DataFrame:
+def as_table(rows: list[tuple], names: str, types: str) -> pa.Table:
+    schema = pa.schema([(n, pa.string() if t == "s" else pa.int64()) for n, t in zip(names.split(), types)])
+    return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+
+
+def block_maps(rows: pa.Table) -> pa.Table:
     steps: dict[int, dict] = {}
-    for i, entry, exit_, n in zip(rows["i"], rows["entry"], rows["exit"], rows["n"]):
-        steps.setdefault(int(i), {})[entry] = exit_, int(n)
+    for r in rows.to_pylist():
+        steps.setdefault(r["i"], {})[r["entry"]] = r["exit"], r["n"]
     first, last = min(steps), max(steps)
-    key, block = rows["key"].iloc[0], first // BLOCK
-    out = [(key, block, e, *compose(steps, first, last, e)) for e in sorted(steps[first])]
-    return pd.DataFrame(out, columns=["key", "block", "entry", "exit", "n", "i"]).astype({"i": "Int64"})
+    key = rows.column("key")[0].as_py()
+    out = [(key, first // BLOCK, e, *compose(steps, first, last, e)) for e in sorted(steps[first])]
+    return as_table(out, "key block entry exit n i", "slssll")
 
 
 def giant_counts(giant: DataFrame, machine, start: str, chunk: int) -> DataFrame:
@@ -364,27 +368,25 @@ def giant_counts(giant: DataFrame, machine, start: str, chunk: int) -> DataFrame
     pieces = stored(giant.mapInArrow(cut, PIECES).dropDuplicates(["key", "i"]), "chunks")
     known = stored(pieces.mapInArrow(maps, MAPS), "maps")
 
-    def per_text(rows: pd.DataFrame) -> pd.DataFrame:
+    def per_text(rows: pa.Table) -> pa.Table:
         """Total of a text, or the chunk and state that its composition stops at."""
         steps: dict[int, dict] = {}
-        for block, entry, *rest in zip(rows["block"], rows["entry"], rows["exit"], rows["n"], rows["i"]):
-            steps.setdefault(int(block), {})[entry] = rest
+        for r in rows.to_pylist():
+            steps.setdefault(r["block"], {})[r["entry"]] = r["exit"], r["n"], r["i"]
         state, count, stop = start, 0, None
         for block in sorted(steps):
-            found = steps[block].get(state)
-            if found is None:
+            if state not in steps[block]:
                 stop = block * BLOCK
                 break
-            state, count = found[0], count + int(found[1])
-            if not pd.isna(found[2]):
-                stop = int(found[2])
+            state, more, stop = steps[block][state]
+            count += more
+            if stop is not None:
                 break
-        out = pd.DataFrame([(rows["key"].iloc[0], state, count, stop)], columns=["key", "entry", "n", "i"])
-        return out.astype({"i": "Int64"})
+        return as_table([(rows.column("key")[0].as_py(), state, count, stop)], "key entry n i", "ssll")
 
     while True:
-        blocks = known.withColumn("block", F.floor(F.col("i") / BLOCK)).groupBy("key", "block").applyInPandas(block_maps, BLOCKS)
-        found = stored(blocks.groupBy("key").applyInPandas(per_text, "key string, entry string, n long, i long"), "texts")
+        blocks = known.withColumn("block", F.floor(F.col("i") / BLOCK)).groupBy("key", "block").applyInArrow(block_maps, BLOCKS)
+        found = stored(blocks.groupBy("key").applyInArrow(per_text, "key string, entry string, n long, i long"), "texts")
         missing = found.where("i IS NOT NULL").select("key", "i", "entry")
         if missing.isEmpty():
             return found.select("key", F.col("n").alias("n_tokens"))
