@@ -27,8 +27,10 @@ def to_lists(matrix: np.ndarray, arrow_type: pa.DataType) -> pa.ListArray:
 def score_block(metric: str, rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Scores of every row against every query, higher is better, rounded to 6 decimals."""
     if metric == "l2":
-        squares = (rows**2).sum(1)[:, None] + (queries**2).sum(1)[None, :]
-        raw = -np.sqrt(np.maximum(squares - 2.0 * (rows @ queries.T), 0.0))
+        raw = np.empty((len(rows), len(queries)))
+        for i, query in enumerate(queries):  # expanded squares would lose digits of near vectors
+            apart = rows - query
+            raw[:, i] = -np.sqrt(np.einsum("ij,ij->i", apart, apart))
     else:
         raw = rows @ queries.T
         if metric == "cosine":
@@ -55,6 +57,12 @@ def pair_score(metric: str, a: Column, b: Column) -> Column:
     return F.when(norm > 0, F.round(dot(a, b) / norm, 6)).otherwise(F.lit(0.0))
 
 
+def usable(values: Column, dim: int | Column) -> Column:
+    """Whether a vector has ``dim`` elements, all finite; never null."""
+    finite = F.forall(values, lambda x: F.abs(x.cast("double")) < F.lit(float("inf")))
+    return F.coalesce((F.size(values) == dim) & finite, F.lit(False))
+
+
 def int8_codes(values: Column) -> Column:
     """``STRUCT<codes, scale>``: each row scaled by its largest magnitude to -127..127."""
 

@@ -87,26 +87,28 @@ class Scan:
         self.pending: list[pa.Table] = []
         self.waiting = 0
 
-    def add(self, batch: pa.RecordBatch | pa.Table) -> None:
-        step = max(1, BLOCK_CELLS // max(self.queries.shape))
+    def add(self, batch: pa.RecordBatch | pa.Table, which: np.ndarray | None = None) -> None:
+        """Score a batch against all queries, or those at the places ``which``."""
+        which = np.arange(len(self.queries)) if which is None else which
+        step = max(1, BLOCK_CELLS // max(len(which), self.queries.shape[1]))
         for start in range(0, batch.num_rows, step):
-            self._add(batch.slice(start, step))
+            self._add(batch.slice(start, step), which)
 
-    def _add(self, batch: pa.RecordBatch | pa.Table) -> None:
+    def _add(self, batch: pa.RecordBatch | pa.Table, which: np.ndarray) -> None:
         matrix = to_matrix(batch.column("values"), self.queries.shape[1])
         if "scale" in batch.schema.names:
             matrix = matrix * batch.column("scale").to_numpy()[:, None]
         finite = np.isfinite(matrix).all(axis=1)
         if not finite.all():
             matrix, batch = matrix[finite], batch.filter(pa.array(finite))
-        scores = score_block(self.metric, matrix, self.queries)
+        scores, floor = score_block(self.metric, matrix, self.queries[which]), self.floor[which]
         # A first bound from the first block; later ones come from the merged result. Ties with
         # the k-th score stay in until ids break them.
-        if len(scores) > self.k and not np.isfinite(self.floor).all():
-            self.floor = np.maximum(self.floor, np.partition(scores, -self.k, axis=0)[-self.k])
-        row, q = np.nonzero(scores >= self.floor)
+        if len(scores) > self.k and not np.isfinite(floor).all():
+            floor = self.floor[which] = np.maximum(floor, np.partition(scores, -self.k, axis=0)[-self.k])
+        row, q = np.nonzero(scores >= floor)
         found = pa.table(
-            {"qpos": q.astype(np.int64), "score": scores[row, q]}
+            {"qpos": which[q].astype(np.int64), "score": scores[row, q]}
             | {c: batch.column(c).take(pa.array(row)) for c in self.id_cols}
         )
         self.pending.append(found)
@@ -231,6 +233,16 @@ def _arrow_schema(schema: T.StructType) -> list:
     return list(to_arrow_schema(schema))
 
 
+def one_length(head: pa.Table, queries: DataFrame, held: int) -> int:
+    """The length of all query vectors, of which ``head`` has the first; different ones are an error."""
+    sizes = set(pc.list_value_length(head["query_vector"]).to_pylist())
+    if head.num_rows > held:
+        sizes |= {r[0] for r in queries.select(F.size("query_vector")).distinct().limit(2).collect()}
+    if len(sizes) > 1:
+        raise ValueError(f"query vectors of different lengths: {sorted(sizes)}")
+    return sizes.pop()
+
+
 def no_hits(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     """The result of a search without queries."""
     fields = [queries.schema["query_id"], T.StructField("rank", T.IntegerType()), corpus.schema["id"]]
@@ -262,7 +274,7 @@ def vector_search(
     head = wanted.select("query_id", "query_vector").limit(query_rows + 1).toArrow()
     if head.num_rows == 0:
         return no_hits(queries, corpus)
-    dim = len(head["query_vector"][0])
+    dim = one_length(head, wanted, query_rows)
     depth = deepest(wanted, k)
     fits = head.num_rows <= query_rows and head.num_rows * dim * 8 <= QUERY_BYTES
     if strategy == "broadcast" and not fits:

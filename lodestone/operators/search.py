@@ -11,10 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokens
+from lodestone.functions.vectors import pair_score, usable
 from lodestone.operators.dense import DEFAULT_TOP_K, vector_search
 from lodestone.operators.embed import DEFAULT_DIM, HASHING, embed_texts
-from lodestone.operators.sparse import SparseIndex, sparse_search
+from lodestone.operators.sparse import Asked, SparseIndex
 from lodestone.operators.topk import deepest, limit_per_query, rank_hits, with_rows
+from lodestone.session import cut_lineage
 
 COVERAGE = ("local", "coverage")
 DEFAULT_ALPHA = 0.5
@@ -77,28 +79,49 @@ def text_search(
     return vector_search(vectors.select("query_id", "query_vector", *extra), corpus, k, metric)
 
 
-def _min_max(side: DataFrame, name: str) -> DataFrame:
-    """Scale each query's scores to 0..1; equal scores all become 1."""
-    w = W.partitionBy("query_id")
-    low, high = F.min("score").over(w), F.max("score").over(w)
-    scaled = F.when(high > low, (F.col("score") - low) / (high - low)).otherwise(F.lit(1.0))
-    return side.select("query_id", "id", scaled.alias(name))
+def _scaled(score: str, low: str, high: str) -> Column:
+    """A score on a scale from 0 to 1; a scale of one point gives 1."""
+    spread = F.col(high) - F.col(low)
+    return F.when(spread > 0, (F.col(score) - F.col(low)) / spread).otherwise(F.lit(1.0))
+
+
+def scales_of(union: DataFrame) -> DataFrame:
+    """Per query the smallest and largest score of each side: ``d_low, d_high, s_low, s_high``."""
+    ends = [f(c).alias(f"{c}_{name}") for c in ("d", "s") for name, f in (("low", F.min), ("high", F.max))]
+    return union.groupBy("query_id").agg(*ends)
+
+
+def weights_of(queries: DataFrame, alpha: float | None) -> DataFrame:
+    """``query_id, alpha``: a query's own weight of the dense side, else ``alpha``, else one half."""
+    weight = F.lit(DEFAULT_ALPHA if alpha is None else float(alpha))
+    own = F.coalesce(F.col("alpha").cast("double"), weight) if "alpha" in queries.columns else weight
+    return queries.select("query_id", own.alias("alpha"))
+
+
+def _fused(d: Column, s: Column) -> Column:
+    return F.col("alpha") * d + (F.lit(1.0) - F.col("alpha")) * s
 
 
 def fuse(
     dense: DataFrame, sparse: DataFrame, k: int, alpha: float | None = None, weights: DataFrame | None = None
 ) -> DataFrame:
-    """``alpha * dense + (1 - alpha) * sparse`` over two candidate pools; a missing side is 0.
+    """``alpha * dense + (1 - alpha) * sparse`` over two lists of hits; a missing side is 0.
 
-    ``weights`` (query_id, alpha) gives each query its own; a null one takes ``alpha``, and that
-    is one half when not given.
+    Each list is scaled to 0..1 by itself. ``weights`` (query_id, alpha) gives each query its own; a
+    null one takes ``alpha``, and that is one half when not given. For lists of which the other
+    side's scores are not known; ``hybrid_search`` knows both.
     """
-    weight = F.lit(DEFAULT_ALPHA if alpha is None else float(alpha))
-    both = _min_max(dense, "d").join(_min_max(sparse, "s"), ["query_id", "id"], "full_outer")
-    if weights is not None:
-        both = both.join(weights.select("query_id", "alpha"), "query_id", "left")
-        weight = F.coalesce(F.col("alpha").cast("double"), weight)
-    score = weight * F.coalesce("d", F.lit(0.0)) + (F.lit(1.0) - weight) * F.coalesce("s", F.lit(0.0))
+
+    def scaled(side: DataFrame, name: str) -> DataFrame:
+        w = W.partitionBy("query_id")
+        ends = side.withColumns({"__l": F.min("score").over(w), "__h": F.max("score").over(w)})
+        return ends.select("query_id", "id", _scaled("score", "__l", "__h").alias(name))
+
+    both = scaled(dense, "d").join(scaled(sparse, "s"), ["query_id", "id"], "full_outer")
+    if weights is None:
+        weights = both.select("query_id").distinct()
+    both = both.join(weights_of(weights, alpha), "query_id", "left")
+    score = _fused(F.coalesce("d", F.lit(0.0)), F.coalesce("s", F.lit(0.0)))
     hits = both.select("query_id", "id", F.round(score, 6).alias("score"))
     return rank_hits(hits, k).select("query_id", "rank", "id", "score")
 
@@ -115,18 +138,72 @@ def hybrid_search(
     model: str = HASHING[1],
     dim: int = DEFAULT_DIM,
 ) -> DataFrame:
-    """Dense and sparse candidates of one text, fused.
-
-    Each side offers ``depth`` candidates (4k, at least 100). ``alpha`` is the weight of the
-    dense side, one half by default; a column ``alpha`` of the queries comes first.
+    """The best documents of the whole corpus by ``alpha * dense + (1 - alpha) * sparse`` of one text.
+
+    Each side names its ``depth`` best documents (4k, at least 100; never fewer than k), and their union is scored on
+    both sides; its smallest and largest scores make a query's scale, 0 to 1 per side. A document in
+    neither list scores at most the last of each list. While that could still reach a query's k best,
+    the query's lists are made four times as deep; the scale stays. So the hits are those of scoring every document.
+    ``alpha`` is the weight of the dense side, one half by default; a column ``alpha`` of the queries
+    comes first.
     """
     most = deepest(queries, k)
-    depth = depth or max(4 * most, 100)
-    plain = queries.drop("top_k")
-    dense = text_search(plain, corpus, depth, metric, provider, model, dim)
-    weights = queries if "alpha" in queries.columns else None
-    fused = fuse(dense, sparse_search(plain, index, depth), most, alpha, weights)
-    return limit_per_query(fused, queries, k)
+    depth = max(depth or max(4 * most, 100), most)
+    extra = [c for c in ("query_text", "sparse_query", "alpha") if c in queries.columns]
+    open_ = embed_texts(queries.select("query_id", *extra), "query_text", "query_vector", provider, model, dim)
+    open_ = cut_lineage(open_)
+    asked = Asked(open_, index)
+    weights = weights_of(queries, alpha)
+    scales, done = None, None
+    while True:
+        dense = vector_search(open_.select("query_id", "query_vector"), corpus, depth, metric)
+        sparse = rank_hits(asked.best(depth).join(open_.select("query_id"), "query_id", "left_semi"), depth)
+        dense, sparse = cut_lineage(dense), cut_lineage(sparse.select("query_id", "rank", "id", "score"))
+        union = cut_lineage(score_union(dense, sparse, open_, corpus, asked, metric))
+        if scales is None:
+            scales = cut_lineage(scales_of(union))
+        scored = union.join(scales, "query_id").join(weights, "query_id")
+        lexical = _scaled("s", "s_low", "s_high")
+        score = F.round(_fused(F.coalesce(_scaled("d", "d_low", "d_high"), F.lit(0.0)), lexical), 6)
+        hits = scored.select("query_id", "id", score.alias("score"))
+        ranked = cut_lineage(rank_hits(hits, most).select("query_id", "rank", "id", "score"))
+        # what a document in neither list can have at most; a list that is not full has left none out
+        outside = open_.select("query_id")
+        for side, name in ((dense, "d"), (sparse, "s")):
+            last = side.where(F.col("rank") == depth).select("query_id", F.col("score").alias(name))
+            outside = outside.join(last, "query_id", "left")
+        outside = outside.where("d IS NOT NULL OR s IS NOT NULL").fillna(0.0, ["s"])
+        # a document without a vector has 0 there, be the list's last one below that
+        best = F.round(_fused(F.greatest(_scaled("d", "d_low", "d_high"), F.lit(0.0)), lexical), 6)
+        outside = outside.join(scales, "query_id").join(weights, "query_id").select("query_id", best.alias("most"))
+        kth = ranked.where(F.col("rank") == most).select("query_id", "score")
+        reach = outside.join(kth, "query_id", "left").where("score IS NULL OR most >= score").select("query_id")
+        reach = cut_lineage(reach)
+        settled = ranked.join(reach, "query_id", "left_anti")
+        done = settled if done is None else done.unionByName(settled)
+        if reach.isEmpty():
+            return limit_per_query(done, queries, k)
+        open_ = cut_lineage(open_.join(reach, "query_id", "left_semi"))
+        depth *= 4
+
+
+def score_union(dense: DataFrame, sparse: DataFrame, queries: DataFrame, corpus: DataFrame, asked: Asked, metric: str) -> DataFrame:
+    """``query_id, id, d, s``: both lists' documents with both scores.
+
+    Without a common term ``s`` is 0, without a vector that can match ``d`` is null.
+    """
+    both = dense.select("query_id", "id", F.col("score").alias("d")).join(
+        sparse.select("query_id", "id", F.col("score").alias("s")), ["query_id", "id"], "full_outer"
+    )
+    both = cut_lineage(both)
+    no_dense = with_rows(both.where("d IS NULL").select("query_id", "id"), corpus.select("id", "values"), how="left")
+    no_dense = no_dense.join(queries.select("query_id", "query_vector"), "query_id")
+    vector = pair_score(metric, F.col("values"), F.col("query_vector"))
+    fits = usable(F.col("values"), F.size("query_vector"))
+    no_dense = no_dense.select("query_id", "id", F.when(fits, vector).alias("__d"))
+    no_sparse = asked.of_pairs(both.where("s IS NULL").select("query_id", "id")).withColumnRenamed("score", "__s")
+    rows = both.join(no_dense, ["query_id", "id"], "left").join(no_sparse, ["query_id", "id"], "left")
+    return rows.select("query_id", "id", F.coalesce("d", "__d").alias("d"), F.coalesce("s", "__s", F.lit(0.0)).alias("s"))
 
 
 def register_reranker(

@@ -6,7 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.operators.ann import ann_build, ann_search, mean_centroids, rerank_depth_search
+from lodestone.operators.ann import (
+    ann_build,
+    ann_search,
+    mean_centroids,
+    rerank_depth_search,
+    train_centroids,
+    write_index,
+)
 from lodestone.operators.dense import vector_search
 from lodestone.operators.embed import embed_texts
 from lodestone.operators.filters import Filter, filter_advanced, filter_equality
@@ -19,7 +26,6 @@ from lodestone.operators.search import (
     text_search,
 )
 from lodestone.operators.sparse import build_sparse_index, sparse_search
-from lodestone.operators.write import write_collection
 from lodestone.plans.base import (
     SQL_CENTROIDS,
     query,
@@ -175,14 +181,14 @@ def _sparse_search_own_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return sparse_search(asked, build_sparse_index(texts(spark, folder)), 10)
 
 
+# The two lists of 100 set each query's scale; then every document is scored on both sides.
 SQL_FUSED = f"""{SQL_TEXT_VECTORS}, {SQL_BM25},
-dn AS ({sql_top(SQL_TEXT_HITS, 100)}), sp AS ({sql_top('SELECT * FROM bm', 100)}),
-dm AS (SELECT query_id, id, CASE WHEN max(score) OVER w > min(score) OVER w
-  THEN (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) ELSE 1.0 END AS d FROM dn WINDOW w AS (PARTITION BY query_id)),
-sm AS (SELECT query_id, id, CASE WHEN max(score) OVER w > min(score) OVER w
-  THEN (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) ELSE 1.0 END AS s FROM sp WINDOW w AS (PARTITION BY query_id))"""
-SQL_FUSED_HITS = """SELECT query_id, id, round(0.3::DOUBLE * coalesce(d, 0.0) + (1.0 - 0.3::DOUBLE) * coalesce(s, 0.0), 6) AS score
-FROM dm FULL OUTER JOIN sm USING (query_id, id)"""
+va AS ({SQL_TEXT_HITS}),
+al AS (SELECT va.query_id, va.id, va.score AS d, coalesce(bm.score, 0.0) AS s FROM va LEFT JOIN bm USING (query_id, id)),
+un AS (SELECT query_id, id FROM ({sql_top('SELECT * FROM va', 100)}) UNION SELECT query_id, id FROM ({sql_top('SELECT * FROM bm', 100)})),
+sc AS (SELECT query_id, min(d) AS dl, max(d) AS dh, min(s) AS sl, max(s) AS sh FROM un JOIN al USING (query_id, id) GROUP BY query_id)"""
+SQL_FUSED_HITS = """SELECT query_id, id, round(0.3::DOUBLE * CASE WHEN dh > dl THEN (d - dl) / (dh - dl) ELSE 1.0 END
+  + (1.0 - 0.3::DOUBLE) * CASE WHEN sh > sl THEN (s - sl) / (sh - sl) ELSE 1.0 END, 6) AS score FROM al JOIN sc USING (query_id)"""
 
 
 @query("hybrid_search", f"WITH {SQL_FUSED} {sql_top(SQL_FUSED_HITS, 10)}")
@@ -258,7 +264,7 @@ def _ann_build(spark: SparkSession, folder: str) -> DataFrame:
     wide = F.transform("codes", lambda c: c.cast("bigint"))
     return index.select(
         "id",
-        "cell",
+        F.col("cell").cast("int").alias("cell"),
         F.aggregate(wide, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("code_sum"),
         F.aggregate(wide, F.lit(0).cast("bigint"), lambda a, x: a + x * x).alias("code_norm"),
         F.round("scale", 9).alias("scale"),
@@ -271,20 +277,47 @@ SQL_ANN = """SELECT query_id, vec_id AS id, round(list_cosine_similarity(embeddi
 FROM pr JOIN ce USING (cell) JOIN embeddings USING (vec_id)"""
 
 
+def stored_index(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    index, centroids = built_index(spark, folder)
+    return write_index(index, scratch_path(spark, "cells")), centroids
+
+
 @query("ann_search", f"WITH {SQL_CELLS}, {SQL_PROBES} {sql_top(SQL_ANN, 10)}")
 def _ann_search(spark: SparkSession, folder: str) -> DataFrame:
-    index, centroids = built_index(spark, folder)
-    path = scratch_path(spark, "cells")
-    write_collection(index, path, partition_by="cell")
-    index = spark.read.parquet(path)
+    index, centroids = stored_index(spark, folder)
     return ann_search(label_queries(spark, folder), index, centroids, 10, nprobe=3)
 
 
+@query("ann_search_own_top_k", f"WITH {SQL_CELLS}, {SQL_PROBES} {sql_top(SQL_ANN, SQL_OWN_K)}")
+def _ann_search_own_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    index, centroids = stored_index(spark, folder)
+    return ann_search(with_own_top_k(label_queries(spark, folder)), index, centroids, 10, nprobe=3)
+
+
+# Both knobs: the codes of 3 probed cells, the vectors of the best 40 of each query.
+SQL_PROBED_CODES = """SELECT query_id, vec_id AS id, e, qv, round(list_cosine_similarity(list_transform(codes, lambda x: x * scale), qv), 6) AS score
+FROM pr JOIN ce USING (cell) JOIN co USING (vec_id)"""
+SQL_BOTH = f"cd AS ({sql_top(SQL_PROBED_CODES, 40, keep='query_id, id, e, qv')})"
 SQL_COARSE = "SELECT query_id, vec_id AS id, e, qv, round(list_dot_product(list_transform(codes, lambda x: x * scale), qv), 6) AS score FROM q, co"
 SQL_DEPTH = f"""cd AS ({sql_top(SQL_COARSE, 100, keep='query_id, id, e, qv')})"""
 SQL_DEPTH_HITS = "SELECT query_id, id, round(list_cosine_similarity(e, qv), 6) AS score FROM cd"
 
 
+@query("ann_search_depth", f"WITH {SQL_CELLS}, {SQL_PROBES}, {SQL_BOTH} {sql_top(SQL_DEPTH_HITS, 10)}")
+def _ann_search_depth(spark: SparkSession, folder: str) -> DataFrame:
+    index, centroids = stored_index(spark, folder)
+    return ann_search(label_queries(spark, folder), index, centroids, 10, nprobe=3, depth=40)
+
+
+# Centroids trained on every vector: with all cells probed the hits are the exact ones.
+@query("ann_search_trained", f"WITH {SQL_CENTROIDS} {sql_top(SQL_EXACT, 10)}")
+def _ann_search_trained(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors(spark, folder)
+    centroids = train_centroids(rows)
+    index = write_index(ann_build(rows, centroids), scratch_path(spark, "trained"))
+    return ann_search(label_queries(spark, folder), index, centroids, 10, nprobe=centroids.count())
+
+
 @query("rerank_depth_search", f"WITH {SQL_CELLS}, {SQL_DEPTH} {sql_top(SQL_DEPTH_HITS, 10)}")
 def _rerank_depth_search(spark: SparkSession, folder: str) -> DataFrame:
     index, _ = built_index(spark, folder)

@@ -137,13 +137,11 @@ def test_ann_with_all_cells_is_exact(queries, vectors):
 
 def test_ann_reads_probed_cells_only(spark, queries, vectors, folder):
     centroids = ann.mean_centroids(plans.vectors(spark, "/root/testdata/sf0.001"), "label")
-    from lodestone.operators.write import write_collection
-
-    write_collection(ann.ann_build(vectors, centroids), folder + "/index", partition_by="cell")
-    index = spark.read.parquet(folder + "/index")
+    index = ann.write_index(ann.ann_build(vectors, centroids), folder + "/index")
     one = queries.where("query_id = 3")
     hits = ann.ann_search(one, index, centroids, 5, nprobe=2)
-    assert "PartitionFilters: [isnotnull(cell" in hits._jdf.queryExecution().toString() or "PartitionFilters: [cell" in hits._jdf.queryExecution().toString()
+    plan = hits._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(top" in plan or "PartitionFilters: [top" in plan
     exact = {r["id"] for r in vector_search(one, vectors, 5).collect()}
     assert len(exact & {r["id"] for r in hits.collect()}) >= 1
 
