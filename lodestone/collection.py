@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.ids import ID_TYPE
@@ -14,7 +14,7 @@ from lodestone.functions.vectors import METRICS
 from lodestone.operators.dense import DEFAULT_TOP_K, vector_search
 from lodestone.operators.embed import infer_dim
 from lodestone.operators.filters import filter_advanced, filter_equality
-from lodestone.operators.schema import MetadataSchema
+from lodestone.operators.schema import FIELD_TYPES, MetadataSchema, cast_field, misfits
 from lodestone.operators.search import hybrid_search, result_projection, text_search
 from lodestone.operators.search import rerank as rerank_hits
 from lodestone.operators.sparse import build_sparse_index
@@ -65,6 +65,9 @@ class Collection:
     Inserts and deletes append a batch under a sequence number; reading takes the newest row
     of each id. Repeating a call with the same ``seq`` rewrites the same batch; a new batch must
     follow the last compacted one. Of two writers that take the same next number one fails.
+
+    The base stores each declared field as a typed column beside the metadata, so that filters on it
+    reach the statistics of the Parquet files; a change of the schema writes a base with the new columns.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: CollectionSpec):
@@ -95,8 +98,23 @@ class Collection:
         change = self.spec.schema.merge if mode == "merge" else self.spec.schema.replace
         self.spec = replace(self.spec, schema=change(fields))
         self._write_spec("overwrite")
+        self.compact()
         return self
 
+    def _stored_fields(self) -> dict[str, str]:
+        """The typed column that stores each declared field; the type is part of the name."""
+        return {n: f"field_{n}_{k}" for n, k in self.spec.schema.fields}
+
+    def _typed(self, metadata: str = "metadata") -> dict[str, Column]:
+        """The stored columns' values, from the text in the metadata."""
+        names = self._stored_fields()
+        return {names[n]: cast_field(F.try_element_at(F.col(metadata), F.lit(n)), k) for n, k in self.spec.schema.fields}
+
+    def misfits(self) -> DataFrame:
+        """``id, field, value, kind`` for each record's text that does not fit the declared type; its column is null."""
+        values = {n: F.try_element_at("metadata", F.lit(n)) for n, _ in self.spec.schema.fields}
+        return misfits(self.records(), ["id"], values, self.spec.schema)
+
     def _seqs(self, name: str) -> list[int]:
         """Numbers of the batches below a folder, empty ones included; no file is read."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -105,9 +123,12 @@ class Collection:
         return [int(f.removeprefix("seq=")) for f in folders if f.startswith("seq=")]
 
     def _table(self, name: str) -> DataFrame:
+        rows, names = ROWS, self._stored_fields()
+        if name == "base":
+            rows += ", version int" + "".join(f", `{names[n]}` {FIELD_TYPES[k]}" for n, k in self.spec.schema.fields)
         if not self._seqs(name):
-            return self.spark.createDataFrame([], ROWS)
-        return self.spark.read.schema(ROWS).parquet(f"{self.path}/{name}")
+            return self.spark.createDataFrame([], rows)
+        return self.spark.read.schema(rows).parquet(f"{self.path}/{name}")
 
     def _last_seq(self) -> int:
         """Number of the last batch."""
@@ -140,16 +161,23 @@ class Collection:
         base, batches = self._table("base"), self._table("rows").where(F.col("reason").isNull())
         if before is not None:
             batches = batches.where(F.col("seq") < before)
-        upto = base.agg(F.max("seq")).first()[0]
-        if upto is None:
-            return latest_per_id(batches)
-        base = base.where(F.col("seq") == upto)
-        later = latest_per_id(batches.where(F.col("seq") > upto))
+        last = base.agg(F.max(F.struct("seq", "version"))).first()[0]
+        if last is None:
+            return latest_per_id(batches).withColumns(self._typed())
+        upto = last["seq"]
+        base = base.where((F.col("seq") == upto) & (F.col("version") == last["version"])).drop("version")
+        if last["version"] != self.spec.schema.version:  # the base of the schema before is still the last one
+            base = base.withColumns(self._typed())
+        later = latest_per_id(batches.where(F.col("seq") > upto)).withColumns(self._typed())
         return without_rows_of(base, later.select("id"), "id").unionByName(later)
 
     def records(self) -> DataFrame:
         """Current records: ``id, values, metadata``."""
-        return self._newest().where(~F.col("deleted")).select("id", "values", "metadata")
+        return self._current().select("id", "values", "metadata")
+
+    def _current(self) -> DataFrame:
+        """Current records with the typed columns of the declared fields."""
+        return self._newest().where(~F.col("deleted")).select("id", "values", "metadata", *self._stored_fields().values())
 
     def rejects(self) -> DataFrame:
         """Inserted rows that are no records, with the ``reason`` and the batch they came in (``seq``)."""
@@ -161,18 +189,24 @@ class Collection:
         if seq < 0:
             return
         columns = ["id", "values", "metadata", "position", "deleted"]
-        current = self._newest().where(~F.col("deleted")).select(*columns)
-        if self._table("base").where(F.col("seq") == seq).isEmpty():
-            current.write.mode("overwrite").parquet(f"{self.path}/base/seq={seq}")
+        version = self.spec.schema.version
+        current = self._newest().where(~F.col("deleted"))
+        current = current.select(*columns, *[v.alias(c) for c, v in self._typed().items()])
+        if self._table("base").where((F.col("seq") == seq) & (F.col("version") == version)).isEmpty():
+            current.write.mode("overwrite").parquet(f"{self.path}/base/seq={seq}/version={version}")
 
     def insert(self, batch: DataFrame, seq: int | None = None) -> int:
         """Upsert ``id, values, metadata, position``; returns the number of records inserted.
 
-        Rows of another dimension or without a position are kept apart, see ``rejects``.
+        Rows of another dimension, without a position, or with metadata that does not fit its declared
+        type are kept apart, see ``rejects``.
         """
         seq, mode = self._claim(seq)
         fits = F.coalesce(F.size("values") == self.spec.dim, F.lit(False))
         reason = F.when(~fits, f"vector has not {self.spec.dim} values").when(F.col("position").isNull(), "no position")
+        for (name, kind), value in zip(self.spec.schema.fields, self._typed().values()):
+            text = F.try_element_at("metadata", F.lit(name))
+            reason = reason.when(text.isNotNull() & value.isNull(), f"field {name} is no {kind}")
         rows = assign_record_ids(batch.withColumn("reason", reason), F.lit(seq)).withColumns(
             {"deleted": F.lit(False), "values": F.col("values").cast("array<float>")}
         )
@@ -215,14 +249,10 @@ class Collection:
 
         A hybrid collection searches texts both ways unless told otherwise. ``rerank`` is true,
         or a mapping with ``enabled`` and optionally ``provider`` and ``model``. Filters name metadata
-        keys, never columns of the records; declared fields compare in their types.
+        keys, never columns of the records; declared fields compare in their types, by their stored
+        columns.
         """
-        corpus, spec = self.records(), self.spec
-        fields = dict(spec.schema.fields)
-        if filters:
-            corpus = filter_equality(corpus, filters, fields=fields)
-        if advanced_filters:
-            corpus = filter_advanced(corpus, advanced_filters, fields=fields)
+        corpus, spec = self._passing(filters, advanced_filters), self.spec
         model = {"provider": spec.provider, "model": spec.model, "dim": spec.dim}
         corpus = corpus.withColumn("text", F.col("metadata")["text"])
         if "query_vector" in queries.columns:
@@ -242,6 +272,15 @@ class Collection:
             hits, documents, "metadata", include_metadata, include_embeddings, include_documents
         )
 
+    def _passing(self, filters: Mapping[str, object] | None = None, advanced_filters: list | None = None) -> DataFrame:
+        """Current records that satisfy all filters: ``id, values, metadata``."""
+        corpus, fields, columns = self._current(), dict(self.spec.schema.fields), self._stored_fields()
+        if filters:
+            corpus = filter_equality(corpus, filters, fields=fields, columns=columns)
+        if advanced_filters:
+            corpus = filter_advanced(corpus, advanced_filters, fields=fields, columns=columns)
+        return corpus.select("id", "values", "metadata")
+
     def drop(self) -> None:
         """Remove the collection and its records."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)

@@ -4,7 +4,8 @@ A declared field is its own typed column, so its comparison reaches the Parquet
 other field is read from the variant column and compared as a string, or as a number where the
 literals are numbers. A null field fails every operator except ``not_exists``, ``ne`` and ``not_in``;
 text that is no number counts as null there. Names that clash with other columns are told apart by
-``fields``: the declared fields with their types, all of them read from the variant column.
+``fields``: the declared fields with their types, read from the variant column unless ``columns`` names
+the typed column that stores one.
 """
 
 from __future__ import annotations
@@ -41,19 +42,24 @@ def _text(df: DataFrame, name: str, variant: str) -> Column:
     return F.try_element_at(F.col(variant), F.lit(name))
 
 
-def _field(df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None) -> tuple[Column, str]:
+def _field(
+    df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None, columns: Mapping[str, str] | None
+) -> tuple[Column, str]:
     """The column a filter looks at and the type in which it compares."""
     if fields is None and f.field in df.columns:
         return F.col(f.field), df.schema[f.field].dataType.simpleString()
-    text = _text(df, f.field, variant)
     if fields and f.field in fields:
         kind = fields[f.field]
-        return cast_field(text, kind), FIELD_TYPES[kind]
+        if columns and f.field in columns:
+            return F.col(columns[f.field]), FIELD_TYPES[kind]
+        return cast_field(_text(df, f.field, variant), kind), FIELD_TYPES[kind]
+    text = _text(df, f.field, variant)
     given = [*f.values, *([] if f.value is None else [f.value])]
     if f.op in ("prefix", "contains") or not given or not all(type(v) in (int, float) for v in given):
         return text, "string"
-    kind = "double" if any(type(v) is float for v in given) else "decimal(38,9)"
-    return text.try_cast(kind), kind
+    if any(type(v) is float for v in given):
+        return cast_field(text, "f64"), "double"  # NaN and infinities are no numbers
+    return text.try_cast("decimal(38,9)"), "decimal(38,9)"
 
 
 def _literal(value: object, kind: str) -> Column:
@@ -64,10 +70,12 @@ def _literal(value: object, kind: str) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _predicate(df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None) -> Column:
+def _predicate(
+    df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str] | None, columns: Mapping[str, str] | None
+) -> Column:
     if f.op not in OPS:
         raise ValueError(f"unknown filter op {f.op!r}, expected one of {OPS}")
-    col, kind = _field(df, f, variant, fields)
+    col, kind = _field(df, f, variant, fields, columns)
     many = [_literal(v, kind) for v in f.values]
     if f.op == "exists":
         return col.isNotNull()
@@ -95,22 +103,34 @@ def _predicate(df: DataFrame, f: Filter, variant: str, fields: Mapping[str, str]
 
 
 def compile_filters(
-    df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata", fields: Mapping[str, str] | None = None
+    df: DataFrame,
+    filters: Iterable[Filter | Mapping],
+    variant: str = "metadata",
+    fields: Mapping[str, str] | None = None,
+    columns: Mapping[str, str] | None = None,
 ) -> Column:
     """Conjunction of the filters; bad filters raise before any job runs."""
     built = [f if isinstance(f, Filter) else Filter(**{**f, "values": tuple(f.get("values") or ())}) for f in filters]
-    return reduce(lambda a, b: a & b, [_predicate(df, f, variant, fields) for f in built], F.lit(True))
+    return reduce(lambda a, b: a & b, [_predicate(df, f, variant, fields, columns) for f in built], F.lit(True))
 
 
 def filter_advanced(
-    df: DataFrame, filters: Iterable[Filter | Mapping], variant: str = "metadata", fields: Mapping[str, str] | None = None
+    df: DataFrame,
+    filters: Iterable[Filter | Mapping],
+    variant: str = "metadata",
+    fields: Mapping[str, str] | None = None,
+    columns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows that satisfy every (field, op, value, values)."""
-    return df.where(compile_filters(df, filters, variant, fields))
+    return df.where(compile_filters(df, filters, variant, fields, columns))
 
 
 def filter_equality(
-    df: DataFrame, wanted: Mapping[str, object], variant: str = "metadata", fields: Mapping[str, str] | None = None
+    df: DataFrame,
+    wanted: Mapping[str, object],
+    variant: str = "metadata",
+    fields: Mapping[str, str] | None = None,
+    columns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows whose metadata equals every (field, value); a missing field does not match."""
-    return filter_advanced(df, [Filter(k, "eq", v) for k, v in wanted.items()], variant, fields)
+    return filter_advanced(df, [Filter(k, "eq", v) for k, v in wanted.items()], variant, fields, columns)

@@ -80,8 +80,11 @@ def check_metadata_schema(df: DataFrame, schema: MetadataSchema, variant: str =
 
     Adds one typed column per field, null where its value does not fit, and ``errors``, the
     names of those fields. Undeclared keys stay in the variant; a missing or null field is a
-    null, not an error.
+    null, not an error. A field may not be named like another column of the rows.
     """
+    clash = sorted({n for n, _ in schema.fields} & set(df.columns))
+    if clash:
+        raise ValueError(f"declared fields {clash} are named like columns of the rows")
     # Text, value and verdict in projections of their own, so that each is computed once.
     staged = df
     if schema.fields:
@@ -92,8 +95,7 @@ def check_metadata_schema(df: DataFrame, schema: MetadataSchema, variant: str =
     ]
     errors = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
     values = [F.col(f"__val_{n}").alias(n) for n, _ in schema.fields]
-    others = [c for c in df.columns if c not in dict(schema.fields)]
-    return staged.select(*others, *values, errors.alias("errors"))
+    return staged.select(*df.columns, *values, errors.alias("errors"))
 
 
 def enforce_metadata_schema(
@@ -145,6 +147,22 @@ def _raw_or_null(df: DataFrame, name: str, variant: str) -> Column:
     return _raw(name, variant) if variant in df.columns else F.lit(None).cast("string")
 
 
+def misfits(df: DataFrame, keys: list[str], values: dict[str, Column], schema: MetadataSchema) -> DataFrame:
+    """``keys, field, value, kind`` for each text in ``values`` that does not fit its field's declared type.
+
+    One pass over the rows; a row with several misfits gives one row for each.
+    """
+    checks = [
+        F.when(
+            values[n].isNotNull() & cast_field(values[n], k).isNull(),
+            F.struct(F.lit(n).alias("field"), values[n].alias("value"), F.lit(k).alias("kind")),
+        )
+        for n, k in schema.fields
+    ]
+    found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<struct<field:string,value:string,kind:string>>")
+    return df.select(*keys, F.inline(found))
+
+
 def union_versions(tables: list[DataFrame]) -> DataFrame:
     """Files written under several schema versions as one table; missing fields are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

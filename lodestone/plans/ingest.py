@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from lodestone.sources.records import profile_source, sample_source, scope_filte
 from lodestone.sources.sync import sync_full, sync_incremental
 from lodestone.sources.web import page_links, web_crawl_frontier, web_extract_content, web_page_assets
 from lodestone.streaming.ingest import ingested_vectors, stream_ingest
+from lodestone.streaming.source_runs import ingest_source, runs, source_catalog, source_vectors
 
 SQL_SLUG = "coalesce(nullif(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'source')"
 
@@ -342,3 +345,82 @@ def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return ingested_vectors(spark, path).select(
         "external_id", "version", "chunk_index", F.md5("text").alias("text_hash"), F.size("values").alias("dim")
     )
+
+
+# A source in two runs: documents without every tenth, then without every eleventh, some of them changed.
+SQL_RUNS = """r1 AS (SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 0),
+r2 AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN text || ' v2' ELSE text END AS text FROM documents WHERE doc_id % 11 <> 0),
+nw AS (SELECT coalesce(r2.doc_id, r1.doc_id) AS doc_id, coalesce(r2.text, r1.text) AS text, r1.doc_id IS NOT NULL AS had,
+  r2.doc_id IS NOT NULL AS seen, coalesce(r1.text <> r2.text, FALSE) AS changed FROM r1 FULL OUTER JOIN r2 USING (doc_id)),
+""" + SQL_CHUNKS.replace("FROM documents", "FROM nw") + ", cc AS (SELECT doc_id, count(*) FILTER (text <> '') AS c FROM ch GROUP BY 1)"
+
+
+def _sql_catalog(where: str) -> str:
+    return f"""WITH {SQL_RUNS} SELECT doc_id::VARCHAR AS external_id, CASE WHEN changed THEN 2 ELSE 1 END AS version, sha256(text) AS content_hash,
+  strlen(text) AS size_bytes, c AS chunk_count, CASE WHEN c > 0 THEN 'ready' ELSE 'failed' END AS status,
+  CASE WHEN had THEN 1 ELSE 2 END AS created_day, CASE WHEN had AND NOT changed THEN 1 ELSE 2 END AS updated_day
+FROM nw JOIN cc USING (doc_id) WHERE {where}"""
+
+
+def two_runs(spark: SparkSession, folder: str, mode: str) -> str:
+    """A dataset after two runs; the second is repeated, which changes nothing."""
+    docs = text_table(spark, folder, "documents").select(F.col("doc_id"), F.col("text").alias("content"))
+    docs = docs.withColumn("external_id", F.col("doc_id").cast("string"))
+    later = docs.withColumn("content", F.when(F.col("doc_id") % 7 == 0, F.concat("content", F.lit(" v2"))).otherwise(F.col("content")))
+    path = scratch_path(spark, "source")
+    ingest_source(docs.where("doc_id % 10 <> 0"), path, "docs", mode, at=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    for _ in range(2):
+        ingest_source(later.where("doc_id % 11 <> 0"), path, "docs", mode, run=1, at=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    return path
+
+
+def _catalog_of(spark: SparkSession, path: str) -> DataFrame:
+    return source_catalog(spark, path).select(
+        "external_id", "version", "content_hash", "size_bytes", "chunk_count", "status",
+        F.dayofmonth("created_at").alias("created_day"), F.dayofmonth("updated_at").alias("updated_day"),
+    )
+
+
+@query("ingest_source_full", _sql_catalog("seen"))
+def _ingest_source_full(spark: SparkSession, folder: str) -> DataFrame:
+    return _catalog_of(spark, two_runs(spark, folder, "full"))
+
+
+@query("ingest_source_incremental", _sql_catalog("TRUE"))
+def _ingest_source_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return _catalog_of(spark, two_runs(spark, folder, "incremental"))
+
+
+@query(
+    "ingest_source_vectors",
+    f"WITH {SQL_RUNS} SELECT doc_id::VARCHAR AS external_id, CASE WHEN changed THEN 2 ELSE 1 END AS version, chunk_index, md5(ch.text) AS text_hash, "
+    "64 AS dim FROM ch JOIN nw USING (doc_id) WHERE seen AND ch.text <> ''",
+)
+def _ingest_source_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = source_vectors(spark, two_runs(spark, folder, "full"))
+    return found.select("external_id", "version", "chunk_index", F.md5("text").alias("text_hash"), F.size("values").alias("dim"))
+
+
+@query(
+    "ingest_source_runs",
+    f"""WITH {SQL_RUNS} SELECT 0 AS run, count(*) FILTER (had) AS documents_new, 0::BIGINT AS documents_changed, 0::BIGINT AS documents_deleted,
+  0::BIGINT AS documents_unchanged, 'completed' AS status FROM nw
+UNION ALL SELECT 1, count(*) FILTER (NOT had), count(*) FILTER (changed), count(*) FILTER (NOT seen), count(*) FILTER (had AND seen AND NOT changed),
+  'completed' FROM nw""",
+)
+def _ingest_source_runs(spark: SparkSession, folder: str) -> DataFrame:
+    kinds = [f"documents_{k}" for k in ("new", "changed", "deleted", "unchanged")]
+    return runs(spark, two_runs(spark, folder, "full")).select(F.col("run").cast("int").alias("run"), *kinds, "status")
+
+
+# The second page of 20 documents of that catalog, by key.
+@query(
+    "ingest_source_page",
+    f"""WITH {SQL_RUNS}, p AS (SELECT md5('docs|' || doc_id) AS id, doc_id::VARCHAR AS external_id,
+  row_number() OVER (ORDER BY CASE WHEN had THEN 1 ELSE 2 END, md5('docs|' || doc_id)) AS n FROM nw WHERE seen)
+SELECT id, external_id FROM p WHERE n BETWEEN 21 AND 40""",
+)
+def _ingest_source_page(spark: SparkSession, folder: str) -> DataFrame:
+    catalog = source_catalog(spark, two_runs(spark, folder, "full"))
+    cursor = list_documents_keyset(catalog, 20).first()["next_cursor"]
+    return list_documents_keyset(catalog, 20, cursor).select("id", "external_id")

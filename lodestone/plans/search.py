@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.collection import Collection, CollectionSpec
+from lodestone.functions.ids import int_id
 from lodestone.operators.ann import (
     ann_build,
     ann_search,
@@ -15,8 +17,9 @@ from lodestone.operators.ann import (
     write_index,
 )
 from lodestone.operators.dense import vector_search
-from lodestone.operators.embed import embed_texts
+from lodestone.operators.embed import HASHING, embed_texts
 from lodestone.operators.filters import Filter, filter_advanced, filter_equality
+from lodestone.operators.schema import MetadataSchema
 from lodestone.operators.search import (
     hybrid_search,
     normalize_queries,
@@ -240,6 +243,37 @@ def _filter_advanced(spark: SparkSession, folder: str) -> DataFrame:
     return filter_advanced(labelled(spark, folder), filters).select("id", "lang", "n_chars")
 
 
+# Through a collection whose declared fields are stored as columns.
+@query(
+    "filter_typed",
+    f"""WITH fd AS (SELECT doc_id, text FROM documents WHERE n_chars BETWEEN 200 AND 4000 AND n_chars > 250.5 AND lang IN ('en', 'es')
+  AND source <> 'src3'),
+{sql_embedding('bq', 'benchmark', 'item_id', 'text')}, {sql_embedding('dv', 'fd', 'doc_id', 'text')}
+{sql_top(SQL_TEXT_HITS, 5)}""",
+)
+def _filter_typed(spark: SparkSession, folder: str) -> DataFrame:
+    schema = MetadataSchema((("n_chars", "u32"), ("lang", "string")))
+    spec = CollectionSpec("documents", provider=HASHING[0], model=HASHING[1], schema=schema)
+    made = Collection.create(spark, scratch_path(spark, "documents"), spec)
+    fields = {"n_chars": F.col("n_chars").cast("string"), "lang": F.col("lang"), "source": F.col("source")}
+    records = text_vectors(spark, folder).select(
+        int_id(F.col("id")).alias("id"),
+        "values",
+        F.create_map(*[c for n, v in fields.items() for c in (F.lit(n), v)]).alias("metadata"),
+        F.col("id").alias("position"),
+    )
+    made.insert(records)
+    made.compact()
+    filters = [
+        Filter("n_chars", "between", values=(200, 4000)),
+        Filter("n_chars", "gt", 250.5),
+        Filter("lang", "in", values=("en", "es")),
+        Filter("source", "ne", "src3"),
+    ]
+    hits = made.search(text_queries(spark, folder), 5, advanced_filters=filters, include_metadata=False)
+    return hits.select("query_id", "rank", F.col("id.i").alias("id"), "score")
+
+
 SQL_CELLS = f"""{SQL_CENTROIDS},
 ce AS (SELECT vec_id, query_id AS cell FROM (SELECT vec_id, query_id, row_number() OVER (PARTITION BY vec_id ORDER BY
   round(list_cosine_similarity(embedding::DOUBLE[], qv), 6) DESC, query_id) AS r FROM embeddings, q) WHERE r = 1),

@@ -12,6 +12,7 @@ from lodestone.operators.schema import (
     MetadataSchema,
     check_metadata_schema,
     enforce_metadata_schema,
+    misfits,
     schema_merge,
     schema_replace,
 )
@@ -261,6 +262,20 @@ def _schema_replace(spark: SparkSession, folder: str) -> DataFrame:
     return replaced.select("event_id", "note", loose.alias("loose_k"), F.lit(schema.version).alias("schema_version"))
 
 
+# The field declared loosely becomes a whole number of 32 bits; what does not fit is listed.
+@query(
+    "schema_retype",
+    f"""WITH {SQL_LOOSE} SELECT event_id, CASE WHEN k BETWEEN -2147483648 AND 2147483647 THEN k::INTEGER END AS k, 2 AS schema_version,
+  CASE WHEN raw IS NOT NULL AND NOT coalesce(k BETWEEN -2147483648 AND 2147483647, FALSE) THEN raw END AS misfit FROM ca""",
+)
+def _schema_retype(spark: SparkSession, folder: str) -> DataFrame:
+    raw = F.try_variant_get("metadata", "$.k", "string")
+    rows = loose_events(spark, folder).withColumn("k", raw)
+    retyped, schema = schema_merge(rows, MetadataSchema((("k", "string"),)), [("k", "i32")])
+    odd = misfits(rows, ["event_id"], {"k": F.col("k")}, schema).select("event_id", F.col("value").alias("misfit"))
+    return retyped.select("event_id", "k", F.lit(schema.version).alias("schema_version")).join(odd, "event_id", "left")
+
+
 @query(
     "write_collection",
     "SELECT vec_id AS id, label AS cell, len(embedding) AS dim, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings",

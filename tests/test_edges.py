@@ -65,7 +65,8 @@ def test_filters_of_a_collection(spark, collection):
             spark,
             ("a", [1.0, 0.0], {"size": "9", "n": "9", "id": "x"}, 0),
             ("b", [1.0, 0.0], {"size": "10", "n": "10", "id": "y"}, 1),
-            ("c", [1.0, 0.0], {"size": "abc", "n": "abc", "values": "z"}, 2),
+            ("c", [1.0, 0.0], {"n": "abc", "values": "z"}, 2),
+            ("d", [1.0, 0.0], {"size": "abc", "n": "11"}, 3),  # no record: its declared field is no number
         )
     )
     query = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, query_vector array<float>")
