@@ -40,29 +40,25 @@ TOP = 200
 #: Terms of a bitmap (about; four words of 64 bits hold as many), blocks of a span, sources of a tile.
 BITS, WORDS, SPAN, TILE = 192, 4, 32, 32
 #: Rows of (group, term) that a task counts before it sends them on.
-HELD = 400_000
+HELD = 800_000
 #: Characters that are searched for terms at once.
 SLICE = 1 << 20
 
-#: Fixed value: the terms of the contract.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-NO_TERM = re.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
+#: Fixed value: the terms of the contract, over UTF-8 bytes, of which all of a non-ASCII character are above 0x7F.
+TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+NO_TERM = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 
 COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("df", pa.int64())])
 
 
-def terms_of(text: str) -> Counter:
-    """The terms of a text and how often each occurs; long texts are cut between terms."""
-    if len(text) <= SLICE:
-        return Counter(TERM.findall(text.translate(UPPER)))
-    found, start = Counter(), 0
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text; long texts are cut between terms. Lower case of bytes is that of A-Z only."""
+    start = 0
     while start < len(text):
-        cut = NO_TERM.search(text, start + SLICE)
+        cut = NO_TERM.search(text, start + SLICE) if len(text) - start > SLICE else None
         end = cut.start() if cut else len(text)
-        found.update(TERM.findall(text[start:end].translate(UPPER)))
+        yield TERM.findall(text[start:end].lower())
         start = end
-    return found
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
@@ -77,19 +73,23 @@ def term_counts(documents: DataFrame) -> DataFrame:
                 terms = list(n)
                 for i in range(0, len(terms), 50_000):
                     some = terms[i : i + 50_000]
-                    columns = [[lang] * len(some), [source] * len(some), some, [n[t] for t in some], [df[t] for t in some]]
+                    names = pa.array(some, pa.binary()).cast(pa.string())
+                    columns = [[lang] * len(some), [source] * len(some), names, [n[t] for t in some], [df[t] for t in some]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, COUNTS.types)], schema=COUNTS)
 
         for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
+            texts = batch.column(2).cast(pa.binary())
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts.to_pylist()):
                 if (lang, source) not in groups:
                     groups[lang, source] = Counter({None: 0}), Counter()
                     held += 1
                 n, df = groups[lang, source]
                 held -= len(n)
-                found = terms_of(text)
-                n.update(found)
-                df.update(found.keys())
+                met = set()
+                for found in terms_of(text):
+                    n.update(found)
+                    met.update(found)
+                df.update(met)
                 held += len(n)
                 if held > HELD:
                     yield from sent()
@@ -98,7 +98,8 @@ def term_counts(documents: DataFrame) -> DataFrame:
 
     rows = documents.select(*[text_of(c).alias(c) for c in ("lang", "source", "text")])
     counts = rows.mapInArrow(count, "lang string, source string, term string, n long, df long")
-    return counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    # dealt out by term, which serves both this sum and the sums over all sources
+    return counts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -113,30 +114,41 @@ def divergence(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
-def number_terms(kept: DataFrame) -> DataFrame:
-    """Add ``block`` and ``bit`` to the kept terms (lang, term, total).
+def kept_cells(documents: DataFrame, least: int) -> DataFrame:
+    """``lang, source, term, n`` of the kept terms, their ``total`` over all sources, and whether the row leads its term.
+
+    Each group also has a row of the null term.
+    """
+    term = W.partitionBy("lang", "term")
+    columns = {"total": F.sum("n").over(term), "all_df": F.sum("df").over(term), "lead": F.min("source").over(term) == F.col("source")}
+    rows = term_counts(documents).withColumns(columns)
+    return rows.where((F.col("all_df") >= least) | F.col("term").isNull()).drop("df", "all_df")
+
+
+def number_terms(cells: DataFrame) -> DataFrame:
+    """Add the block, ``at`` and ``more``, and the ``bit`` of each row's term.
 
     Blocks follow falling totals. Terms of one total are spread by hash over the places they take up
     together, so no task ever orders all terms of a language; a block then has about ``BITS`` terms,
     and more than ``64 * WORDS`` continue in a block of their own.
     """
-    sizes = kept.groupBy("lang", "total").agg(F.count("*").alias("m"))
+    sizes = cells.where("lead").groupBy("lang", "total").agg(F.count("*").alias("m"))
     before = W.partitionBy("lang").orderBy(F.desc("total")).rowsBetween(W.unboundedPreceding, -1)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
-    rows = join_counted(kept, stored(sizes, "totals"), ["lang", "total"], "inner")
+    rows = join_counted(cells, stored(sizes, "totals"), ["lang", "total"], "inner")
     place = F.col("before") + F.pmod(F.xxhash64("term"), F.col("m"))
-    rows = rows.withColumn("at", F.floor(place / BITS))
-    inside = F.row_number().over(W.partitionBy("lang", "at").orderBy("term")) - 1
+    rows = rows.withColumn("at", F.floor(place / BITS)).drop("before", "m", "lead")
+    inside = F.dense_rank().over(W.partitionBy("lang", "at").orderBy("term")) - 1
     rows = rows.withColumn("inside", inside)
-    block = F.struct("at", F.floor(F.col("inside") / (64 * WORDS)).alias("more"))
-    return rows.select("lang", "term", "total", block.alias("block"), F.pmod("inside", F.lit(64 * WORDS)).cast("int").alias("bit"))
+    bit = F.pmod("inside", F.lit(64 * WORDS)).cast("int")
+    return rows.withColumns({"more": F.floor(F.col("inside") / (64 * WORDS)), "bit": bit}).drop("inside")
 
 
 def bitmaps(cells: DataFrame) -> DataFrame:
     """One bitmap, as the words ``w0`` on, per (lang, source, block, p), with the share ``zero`` of a count of zero."""
     bit = F.expr("shiftleft(1L, bit % 64)")
     words = [F.coalesce(F.bit_or(F.when(F.floor(F.col("bit") / 64) == i, bit)), F.lit(0)).alias(f"w{i}") for i in range(WORDS)]
-    return cells.groupBy("lang", "source", "block", "p", "zero").agg(*words)
+    return cells.groupBy("lang", "at", "more", "source", "p", "zero", "tile").agg(*words)
 
 
 VALUES = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
@@ -179,9 +191,9 @@ def pair_values(maps: DataFrame, groups: DataFrame) -> DataFrame:
     rows = join_counted(maps, tiles, "lang", "inner")
     rows = rows.withColumns({
         "ta": F.least("tile", "item_tile"), "tb": F.greatest("tile", "item_tile"),
-        "span": F.floor(F.col("block.at") / SPAN), "at": F.col("block.at"), "more": F.col("block.more"),
+        "span": F.floor(F.col("at") / SPAN),
     })
-    rows = rows.drop("block", "item_tile")
+    rows = rows.drop("item_tile")
     cells = rows.groupBy("lang", "span", "ta", "tb").applyInArrow(joint, "lang string, source string, item string, value long")
     # the zeros of the other group, by complement: sizes of the bitmaps, all blocks together
     n = sum((F.bit_count(f"w{i}") for i in range(WORDS)), F.lit(0))
@@ -209,14 +221,11 @@ def audit(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame
     language's, to rank ``top``.
     """
     small_batches(documents.sparkSession)
-    counts = stored(term_counts(documents), "terms")
-    found = counts.where("term IS NOT NULL")
-    kept = found.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("df").alias("df")).where(F.col("df") >= least)
-    terms = stored(number_terms(stored(kept.drop("df"), "kept")), "numbered")
-    cells = stored(found.join(terms, ["lang", "term"]).drop("df"), "cells")
-    langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_n"))
-    sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
-    groups = counts.where("term IS NULL").select("lang", "source")
+    rows = stored(kept_cells(documents, least), "kept")
+    found = rows.where("term IS NOT NULL")
+    sums = found.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
+    langs = found.where("lead").groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_n"))
+    groups = rows.where("term IS NULL").select("lang", "source")
     groups = join_counted(join_counted(groups, sums, ["lang", "source"], "left"), langs, "lang", "left")
     groups = groups.fillna(0, ["group_n", "kept", "lang_n"]).withColumn("none", F.lit(0))
     # tiles of sources by hash: as many as the language with most sources needs
@@ -224,13 +233,13 @@ def audit(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame
     tile = F.pmod(F.xxhash64("source"), F.lit(-(-widest // TILE) or 1)).cast("int")
     groups = groups.withColumns({"zero": share("none", "group_n", "kept"), "tile": tile}).drop("none")
     groups = stored(groups, "groups")
-    cells = join_counted(cells, groups, ["lang", "source"], "inner")
-    cells = cells.withColumns({"p": share("n", "group_n", "kept"), "q": share("total", "lang_n", "kept")})
+    shares = {"p": share("n", "group_n", "kept"), "q": share("total", "lang_n", "kept")}
+    cells = join_counted(number_terms(found), groups, ["lang", "source"], "inner").withColumns(shares)
+    cells = stored(cells.drop("n", "total", "group_n", "kept", "lang_n"), "cells")
     above = cells.where("p > q").withColumn("value", divergence("p", "q"))
     rank = F.row_number().over(W.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     by_term = above.withColumnRenamed("term", "item").withColumn("part", F.lit("term")).withColumn("rank", rank).where(F.col("rank") <= top)
-    maps = bitmaps(cells)
-    maps = stored(join_counted(maps, groups.select("lang", "source", "tile"), ["lang", "source"], "inner"), "bitmaps")
+    maps = stored(bitmaps(cells), "bitmaps")
     by_pair = pair_values(maps, groups).withColumn("part", F.lit("pair")).withColumn("rank", rank)
     return by_pair.select(columns).unionByName(by_term.select(columns))

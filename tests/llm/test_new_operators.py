@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -184,7 +185,8 @@ def test_links_of_a_large_group():
 def brute_divergence(docs, least=3, top=200):
     kept, groups = {}, defaultdict(Counter)
     for lang, source, text in docs:
-        terms = divergence.TERM.findall((text or "").translate(divergence.UPPER))
+        upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans(upper, upper.lower())))
         groups[lang or "", source or ""].update(terms)
         kept.setdefault(lang or "", Counter()).update(set(terms))
     out = []
