@@ -157,8 +157,9 @@ def hybrid_search(
     scales, done = None, None
     while True:
         dense = vector_search(open_.select("query_id", "query_vector"), corpus, depth, metric)
-        sparse = rank_hits(asked.best(depth).join(open_.select("query_id"), "query_id", "left_semi"), depth)
-        dense, sparse = cut_lineage(dense), cut_lineage(sparse.select("query_id", "rank", "id", "score"))
+        sparse = rank_hits(asked.best(depth), depth).select("query_id", "rank", "id", "score")
+        sparse = sparse.join(open_.select("query_id"), "query_id", "left_semi")
+        dense, sparse = cut_lineage(dense), cut_lineage(sparse)
         union = cut_lineage(score_union(dense, sparse, open_, corpus, asked, metric))
         if scales is None:
             scales = cut_lineage(scales_of(union))

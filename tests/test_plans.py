@@ -2,6 +2,7 @@
 
 import pytest
 
+from lodestone.operators import search
 from lodestone.plans import registry
 
 EAGER = {"stream_ingest", "write_collection"}
@@ -18,12 +19,27 @@ def test_no_cross_joins(spark, sf, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["vector_search", "text_search", "sparse_search", "hybrid_search", "list_messages"])
+@pytest.mark.parametrize("name", ["vector_search", "text_search", "sparse_search", "list_messages"])
 def test_top_k_is_cut_before_the_shuffle(spark, sf, name):
     plan = plan_of(spark, sf, name)
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_hybrid_ranks_are_cut_before_the_shuffle(spark, sf, monkeypatch):
+    """Its lists are materialised on the way, so the plan it returns only reads them."""
+    plans, cut = [], search.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(search, "cut_lineage", seen)
+    registry.QUERIES["hybrid_search"](spark, sf)
+    ranked = [p for p in plans if "row_number()" in p]
+    cut_early = [p for p in ranked if "WindowGroupLimit" in p and "Partial" in p]
+    assert len(ranked) == 3 and len(cut_early) >= 2  # both lists; the union lies by query already
+
+
 def test_exact_search_reads_two_columns_and_shuffles_only_hits(spark, sf):
     plan = plan_of(spark, sf, "vector_search")
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan
