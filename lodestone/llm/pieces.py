@@ -42,11 +42,11 @@ BLOCK = 256
 SCALE = 1 << 16
 UNKNOWN = 10
 NEVER = -(1 << 60)
-REMEMBERED = 150_000
+REMEMBERED = 50_000
 #: Longest segment that is remembered, and the number of new ones solved together.
 TOGETHER, AT_ONCE = 64, 10_000
 #: Characters of the texts whose segments are held at once, about.
-HELD = 1 << 20
+HELD = 1 << 19
 
 IDS = pa.list_(pa.int32())
 
