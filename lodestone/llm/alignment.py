@@ -44,8 +44,10 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PAIR_SHARE = 1e-6
 #: (document, pair) rows a task holds before it sends their counts on.
 HELD = 2_000_000
-#: Segments a worker remembers, and the longest that it does.
-REMEMBERED, REMEMBERED_LENGTH = 250_000, 64
+#: Segments a worker remembers, in each of two generations, and the longest that it does.
+REMEMBERED, REMEMBERED_LENGTH = 80_000, 64
+#: Short segments that are aligned as one text.
+AT_ONCE = 2_000
 #: Characters of the texts that are aligned at once, about.
 TOGETHER = 1 << 20
 
@@ -77,10 +79,15 @@ class Aligner:
         self.second_bytes = [
             bytes([int(p[3:-1], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.first_sizes = np.array([len(self.first_bytes.get(i, b"")) for i in range(max(self.first_bytes) + 1)])
+        self.second_sizes = np.array([len(x) for x in self.second_bytes])
+        numbers = [str(i) for i in range(max(len(self.first_sizes), len(pieces)))]
+        self.names = np.array([[n + sign for n in numbers] for sign in ",|;"], object)
         self.cuts = not any(" " in p.lstrip(" ") for p in (p.replace("▁", " ") for p in pieces))
         # releases of the library differ in whether spans count characters or bytes
         self.in_bytes = self.second.encode("é", return_type="proto").pieces[-1].end == 2
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
 
     def segments(self, text: str) -> list[str]:
         """The parts of a blank and the text, each with a blank in front."""
@@ -93,20 +100,93 @@ class Aligner:
         """Per text its segments' alignments; None if it has no tokens."""
         cut = [self.segments(t) if t else [] for t in texts]
         new = [s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.known]
-        fresh = dict(zip(new, self.solve(new)))
+        again = {s: self.older[s] for s in new if s in self.older}
+        new = [s for s in new if s not in again]
+        fresh = dict(zip(new, self.solve(new))) | again
         for parts in cut:
             found = [fresh[s] if s in fresh else self.known[s] for s in parts]
             yield None if not found or None in found else found
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
+        if len(self.known) + len(fresh) > REMEMBERED:  # those not met again for as many others are forgotten
+            self.older, self.known = self.known, {}
         self.known |= {s: a for s, a in fresh.items() if len(s) <= REMEMBERED_LENGTH}
 
     def solve(self, segments: list[str]) -> Iterator[Aligned | None]:
-        for start in range(0, len(segments), 1_000):
-            some = segments[start : start + 1_000]
-            first = self.first.encode_batch(some, add_special_tokens=False)
-            second = self.second.encode([s[1:] for s in some], return_type="proto", num_threads=1)
-            yield from map(self.segment, some, first, second)
+        """Short segments are aligned together, as one text; longer ones and those that end with white space alone."""
+        together = [s for s in segments if len(s) <= REMEMBERED_LENGTH and not s[-1].isspace()]
+        solved: dict[str, Aligned | None] = {}
+        for start in range(0, len(together), AT_ONCE):
+            some = together[start : start + AT_ONCE]
+            solved.update(zip(some, self.many(some)))
+        for s in segments:
+            yield solved[s] if s in solved else self.alone(s)
+
+    def alone(self, segment: str) -> Aligned | None:
+        first = self.first.encode(segment, add_special_tokens=False)
+        return self.segment(segment, first, self.second.encode(segment[1:], return_type="proto"))
+
+    def many(self, segments: list[str]) -> list[Aligned | None]:
+        """``segment`` of many at once: one after the other they are a text that both tokenizers part between them."""
+        text = "".join(segments)
+        data = text.encode()
+        first = self.first.encode(text, add_special_tokens=False)
+        pieces = self.second.encode(text[1:], return_type="proto").pieces
+        ids_a, ids_b = first.ids, [p.id for p in pieces]
+        a, b = np.array(ids_a), np.array(ids_b)
+        bytes_a, bytes_b = map(self.first_bytes.__getitem__, ids_a), map(self.second_bytes.__getitem__, ids_b)
+        if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
+            if len(segments) == 1:
+                return [None]
+            half = len(segments) // 2
+            return self.many(segments[:half]) + self.many(segments[half:])
+        # spans in bytes
+        starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        byte_of = np.append(starts, len(data))
+        spans_a = byte_of[np.fromiter(chain.from_iterable(first.offsets), np.int64, 2 * len(a)).reshape(-1, 2)]
+        spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]]).T + 1
+        spans_b[0, 0] = 0
+        if not self.in_bytes:
+            spans_b = byte_of[spans_b]
+        aligned = np.zeros(len(data) + 1, bool)
+        aligned[byte_of] = True
+        coarse = np.intersect1d(lone(spans_a), lone(spans_b), assume_unique=True)
+        coarse = np.union1d(coarse[aligned[coarse]], [len(data)])
+        # within coarse groups of characters of several bytes the decoded bytes decide
+        wide = np.diff(np.searchsorted(byte_of, np.concatenate([[0], coarse]))) != np.diff(coarse, prepend=0)
+        ends = []
+        for spans, sizes in ((spans_a, self.first_sizes[a]), (spans_b, self.second_sizes[b])):
+            decoded = np.cumsum(sizes)
+            group = np.searchsorted(coarse, decoded)
+            ends.append(np.where(wide[group], decoded, spans[:, 1]))
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends[0]), np.searchsorted(cuts, ends[1])
+        n_a, n_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        lengths = [len(s) for s in segments] if len(data) == len(text) else [len(s.encode()) for s in segments]
+        place = np.searchsorted(np.cumsum(lengths), cuts)  # the segment of each group
+        # links
+        times = n_b[group_a]
+        before = np.repeat(np.cumsum(times) - times, times)
+        partner = np.repeat((np.cumsum(n_b) - n_b)[group_a], times) + np.arange(times.sum()) - before
+        pairs, where = np.repeat(a, times) << 32 | b[partner], np.repeat(place[group_a], times)
+        order = np.lexsort((pairs, where))
+        pairs, where = pairs[order], where[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(pairs) != 0) | (np.diff(where) != 0)]))
+        often = np.diff(np.append(new, len(pairs))).astype(np.int32)
+        pairs, where = pairs[new], where[new]
+        # names: A ids of a group, then its B ids
+        last_a, last_b = (np.append(np.diff(g) != 0, True) for g in (group_a, group_b))
+        parts = np.concatenate([self.names[np.where(last_a, 1, 0), a], self.names[np.where(last_b, 2, 0), b]])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        parts = parts[order].tolist()
+        m = range(len(segments) + 1)
+        total = [np.bincount(place, w, minlength=len(segments)).astype(np.int64).tolist() for w in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)]
+        part_at = np.concatenate([[0], np.cumsum(np.add(total[0], total[1]))]).tolist()
+        pair_at = np.searchsorted(where, m).tolist()
+        out = []
+        for i, numbers in enumerate(zip(*total)):
+            x, y = pair_at[i], pair_at[i + 1]
+            names = "".join(parts[part_at[i] : part_at[i + 1]])[:-1]
+            out.append(Aligned((*numbers, names, pairs[x:y].tobytes(), often[x:y].tobytes())))
+        return out
 
     def segment(self, text: str, first, second) -> Aligned | None:
         a, ends_a = first.ids, [end for _, end in first.offsets]
@@ -141,6 +221,16 @@ class Aligner:
         return Aligned((len(a), len(b), len(groups), n_links, names, pairs.tobytes(), times.tobytes()))
 
 
+def lone(spans: np.ndarray) -> np.ndarray:
+    """``lone_ends`` of spans as an array."""
+    begins, ends = spans[:, 0], spans[:, 1]
+    after = np.append(begins[1:], ends[-1])
+    apart = (ends == np.maximum.accumulate(ends)) & (np.minimum.accumulate(after[::-1])[::-1] >= ends)
+    single = np.diff(ends, prepend=-1) != 0
+    single[:-1] &= single[1:]
+    return ends[apart & single]
+
+
 def lone_ends(spans: list[tuple[int, int]]) -> dict[int, int]:
     """The characters at which exactly one token ends and none goes on, and the number of tokens up to it."""
     out, seen, reach = {}, -1, 0
