@@ -23,8 +23,16 @@ from lodestone.operators.catalog import (
 from lodestone.operators.chunk import chunk_table_rows, chunk_text
 from lodestone.plans.base import query, table, text_table
 from lodestone.session import scratch_path
-from lodestone.sources.files import scan_object_files
-from lodestone.sources.records import profile_source, sample_source, scope_filter, thread_documents
+from lodestone.sources.files import scan_object_files, write_object_files
+from lodestone.sources.records import (
+    ACCEPTS,
+    KINDS,
+    profile_source,
+    profile_values,
+    sample_source,
+    scope_filter,
+    thread_documents,
+)
 from lodestone.sources.sync import sync_full, sync_incremental
 from lodestone.sources.web import page_links, web_crawl_frontier, web_extract_content, web_page_assets
 from lodestone.streaming.ingest import ingested_vectors, stream_ingest
@@ -107,9 +115,34 @@ def _mime_from_extension(spark: SparkSession, folder: str) -> DataFrame:
     return named.withColumn("mime_type", mime_from_extension(F.col("file_name")))
 
 
-@query("scan_object_files")
+# One file per document: those in German have hidden names, those in Spanish are not asked for.
+SQL_OBJECT = f"source || '/' || CASE lang WHEN 'de' THEN '_' ELSE '' END || doc_id || CASE lang WHEN 'en' THEN '.PDF' WHEN 'fr' THEN '.txt' WHEN 'es' THEN '.html' ELSE '' END"
+
+
+@query(
+    "scan_object_files",
+    f"""SELECT {SQL_OBJECT} AS path, regexp_extract({SQL_OBJECT}, '[^/]*$') AS name, strlen(coalesce(text, ''))::BIGINT AS size_bytes,
+  {SQL_MIME} AS content_type, sha256(coalesce(text, '')) AS content_hash FROM documents
+WHERE lang IS DISTINCT FROM 'es' AND strlen(coalesce(text, '')) <= 1048576""",
+)
 def _scan_object_files(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_object_files(spark, folder, ["*.parquet"]).select("name", "size_bytes", "content_type")
+    docs = table(spark, folder, "documents")
+    ext = F.create_map(*[F.lit(x) for x in ("en", ".PDF", "fr", ".txt", "es", ".html")])
+    hidden = F.when(F.col("lang") == "de", "_").otherwise("")
+    suffix = F.coalesce(F.try_element_at(ext, F.col("lang")), F.lit(""))
+    path = F.concat(F.col("source"), F.lit("/"), hidden, F.col("doc_id"), suffix)
+    root = scratch_path(spark, "objects")
+    write_object_files(docs.select(path.alias("path"), F.col("text").alias("content")), root).agg(F.count("*")).first()
+    files = scan_object_files(
+        spark,
+        root,
+        ["*.PDF", "*.txt", "*[0-9]"],
+        max_file_size_mb=1,
+        allowed_content_types=["text/plain", "application/pdf", "application/octet-stream"],
+        with_content=True,
+    )
+    below = F.array_join(F.slice(F.split("path", "/"), -2, 2), "/")
+    return files.select(below.alias("path"), "name", "size_bytes", "content_type", F.sha2("content", 256).alias("content_hash"))
 
 
 @query(
@@ -249,6 +282,44 @@ def _profile_source(spark: SparkSession, folder: str) -> DataFrame:
     return profile_source(table(spark, folder, "documents"), "source", "text", 50_000)
 
 
+# The first run of digits of a text with the letters behind it; such a one is not a number.
+SQL_FACTS = {"doc_id": "integer", "lang": "string", "source": "string", "n_chars": "integer", "figure": "integer", "day": "datetime"}
+
+
+def _sql_profile() -> str:
+    kinds = [f"WHEN regexp_full_match(t, '{p}') THEN '{k}'" for k, p in KINDS.items()]
+    parts = []
+    for name, declared in SQL_FACTS.items():
+        bad = [k for k in (*KINDS, "text") if k not in ACCEPTS[declared]]
+        misfit = f"count(*) FILTER (k IN ({', '.join(repr(k) for k in bad)}))" if bad else "0"
+        counts = ", ".join(f"count(*) FILTER (k = '{k}') AS n_{k}" for k in (*KINDS, "text"))
+        picks = ", ".join(f"arg_min(t, md5('{i}:' || t))" for i in range(3))
+        parts.append(
+            f"""SELECT *, n_misfit = 0 AS passed, CASE WHEN n_misfit > 0 THEN '{name}: ' || n_misfit || ' not {declared}' ELSE '' END AS message FROM (
+SELECT '{name}' AS column_name, '{"bigint" if name in ("doc_id", "n_chars") else "string"}' AS data_type, count(*) AS n, count(*) - count(v) AS n_null, {counts},
+  min(v)::VARCHAR AS min_value, max(v)::VARCHAR AS max_value, coalesce(max(length(t)), 0)::INTEGER AS longest,
+  array_to_string(list_sort(list_distinct([{picks}])), '|') AS samples, '{declared}' AS declared, {misfit}::BIGINT AS n_misfit
+FROM (SELECT *, CASE WHEN t IS NULL THEN NULL {' '.join(kinds)} ELSE 'text' END AS k FROM (SELECT {name} AS v, {name}::VARCHAR AS t FROM r)))"""
+        )
+    return """WITH r AS (SELECT doc_id::BIGINT AS doc_id, lang, source, n_chars::BIGINT AS n_chars, nullif(regexp_extract(text, '[0-9]+[a-z]*'), '') AS figure,
+  nullif(regexp_extract(text, '[0-9]+-[0-9]+-[0-9]+'), '') AS day FROM documents)
+""" + "\nUNION ALL ".join(parts)
+
+
+@query("profile_values", _sql_profile())
+def _profile_values(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("bigint").alias("Doc_ID"),
+        "lang",
+        "source",
+        F.col("n_chars").cast("bigint").alias(" n_chars "),
+        F.nullif(F.regexp_extract("text", "[0-9]+[a-z]*", 0), F.lit("")).alias("figure"),
+        F.nullif(F.regexp_extract("text", "[0-9]+-[0-9]+-[0-9]+", 0), F.lit("")).alias("day"),
+    )
+    found = profile_values(docs, SQL_FACTS).drop("approx_distinct")
+    return found.withColumn("samples", F.array_join(F.array_sort("samples"), "|"))
+
+
 SQL_CHUNKS = """wd AS (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g'), ' '), ' ') AS w FROM documents),
 ch AS (SELECT doc_id, i::INTEGER AS chunk_index, array_to_string(w[i * 100 + 1 : i * 100 + 120], ' ') AS text
   FROM (SELECT doc_id, w, unnest(range(ceil(greatest(len(w) - 120, 0) / 100)::BIGINT + 1)) AS i FROM wd))"""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, DataType
 
 from lodestone.operators.ordering import row_position
 
@@ -64,6 +65,97 @@ def profile_columns(records: DataFrame) -> list[tuple[str, str]]:
     return [(f.name.strip().lower(), f.dataType.simpleString()) for f in records.schema.fields]
 
 
+# Kinds a text may have, the first that fits; a declared type accepts its kinds.
+KINDS = {
+    "whole": r"[+-]?[0-9]{1,18}",
+    "number": r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?",
+    "boolean": r"[tT][rR][uU][eE]|[fF][aA][lL][sS][eE]",
+    "time": r"[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?",
+}
+ACCEPTS = {
+    "integer": ("whole",),
+    "float": ("whole", "number"),
+    "boolean": ("boolean",),
+    "datetime": ("time",),
+    "string": ("whole", "number", "boolean", "time", "text"),
+}
+
+
+def profile_values(records: DataFrame, declared: Mapping[str, str] | None = None, samples: int = 3) -> DataFrame:
+    """One row per column of ``records`` that has single values: what its values look like.
+
+    ``column_name`` (normalised), ``data_type``, ``n``, ``n_null``, counts of values by kind
+    (``n_whole``, ``n_number``, ``n_boolean``, ``n_time``, ``n_text``; every value has one),
+    ``approx_distinct``, ``min_value`` and ``max_value`` in the column's own order, ``longest`` in
+    characters, ``samples``, ``declared``, ``n_misfit`` (values that are not of the declared type),
+    ``passed`` and ``message``. Samples are those with the smallest salted hashes: the same on
+    every run and in any partitioning. All come from one pass whose partial results are one row per
+    task. Arrays, maps, structs and variants have no profile; an empty table has counts of 0.
+    """
+    wanted = {k.strip().lower(): v for k, v in (declared or {}).items()}
+    unknown = sorted({v for v in wanted.values()} - set(ACCEPTS))
+    absent = sorted(set(wanted) - {name for name, _ in profile_columns(records)})
+    if unknown or absent:
+        raise ValueError(f"unknown types {unknown}, columns that the input lacks {absent}")
+    fields = [(i, f) for i, f in enumerate(records.schema.fields) if isinstance(f.dataType, AtomicType)]
+    fields = [(i, f) for i, f in fields if f.dataType.simpleString() != "variant"]
+    bare = records.toDF(*[f"c{i}" for i in range(len(records.columns))])
+    texts = {f"t{i}": _as_text(F.col(f"c{i}"), f.dataType) for i, f in fields}
+    kinds = {f"k{i}": _kind(F.col(f"t{i}")) for i, _ in fields}
+    rows = bare.select(*[f"c{i}" for i, _ in fields], *[c.alias(n) for n, c in texts.items()])
+    rows = rows.select("*", *[c.alias(n) for n, c in kinds.items()])
+
+    def profile(i: int, kind: DataType) -> Column:
+        value, text, found = F.col(f"c{i}"), F.col(f"t{i}"), F.col(f"k{i}")
+        picks = [F.min_by(text, F.when(text.isNotNull(), F.md5(F.concat(F.lit(f"{s}:"), text)))) for s in range(samples)]
+        extremes = [_as_text(f(value), kind) for f in (F.min, F.max)]
+        return F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(value.isNull()).alias("n_null"),
+            *[F.count_if(found == k).alias(f"n_{k}") for k in (*KINDS, "text")],
+            F.approx_count_distinct(value).alias("approx_distinct"),
+            extremes[0].alias("min_value"),
+            extremes[1].alias("max_value"),
+            F.coalesce(F.max(F.length(text)), F.lit(0)).alias("longest"),
+            F.array_distinct(F.array_compact(F.array(*picks))).alias("samples"),
+        )
+
+    made = rows.agg(*[profile(i, f.dataType).alias(f"p{i}") for i, f in fields])
+    out = []
+    for i, f in fields:
+        name = f.name.strip().lower()
+        misfits = [k for k in (*KINDS, "text") if k not in ACCEPTS[wanted.get(name, "string")]]
+        bad = sum((F.col(f"p{i}.n_{k}") for k in misfits), F.lit(0).cast("bigint"))
+        message = F.when(bad > 0, F.concat(F.lit(f"{name}: "), bad.cast("string"), F.lit(f" not {wanted.get(name)}")))
+        out.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit(wanted.get(name)).cast("string").alias("declared"),
+                F.col(f"p{i}").alias("p"),
+                bad.alias("n_misfit"),
+                (bad == 0).alias("passed"),
+                F.coalesce(message, F.lit("")).alias("message"),
+            )
+        )
+    if not out:
+        raise ValueError("no column with single values")
+    return made.select(F.inline(F.array(*out))).select(
+        "column_name", "data_type", "p.*", "declared", "n_misfit", "passed", "message"
+    )
+
+
+def _as_text(value: Column, kind: DataType) -> Column:
+    return F.hex(value) if isinstance(kind, BinaryType) else value.cast("string")
+
+
+def _kind(text: Column) -> Column:
+    found = F.when(text.isNull(), F.lit(None).cast("string"))
+    for kind, pattern in KINDS.items():
+        found = found.when(text.rlike(rf"\A(?:{pattern})\z"), kind)
+    return found.otherwise("text")
+
+
 def thread_documents(
     messages: DataFrame,
     thread: str,

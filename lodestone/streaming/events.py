@@ -100,72 +100,151 @@ def stream_answer_text(events: DataFrame, part_size: int = PART_EVENTS) -> DataF
 
 
 class _Assembler(StatefulProcessor):
-    """Open event of one stream between micro-batches; lines that came early wait in a map."""
+    """Open event of one stream between micro-batches; lines that came early wait in a map.
+
+    With event times, the one timer of a stream is due ``idle`` after its last line, or ``horizon``
+    after its end; until then an ended stream is remembered and its lines are repeats.
+    """
+
+    def __init__(self, idle: int | None = None, horizon: int = 0):
+        self.idle, self.horizon = idle, horizon
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.open = handle.getValueState("open", "next_line bigint, event_no bigint, event string, data array<string>")
         self.early = handle.getMapState("early", "line_no bigint", "line string")
+        self.due = handle.getValueState("due", "last bigint, at bigint, ended boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        next_line, event_no, event, data = self.open.get() if self.open.exists() else (0, 0, "", [])
-        data = list(data)
-        done: list[tuple] = []
-        ended = False
-
-        def take(line: str | None) -> None:
-            nonlocal event_no, event, data, ended
-            line = None if line is None or pd.isna(line) else line.removesuffix("\r")
-            ended = ended or line is None
-            if not line:  # a blank line, or the null that ends a stream
-                if data:
-                    done.append((key[0], event_no, event, "\n".join(data)))
-                    event_no += 1
-                event, data = "", []
-            elif line.startswith("event:"):
-                event = line[6:].strip(SPACE)
-            elif line.startswith("data:"):
-                data.append(line[5:].strip(SPACE))
-
+        last, at, over = self.due.get() if self.due.exists() else (0, None, False)
+        if at is not None and not over and at <= timerValues.getCurrentWatermarkInMs():
+            # The timer is due in this batch: the stream ended before these lines came.
+            yield from self._give_up(key, at)
+            self.handle.deleteTimer(at)
+            last, at, over = self.due.get()
+        stream = _Open(key[0], *(self.open.get() if self.open.exists() else (0, 0, "", [])))
         for batch in rows:
+            if over:
+                batch = batch[batch["at"] >= at]  # by the time of the line: the timer may be due in this batch
+                if batch.empty:
+                    continue
+                self.handle.deleteTimer(at)
+                last, at, over = 0, None, False
+            if self.idle is not None:
+                last = max(last, int(batch["at"].max()))
             batch = batch.sort_values("line_no")
             for line_no, line in zip(batch["line_no"], batch["line"]):
-                if line_no > next_line:
-                    self.early.updateValue((int(line_no),), ("" if line is None else line,) if line is not None else (None,))
-                    continue
-                if line_no < next_line:
+                line = None if pd.isna(line) else line
+                if line_no > stream.next_line:
+                    self.early.updateValue((int(line_no),), (line,))
+                if line_no != stream.next_line:
                     continue
-                take(line)
-                next_line += 1
-                while self.early.exists() and self.early.containsKey((next_line,)):
-                    waiting = self.early.getValue((next_line,))[0]
-                    self.early.removeKey((next_line,))
-                    take(waiting)
-                    next_line += 1
-            if done:
-                yield pd.DataFrame(done, columns=["stream_id", "event_no", "event", "raw"])
-                done = []
-        if ended:
+                stream.take(line)
+                while self.early.exists() and self.early.containsKey((stream.next_line,)):
+                    waiting = self.early.getValue((stream.next_line,))[0]
+                    self.early.removeKey((stream.next_line,))
+                    stream.take(waiting)
+            yield from stream.sent()
+        if over:
+            return
+        if stream.ended:
             self.open.clear()
             self.early.clear()
         else:
-            self.open.update((next_line, event_no, event, data))
+            self.open.update((stream.next_line, stream.event_no, stream.event, stream.data))
+        if self.idle is not None:
+            self._wake(last, at, stream.ended)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """End a stream that has been silent, its early lines taken in order; or forget an ended one."""
+        _, at, over = self.due.get() if self.due.exists() else (0, None, True)
+        if at != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        if over:
+            self.due.clear()
+            return
+        yield from self._give_up(key, at)
+
+    def _give_up(self, key, at: int) -> Iterator[pd.DataFrame]:
+        stream = _Open(key[0], *self.open.get())
+        waiting = sorted((k[0], v[0]) for k, v in self.early.iterator()) if self.early.exists() else []
+        for _, line in waiting:
+            stream.take(line)
+        stream.take(None)
+        yield from stream.sent()
+        self.open.clear()
+        self.early.clear()
+        self._wake(at, None, True)
+
+    def _wake(self, last: int, at: int | None, ended: bool) -> None:
+        then = last + (self.horizon if ended else self.idle)
+        if then != at:
+            if at is not None:
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(then)
+        self.due.update((last, then, ended))
 
     def close(self) -> None:
         pass
 
 
-def stream_events(lines: DataFrame) -> DataFrame:
+class _Open:
+    """The event a stream is in the middle of, and those it has finished."""
+
+    def __init__(self, stream_id, next_line: int, event_no: int, event: str, data: list[str]):
+        self.stream_id, self.next_line, self.event_no, self.event, self.data = stream_id, next_line, event_no, event, list(data)
+        self.done: list[tuple] = []
+        self.ended = False
+
+    def take(self, line: str | None) -> None:
+        self.next_line += 1
+        self.ended = self.ended or line is None
+        line = "" if line is None else line.removesuffix("\r")
+        if not line:  # a blank line, or the null that ends a stream
+            if self.data:
+                self.done.append((self.stream_id, self.event_no, self.event, "\n".join(self.data)))
+                self.event_no += 1
+            self.event, self.data = "", []
+        elif line.startswith("event:"):
+            self.event = line[6:].strip(SPACE)
+        elif line.startswith("data:"):
+            self.data.append(line[5:].strip(SPACE))
+
+    def sent(self) -> Iterator[pd.DataFrame]:
+        if self.done:
+            yield pd.DataFrame(self.done, columns=["stream_id", "event_no", "event", "raw"])
+            self.done = []
+
+
+def stream_events(
+    lines: DataFrame,
+    time_col: str | None = None,
+    late: str = "10 minutes",
+    idle_seconds: int = 3_600,
+    horizon_seconds: int = 86_400,
+) -> DataFrame:
     """Streaming form of ``stream_event_assembly``.
 
     Line numbers count from 0 without gaps and may arrive in any order; a null line after the
-    last one ends the stream, emits data still open and frees its state; lines of that stream that
-    come again later start it anew. Needs the RocksDB state store.
+    last one ends the stream and emits data still open. Needs the RocksDB state store.
+
+    With a ``time_col``, lines more than ``late`` behind the newest are dropped, and lines without
+    a time are an error. A stream that has had no line for ``idle_seconds`` of event time ends by
+    itself: what it has is emitted, lines beyond a gap included, in order. An ended stream is
+    remembered for ``horizon_seconds``; its lines with a time before that has passed are repeats that
+    emit nothing, later ones start the stream anew; then all its state is gone. Time is that of the lines, so a restarted query gives
+    the same events. Without a ``time_col`` a stream ends by its null line only, nothing is
+    remembered of it, and lines that come again start it anew.
     """
+    if time_col:
+        timed = lines.withWatermark(time_col, late)
+        at = F.coalesce(F.unix_millis(time_col), F.raise_error(F.lit("a line without a time")).cast("bigint"))
+        lines = timed.select("stream_id", "line_no", "line", F.col(time_col), at.alias("at"))
     blocks = lines.groupBy("stream_id").transformWithStateInPandas(
-        statefulProcessor=_Assembler(),
+        statefulProcessor=_Assembler(idle_seconds * 1_000 if time_col else None, horizon_seconds * 1_000),
         outputStructType=f"stream_id {lines.schema['stream_id'].dataType.simpleString()}, "
         "event_no bigint, event string, raw string",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime" if time_col else "None",
     )
     return decode_events(blocks)

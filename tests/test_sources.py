@@ -1,5 +1,6 @@
 """Files, scopes, sync, web pages, threads, streams."""
 
+import datetime
 import os
 import time
 
@@ -8,8 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lodestone.plans.answers import stream_lines
-from lodestone.sources.files import scan_object_files
-from lodestone.sources.records import profile_columns, profile_source, sample_source, scope_filter, thread_documents
+from lodestone.sources.files import FileReader, scan_object_files, write_object_files
+from lodestone.sources.records import profile_columns, profile_source, profile_values, sample_source, scope_filter, thread_documents
 from lodestone.sources.sync import apply_sync, content_hash, latest_version, sync_full, sync_incremental, to_load
 from lodestone.sources.web import parse_selector, web_crawl_frontier, web_extract_content, web_page_assets
 from lodestone.streaming.events import stream_answer_text, stream_event_assembly, stream_events
@@ -33,8 +34,37 @@ def test_scan_files(spark, tree):
     assert [r["name"] for r in scan_object_files(spark, tree, max_files_per_job=2).orderBy("path").collect()] == ["README", "a.pdf"]
     kept = scan_object_files(spark, tree, ["*.pdf"], max_files_per_job=1, with_content=True).first()
     assert bytes(kept["content"]) == b"\x00\x01\xff\x56\x41"
-    plan = scan_object_files(spark, tree, max_file_size_mb=1)._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length" in plan and "content:binary" not in plan
+    first = scan_object_files(spark, tree, max_files_per_job=2, with_content=True)
+    assert rows(first, "name", "content") == [("README", b"r"), ("a.pdf", b"\x00\x01\xff\x56\x41")]
+    with pytest.raises(Exception, match="nowhere"):
+        scan_object_files(spark, f"{tree}/nowhere").count()
+
+
+def test_scan_keeps_empty_and_hidden_files_and_pushes_predicates(spark, folder):
+    data = [("a/.hidden", "x"), ("a/_b.TXT", None), ("c.txt", "y" * 100), ("c.txt", "z"), ("d e%20.md", "é")]
+    table = spark.createDataFrame(data, "path string, content string")
+    written = write_object_files(table, f"{folder}/t")
+    assert rows(written) == [("a/.hidden", 1), ("a/_b.TXT", 0), ("c.txt", 100), ("d e%20.md", 2)]
+    for root in (f"{folder}/t", f"file://{folder}/t", f"file:{folder}/t/"):
+        files = scan_object_files(spark, root, with_content=True)
+        assert rows(files, "name", "size_bytes", "content") == [(".hidden", 1, b"x"), ("_b.TXT", 0, b""), ("c.txt", 100, b"y" * 100), ("d e%20.md", 2, "é".encode())]
+        assert rows(scan_object_files(spark, root, ["*.TXT", ".*"]), "name") == [(".hidden",), ("_b.TXT",)]
+    asked = files.where("size_bytes > 0 AND content_type LIKE 'text/%' AND name IN ('c.txt', '_b.TXT') AND modified > '2020-01-01'")
+    assert rows(asked, "name") == [("c.txt",)]
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.replace("PushedFilters", "").split("BatchScan")[0]
+    assert scan_object_files(spark, f"{folder}/t", allowed_content_types=["text/none"]).count() == 0
+    with pytest.raises(Exception, match="no path below"):
+        write_object_files(spark.createDataFrame([("../x", "")], "path string, content string"), f"{folder}/t").count()
+
+
+def test_files_are_packed_by_bytes(spark, folder):
+    data = [(f"{i:02}", "x" * (2_000_000 if i == 3 else 10)) for i in range(12)]
+    write_object_files(spark.createDataFrame(data, "path string, content string"), f"{folder}/t").count()
+    reader = FileReader({"path": f"{folder}/t", "content": "true", "partitionBytes": str(4 << 20)})
+    parts = [[row[1] for row in p.files] for p in reader.partitions()]
+    assert parts == [["00", "01", "02"], ["03", "04"], ["05", "06", "07"], ["08", "09", "10"], ["11"]]
+    assert [[r[1] for r in p.files] for p in FileReader({"path": f"{folder}/t"}).partitions()] == [[p for p, _ in data]]
 
 
 def test_scope(spark):
@@ -57,6 +87,25 @@ def test_sample_and_profile(spark):
     assert profile_columns(df) == [("id", "int"), ("text", "string")]
 
 
+def test_profile_of_values(spark):
+    texts = ["1", "-2.5e3", ".5", "TRUE", "2026-01-02", "2026-01-02T03:04:05Z", "x", "", "12\n", None, "1" * 30]
+    data = [(i, t, float(i), b"\x01", [1]) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(data, "ID int, `a.b` string, x double, raw binary, list array<int>")
+    got = {r["column_name"]: r for r in profile_values(table.repartition(5), {"a.B": "float", "id": "integer"}).collect()}
+    assert sorted(got) == ["a.b", "id", "raw", "x"]
+    r = got["a.b"]
+    assert (r.n, r.n_null, r.n_whole, r.n_number, r.n_boolean, r.n_time, r.n_text) == (11, 1, 1, 3, 1, 2, 3)
+    assert (r.n_misfit, r.passed, r.message, r.longest) == (6, False, "a.b: 6 not float", 30)
+    assert got["id"].passed and (got["id"].min_value, got["id"].max_value) == ("0", "10") and got["id"].approx_distinct == 11
+    assert got["raw"].samples == ["01"] and got["x"].n_number == 11
+    again = {r["column_name"]: r for r in profile_values(table, {"a.b": "float", "id": "integer"}).collect()}
+    assert again == got and set(r.samples) <= set(texts)
+    empty = profile_values(table.limit(0)).where("column_name = 'x'").first()
+    assert (empty.n, empty.samples, empty.min_value, empty.longest, empty.passed) == (0, [], None, 0, True)
+    with pytest.raises(ValueError, match="lacks"):
+        profile_values(table, {"none": "float"})
+
+
 @pytest.fixture
 def synced(spark):
     snapshot = spark.createDataFrame([("a", "1"), ("b", "2 v2"), ("n", "new")], "external_id string, content string")
@@ -190,6 +239,37 @@ def test_streaming_events_equal_batch(spark, sf, folder):
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_silent_streams_end_and_repeats_emit_nothing(spark, folder):
+    """A stream without an end, one replayed after its end, one with a gap."""
+
+    def at(minute):
+        return datetime.datetime(2026, 1, 1, 0, 0) + datetime.timedelta(minutes=minute)
+
+    clock = [(99, i, f"data: {i}", at(m)) for i, m in enumerate((0, 1, 2, 20, 40, 55))]
+    ended = [(1, 0, "event: a"), (1, 1, "data: x"), (1, 2, None)]
+    batches = [
+        [clock[0], *[(*r, at(0)) for r in ended], (2, 0, "data: open", at(0)), (3, 0, "data: p", at(0)), (3, 3, "data: r", at(0)), (3, 2, "", at(0))],
+        [clock[1], *[(*r, at(1)) for r in ended], (2, 1, "data: still", at(1))],  # a replay within the horizon
+        [clock[2]],
+        [clock[3]],  # streams 2 and 3 have been silent for ten minutes
+        [clock[4], (3, 1, "data: q", at(24)), (3, 1, "data: q", at(29))],  # stream 3 is remembered still
+        [clock[5], *[(*r, at(54)) for r in ended]],  # stream 1 no longer
+    ]
+    for batch in batches:
+        kind = "stream_id bigint, line_no bigint, line string, ts timestamp"
+        spark.createDataFrame(batch, kind).coalesce(1).write.parquet(f"{folder}/lines", mode="append")
+        time.sleep(0.05)
+    lines = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{folder}/lines")
+    events = stream_events(lines, "ts", "1 minute", idle_seconds=600, horizon_seconds=1_200)
+    writer = events.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+    query = writer.trigger(availableNow=True).outputMode("append").start()
+    assert query.awaitTermination(120)
+    got = rows(spark.read.parquet(f"{folder}/out").where("stream_id < 99"), "stream_id", "event_no", "event", "raw")
+    assert got == [(1, 0, "a", "x"), (1, 0, "a", "x"), (2, 0, "", "open\nstill"), (3, 0, "", "p"), (3, 1, "", "r")]
+    held = spark.read.format("statestore").option("stateVarName", "due").load(f"{folder}/cp").selectExpr("key.stream_id", "value.ended")
+    assert rows(held) == [(1, True), (99, False)]
+
+
 def test_stream_ingest_incremental(spark, folder):
     def put(data):
         spark.createDataFrame(data, "external_id string, content string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
