@@ -8,8 +8,9 @@ bit-parallel algorithm takes the least edit distance of the whole item within th
 
 Benchmark items are a stated query set: they are read in blocks of at most ``BLOCK_BYTES``, each
 searched in all documents. Documents are never shuffled. Items of fewer than ``MIN_WORDS`` words
-identify no passage and match nothing, as do null and empty items; null and empty texts match
-nothing. Items of the same text are all reported. A null item id is reported as null.
+may not differ at all and match whole words only, or part of a common word would be a leak. Null
+items and items without words match nothing, nor do null and empty texts. Empty tables of either
+kind give no matches; repeated documents each get theirs, repeated items count once. Items of the same text are all reported. A null item id is reported as null.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from lodestone.llm.common import fresh, small_batches, text_of
 
 #: Edits allowed per character of an item.
 ERRORS = 0.05
+#: Items of fewer words must occur exactly, from word bound to word bound.
 MIN_WORDS = 5
 BLOCK_BYTES = 8 << 20
 
@@ -71,14 +73,15 @@ class Items:
 
         self.items, pieces = [], defaultdict(list)
         for item_id, text in items:
-            m, k = len(text), int(errors * len(text))
+            short = text.count(" ") + 1 < MIN_WORDS
+            m, k = len(text), 0 if short else int(errors * len(text))
             bits: dict[str, int] = defaultdict(int)
             for i, c in enumerate(text):
                 bits[c] |= 1 << i
             for j in range(k + 1):
                 start, end = j * m // (k + 1), (j + 1) * m // (k + 1)
                 pieces[text[start:end]].append((len(self.items), start))
-            self.items.append((item_id, text, m, k, dict(bits)))
+            self.items.append((item_id, text, m, k, short, dict(bits)))
         self.finder = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.finder.add_word(piece, (len(piece), places))
@@ -91,9 +94,13 @@ class Items:
                 starts[item].add(end + 1 - length - offset)
         found = []
         for item, at in sorted(starts.items()):
-            item_id, whole, m, k, bits = self.items[item]
+            item_id, whole, m, k, short, bits = self.items[item]
             best = k + 1
-            if any(s >= 0 and text.startswith(whole, s) for s in at):
+            if short:
+                ends = (" ", "")  # what a match may have on either side
+                if any(text[s - 1 : s] in ends and text[s + m : s + m + 1] in ends for s in at):
+                    best = 0
+            elif any(s >= 0 and text.startswith(whole, s) for s in at):
                 best = 0
             else:
                 for low, high in windows(sorted(at), m, k):
@@ -141,7 +148,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, out: str = "matches", erro
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         rows = sorted({(r.item_id, plain(r.text)) for r in part}, key=repr)
-        rows = [r for r in rows if r[1].count(" ") + 1 >= MIN_WORDS]
+        rows = [r for r in rows if r[1]]
         if rows:
             found.append(_finder(rows, errors)(text_of("text")))
     empty = F.array().cast(MATCHES)

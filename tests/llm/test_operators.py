@@ -135,17 +135,19 @@ def test_secrets_with_many_matches(spark):
 
 def test_decontaminate(docs, rows, spark):
     items = [(1, rows[0][1][20:160]), (2, "too short"), (3, None), (None, "quite unlike anything that is in the documents here"), (4, rows[2][1].upper())]
+    items += [(5, " ".join(rows[0][1].split()[1:4])), (6, " ".join(rows[0][1].split()[1:4])[1:]), (7, "...")]
     benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id")
     found = decontaminate.leaks(docs, benchmark, out="found")
-    plain = [(i, decontaminate.plain(t)) for i, t in items if t and len(decontaminate.plain(t).split()) >= 5]
+    plain = [(i, decontaminate.plain(t)) for i, t in items if t]
     block = decontaminate.Items([p for p in plain if p[1]], decontaminate.ERRORS)
     want = sorted(((i, [m["item_id"] for m in block.matches(decontaminate.plain(t))]) for i, t in rows), key=repr)
     lists = [(r.doc_id, frozenset(m.item_id for m in r.found)) for r in found.collect()]
     assert sorted(lists, key=repr) == sorted(((i, frozenset(m)) for i, m in want), key=repr)
-    assert any(m for _, m in want)
+    assert any({1, 5} <= set(m) for _, m in want) and not any({2, 6, 7} & set(m) for _, m in want)
     kept = decontaminate.remove_leaks(docs, benchmark)
     assert kept.columns == docs.columns and kept.count() == sum(not m for _, m in want)
     assert decontaminate.remove_leaks(docs, benchmark.where("false")).count() == len(rows)
+    assert decontaminate.leaks(docs.where("false"), benchmark).count() == 0
 
 
 def test_pieces_round_trip(docs, rows):
