@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -45,7 +45,7 @@ PAIR_SHARE = 1e-6
 #: (document, pair) rows a task holds before it sends their counts on.
 HELD = 2_000_000
 #: Segments a worker remembers, in each of two generations, and the longest that it does.
-REMEMBERED, REMEMBERED_LENGTH = 80_000, 64
+REMEMBERED, REMEMBERED_LENGTH = 110_000, 64
 #: Short segments that are aligned as one text.
 AT_ONCE = 2_000
 #: Characters of the texts that are aligned at once, about.
@@ -99,26 +99,31 @@ class Aligner:
     def align(self, texts: list[str]) -> Iterator[list[Aligned] | None]:
         """Per text its segments' alignments; None if it has no tokens."""
         cut = [self.segments(t) if t else [] for t in texts]
-        new = [s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.known]
-        again = {s: self.older[s] for s in new if s in self.older}
-        new = [s for s in new if s not in again]
-        fresh = dict(zip(new, self.solve(new))) | again
+        met = set().union(*cut)
+        table = {s: self.known[s] for s in met & self.known.keys()}
+        met.difference_update(table)
+        fresh = {s: self.older[s] for s in met & self.older.keys()}
+        met.difference_update(fresh)
+        fresh |= self.solve(list(met))
+        table |= fresh
+        failed = None in table.values()
         for parts in cut:
-            found = [fresh[s] if s in fresh else self.known[s] for s in parts]
-            yield None if not found or None in found else found
+            found = list(map(table.__getitem__, parts))
+            yield None if not found or failed and None in found else found
         if len(self.known) + len(fresh) > REMEMBERED:  # those not met again for as many others are forgotten
             self.older, self.known = self.known, {}
         self.known |= {s: a for s, a in fresh.items() if len(s) <= REMEMBERED_LENGTH}
 
-    def solve(self, segments: list[str]) -> Iterator[Aligned | None]:
+    def solve(self, segments: list[str]) -> dict[str, Aligned | None]:
         """Short segments are aligned together, as one text; longer ones and those that end with white space alone."""
         together = [s for s in segments if len(s) <= REMEMBERED_LENGTH and not s[-1].isspace()]
         solved: dict[str, Aligned | None] = {}
         for start in range(0, len(together), AT_ONCE):
             some = together[start : start + AT_ONCE]
             solved.update(zip(some, self.many(some)))
-        for s in segments:
-            yield solved[s] if s in solved else self.alone(s)
+        if len(solved) < len(segments):
+            solved |= {s: self.alone(s) for s in segments if s not in solved}
+        return solved
 
     def alone(self, segment: str) -> Aligned | None:
         first = self.first.encode(segment, add_special_tokens=False)
@@ -149,7 +154,9 @@ class Aligner:
         aligned = np.zeros(len(data) + 1, bool)
         aligned[byte_of] = True
         coarse = np.intersect1d(lone(spans_a), lone(spans_b), assume_unique=True)
-        coarse = np.union1d(coarse[aligned[coarse]], [len(data)])
+        coarse = coarse[aligned[coarse]]
+        if not len(coarse) or coarse[-1] < len(data):
+            coarse = np.append(coarse, len(data))
         # within coarse groups of characters of several bytes the decoded bytes decide
         wide = np.diff(np.searchsorted(byte_of, np.concatenate([[0], coarse]))) != np.diff(coarse, prepend=0)
         ends = []
@@ -282,10 +289,9 @@ def summed(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return pairs[starts], np.add.reduceat(times[order].astype(np.int64), starts) if len(pairs) else np.zeros(0, np.int64)
 
 
-def of_text(found: list[Aligned]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of a text and how often each is linked."""
-    pairs = np.frombuffer(b"".join(f[5] for f in found), np.int64)
-    return summed(pairs, np.frombuffer(b"".join(f[6] for f in found), np.int32))
+def of_text(pairs: Iterable[bytes], times: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a text and how often each is linked, from those of its segments."""
+    return summed(np.frombuffer(b"".join(pairs), np.int64), np.frombuffer(b"".join(times), np.int32))
 
 
 def batches_of(texts: list[str | None], size: int = TOGETHER) -> Iterator[list[str]]:
@@ -352,9 +358,10 @@ def aligned_texts(documents: DataFrame, aligner) -> DataFrame:
                     if not found:
                         out.append(nothing)
                         continue
-                    pairs, times = of_text(found)
-                    row = {c: sum([f[i] for f in found]) for i, c in enumerate(NUMBERS)}
-                    row["groups_sha256"] = hashlib.sha256(";".join([f[4] for f in found]).encode()).hexdigest()
+                    *numbers, groups, pairs, times = zip(*found)
+                    pairs, times = of_text(pairs, times)
+                    row = dict(zip(NUMBERS, map(sum, numbers)))
+                    row["groups_sha256"] = hashlib.sha256(";".join(groups).encode()).hexdigest()
                     out.append(row | {"pairs": packed(pairs), "times": packed(times), "size": len(pairs)})
             yield pa.array(out, kind)
 
