@@ -52,14 +52,10 @@ AT_ONCE = 2_000
 TOGETHER = 1 << 20
 
 
-class Aligned(tuple):
-    """A segment's alignment: (n_a, n_b, n_groups, n_links, groups, pairs, times).
-
-    ``groups`` is the text of the digest, ``pairs`` the distinct ``a << 32 | b`` as 64-bit and
-    ``times`` how often each is linked as 32-bit numbers, both as bytes.
-    """
-
-    __slots__ = ()
+# A segment's alignment: (n_a, n_b, n_groups, n_links, groups, pairs, times). ``groups`` is the text
+# of the digest, ``pairs`` the distinct ``a << 32 | b`` as 64-bit and ``times`` how often each is
+# linked as 32-bit numbers, both as bytes. A plain tuple, which the garbage collector need not track.
+Aligned = tuple[int, int, int, int, str, bytes, bytes]
 
 
 class Aligner:
@@ -188,11 +184,11 @@ class Aligner:
         total = [np.bincount(place, w, minlength=len(segments)).astype(np.int64).tolist() for w in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)]
         part_at = np.concatenate([[0], np.cumsum(np.add(total[0], total[1]))]).tolist()
         pair_at = np.searchsorted(where, m).tolist()
-        out = []
+        pair_bytes, time_bytes, out = pairs.tobytes(), often.tobytes(), []
         for i, numbers in enumerate(zip(*total)):
             x, y = pair_at[i], pair_at[i + 1]
             names = "".join(parts[part_at[i] : part_at[i + 1]])[:-1]
-            out.append(Aligned((*numbers, names, pairs[x:y].tobytes(), often[x:y].tobytes())))
+            out.append((*numbers, names, pair_bytes[8 * x : 8 * y], time_bytes[4 * x : 4 * y]))
         return out
 
     def segment(self, text: str, first, second) -> Aligned | None:
@@ -225,7 +221,7 @@ class Aligner:
         names = ";".join([f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups])
         pairs, times = links(groups)
         n_links = sum([len(x) * len(y) for x, y in groups])
-        return Aligned((len(a), len(b), len(groups), n_links, names, pairs.tobytes(), times.tobytes()))
+        return len(a), len(b), len(groups), n_links, names, pairs.tobytes(), times.tobytes()
 
 
 def lone(spans: np.ndarray) -> np.ndarray:
