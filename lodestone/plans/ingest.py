@@ -409,7 +409,9 @@ def _get_originals(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+    # The table is a file or a folder of files. Only as a pattern may a stream's path be a file, and a filter
+    # on file names would miss those in a folder.
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/documents.parque[t]")
     source = stream.select(F.col("doc_id").cast("string").alias("external_id"), F.col("text").alias("content"))
     path = scratch_path(spark, "ingest")
     stream_ingest(source, path).awaitTermination()

@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lodestone.plans import registry
 from lodestone.plans.answers import stream_lines
 from lodestone.sources.files import FileReader, scan_object_files, write_object_files
 from lodestone.sources.records import profile_columns, profile_source, profile_values, sample_source, scope_filter, thread_documents
@@ -290,3 +291,11 @@ def test_stream_ingest_incremental(spark, folder):
     again = spark.createDataFrame([("a", "one two"), ("b", "three changed"), ("c", "new")], "external_id string, content string")
     ingest_batch(again, 1, f"{folder}/t")
     assert rows(ingested_vectors(spark, f"{folder}/t"), "external_id", "version", "chunk_index", "text") == vectors
+
+
+def test_stream_ingest_reads_a_table_of_several_files(spark, folder):
+    texts = [(i, f"text number {i}", "en", "web", 13) for i in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string, n_chars int")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    got = rows(registry.QUERIES["stream_ingest"](spark, folder), "external_id", "chunk_index", "dim")
+    assert got == [(str(i), 0, 64) for i in range(6)]
