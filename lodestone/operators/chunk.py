@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import words
@@ -20,12 +20,24 @@ def chunk_text(docs: DataFrame, size: int = CHUNK_WORDS, stride: int = CHUNK_STR
     """
     if not 0 < stride <= size:
         raise ValueError("stride must lie in 1..size")
-    split = docs.withColumn("__w", words(F.coalesce(F.col(text), F.lit(""))))
-    beyond = F.greatest(F.size("__w") - F.lit(size), F.lit(0))
-    last = F.ceil(beyond / F.lit(stride)).cast("int")
-    numbered = split.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), last)))
-    window = F.slice("__w", F.col("chunk_index") * stride + 1, F.lit(size))
-    return numbered.withColumn(text, F.array_join(window, " ")).drop("__w")
+    split = docs.withColumn("__w", words(F.coalesce(F.col(text), F.lit("")))).drop(text)
+    n = F.size("__w")
+    last = F.ceil(F.greatest(n - F.lit(size), F.lit(0)) / F.lit(stride)).cast("int")
+
+    def window(i: Column) -> Column:
+        # word by word: within a lambda, ``slice`` would copy all words first
+        places = F.sequence(i * stride, F.least(i * stride + size, n) - 1)
+        return F.array_join(F.transform(places, lambda j: F.get("__w", j)), " ")
+
+    # Cut within the row: a row per window that carries all words would cost the square of a text's length.
+    # There is always a window. From ``posexplode`` Spark would infer a filter that cuts the texts a second time.
+    kept = [c for c in docs.columns if c not in (text, "chunk_index")]
+    cut = split.withColumn("__c", F.transform(F.sequence(F.lit(0), last), window))
+    cut = cut.select(*[F.col(f"`{c}`") for c in kept], F.posexplode_outer("__c").alias("__i", "__t"))
+    new = {text: F.coalesce("__t", F.lit("")).alias(text)}
+    return cut.select(
+        *[new.get(c, F.col(f"`{c}`")) for c in docs.columns if c != "chunk_index"], F.coalesce("__i", F.lit(0)).alias("chunk_index")
+    )
 
 
 def chunk_table_rows(

@@ -175,6 +175,21 @@ def test_chunks(spark):
         chunk_text(df, 5, 6)
 
 
+def test_windows_of_a_text_do_not_each_carry_its_words(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (1, 119, 120, 121, 220, 221, 5_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    chunks = chunk_text(df)
+    node, seen = chunks._jdf.queryExecution().optimizedPlan(), []
+    while not node.children().isEmpty():
+        if node.nodeName() in ("Generate", "Filter"):
+            seen.append((node.nodeName(), "__w" in node.output().mkString(",")))
+        node = node.children().head()
+    assert seen == [("Generate", False)]  # nor does a filter below cut the texts a second time
+    got = rows(chunks, "doc_id", "chunk_index", "text")
+    starts = [(d, t.split(), range(0, max(len(t.split()) - 120, 0) + 100, 100)) for d, t in enumerate(texts)]
+    assert got == sorted(((d, i, " ".join(w[at : at + 120])) for d, w, ats in starts for i, at in enumerate(ats)), key=repr)
+
+
 def test_table_chunks(spark):
     df = spark.createDataFrame([("s", i * 10, f"n{i}" if i else None) for i in range(7)], "sheet string, k bigint, name string")
     got = rows(chunk_table_rows(df, "sheet", "k", ["k", "name"], 3), "row_start", "row_end", "text")
