@@ -1,9 +1,11 @@
 """Near-duplicates by the Jaccard similarity of word shingles: five words, at least 0.8.
 
-No distance of 64-bit fingerprints bounds that similarity (documents 1 and 177 of the smallest
-test table have 0.83 and 17 differing bits), so candidates come from min-hashes: ``BANDS`` keys of
-``ROWS`` minima each. A pair at 0.8 shares none with probability (1 - 0.8**4)**40 < 1e-9, one above
-it less often. Every candidate is checked on the shingles themselves, held as 64-bit hashes.
+Candidates come from SimHash fingerprints of the shingles first, met at the anchor points of ``simhash``:
+fingerprints within 3 bits, and sets of one fingerprint. No distance of 64-bit fingerprints bounds the
+similarity (documents 1 and 177 of the smallest test table have 0.83 and 17 differing bits), so what the
+anchors have not connected is looked for by min-hashes: ``BANDS`` keys of ``ROWS`` minima each. A pair
+at 0.8 shares none with probability (1 - 0.8**4)**40 < 1e-9, one above it less often. Every candidate is
+checked on the shingles themselves, held as 64-bit hashes.
 
 Texts with equal sets are one row. Rows of a key are checked against its smallest first; keys whose
 rows are then not all connected are compared in a grid of blocks, which send on spanning forests.
@@ -97,25 +99,25 @@ def set_print(text: Column) -> Column:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``print``, ``bands`` and ``shingles`` per row, written once."""
+    """``doc_id``, ``print``, fingerprint (``bits``), ``bands`` and ``shingles`` per row, written once."""
     small_batches(documents.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         for batch in batches:
             held, size, start = [], 0, 0
             for at in range(batch.num_rows):
                 shingles = shingles_of(batch.column(1)[at].as_py())
-                held.append((print_of(shingles), bands_of(shingles), shingles.tobytes()))
+                held.append((print_of(shingles), simhash.majority(shingles), bands_of(shingles), shingles.tobytes()))
                 size += shingles.nbytes
                 if size > HELD or at + 1 == batch.num_rows:
                     arrays = [pa.array(v, k) for v, k in zip(zip(*held), kinds)]
                     ids = batch.column(0).slice(start, len(held))
-                    yield pa.RecordBatch.from_arrays([ids, *arrays], ["doc_id", "print", "bands", "shingles"])
+                    yield pa.RecordBatch.from_arrays([ids, *arrays], ["doc_id", "print", "bits", "bands", "shingles"])
                     held, size, start = [], 0, at + 1
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("t"))
-    return stored(rows.mapInArrow(sign, "doc_id long, print long, bands array<long>, shingles binary"), "sets")
+    return stored(rows.mapInArrow(sign, "doc_id long, print long, bits long, bands array<long>, shingles binary"), "sets")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,20 +150,40 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(block)
 
 
+def anchor_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of distinct prints that meet at an anchor: they connect all fingerprints within 3 bits."""
+    known = stored(sets.select("print", "bits").dropDuplicates(["print"]), "bits")
+    least = stored(known.groupBy("bits").agg(F.min("print").alias("least")), "least")
+    links = simhash.near_links(least.select(F.col("bits").alias("print")))
+    across = links.join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select("x", "y")
+    within = known.join(least, "bits").where("print <> least").select("least", "print")
+    return stored(across.unionAll(within).toDF("a", "b"), "met")
+
+
 def near_links(sets: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between distinct prints that connect all similar ones."""
+    met = anchor_pairs(sets)
     spread = sets.select("print", "bands").dropDuplicates(["print"]).select("print", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("print").alias("least"), F.count("*").alias("n")).where("n > 1")
     spread = stored(join_counted(spread, stored(shared, "shared"), "band", "inner"), "spread")
-    named = stored(rows_of(sets.select("print", "shingles"), spread, "print").dropDuplicates(["print"]), "named")
+    due = spread.select("print").unionAll(met.select("a")).unionAll(met.select("b"))
+    named = stored(rows_of(sets.select("print", "shingles"), due, "print").dropDuplicates(["print"]), "named")
 
     @F.arrow_udf("boolean")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
 
+    def checked(pairs: DataFrame) -> DataFrame:
+        rows = pairs.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b")
+        return rows.where(similar("x", "y")).select("a", "b")
+
+    met = stored(checked(met), "linked")
+    roots = stored(components(met), "met_roots")
     stars = spread.where("print <> least").select(F.col("least").alias("a"), F.col("print").alias("b")).distinct()
-    stars = stars.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").where(similar("x", "y"))
-    stars = stored(stars.select("a", "b"), "stars")
+    # the anchors have connected many of these
+    stars = stars.join(roots.toDF("a", "x"), "a", "left").join(roots.toDF("b", "y"), "b", "left")
+    stars = checked(stars.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")).unionAll(met)
+    stars = stored(stars, "stars")
     roots = stored(components(stars).select(F.col("node").alias("print"), "root"), "roots")
     spread = spread.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
     # a key of two rows has had its only pair checked

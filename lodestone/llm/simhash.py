@@ -49,6 +49,11 @@ def fingerprint_of(text: str) -> int:
     stops = (ends[size - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[i:j], 42) for i, j in zip(starts, stops)], np.uint64)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of unsigned hashes, as a signed number."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         part = hashes[at : at + 65_536].view(np.uint8).reshape(-1, 8)

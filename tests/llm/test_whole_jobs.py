@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestone.llm import lm, near, queries, simhash
@@ -97,6 +98,18 @@ def test_pipeline_drops_near_copies_by_jaccard(spark, monkeypatch, block):
     assert {10_000, 20_000, 20_002, 20_004} <= kept and not kept & {10_008, 20_001, 20_003}
 
 
+def test_pipeline_links_near_copies_at_anchors(spark):
+    words = [f"w{i}" for i in range(4_000)]
+    texts = [words, [*words[:-1], "other"], words[:2_000], ["w", *words[1:2_000]], [f"v{i}" for i in range(300)], ["a"], ["b"]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    sets = near.signatures(docs)
+    place = {r.print: r.doc_id for r in sets.collect()}
+    bits = {r.doc_id: np.uint64(r.bits % 2**64) for r in sets.collect()}
+    assert all(np.bitwise_count(bits[a] ^ bits[b]) <= simhash.THRESHOLD for a, b in [(0, 1), (2, 3)])
+    blind = sets.withColumn("bands", F.array().cast("array<long>"))  # no min-hashes: the anchors alone
+    assert {tuple(sorted((place[r.a], place[r.b]))) for r in near.near_links(blind).collect()} == {(0, 1), (2, 3)}
+
+
 def test_lm_knows_every_word_at_a_larger_size(spark):
     sf = SF.replace("0.1", "0.01")
     texts = {r.doc_id: lm.tokens(r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
