@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import fresh, small_batches, text_of
+from lodestone.llm.common import fresh, lean, small_batches, text_of
 
 #: Edits allowed per character of an item.
 ERRORS = 0.05
@@ -128,6 +128,7 @@ def windows(starts: list[int], m: int, k: int) -> Iterator[tuple[int, int]]:
 
 def _finder(items: list[tuple[int | None, str]], errors: float):
     @F.arrow_udf(MATCHES)
+    @lean
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         block = Items(items, errors)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32())]))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import simhash
-from lodestone.llm.common import small_batches, stored, text_of
+from lodestone.llm.common import lean, small_batches, stored, text_of
 from lodestone.llm.components import components
 from lodestone.operators.topk import join_counted, rows_of
 
@@ -91,6 +91,7 @@ def set_print(text: Column) -> Column:
     """The name of a text's set."""
 
     @F.arrow_udf("long")
+    @lean
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([print_of(shingles_of(t)) for t in texts.to_pylist()], pa.int64())
@@ -102,6 +103,7 @@ def signatures(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``print``, fingerprint (``bits``), ``bands`` and ``shingles`` per row, written once."""
     small_batches(documents.sparkSession)
 
+    @lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         for batch in batches:
@@ -120,6 +122,7 @@ def signatures(documents: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(sign, "doc_id long, print long, bits long, bands array<long>, shingles binary"), "sets")
 
 
+@lean
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between rows of a block that are not connected yet; a block's rows arrive one after the other."""
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import fresh, small_batches, stored, text_of
+from lodestone.llm.common import fresh, lean, small_batches, stored, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer texts are scanned in parallel.
@@ -307,6 +307,7 @@ def encoder(pieces: list[tuple[str, bool]]):
     """A column function: the ids of a text, in one task."""
 
     @F.arrow_udf("array<int>")
+    @lean
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lattice = Lattice(pieces)
         for texts in batches:
@@ -333,6 +334,7 @@ def decoder(pieces: list[tuple[str, bool]]):
     ]
 
     @F.arrow_udf("string")
+    @lean
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sizes = np.array([len(r) for r in raw])
         places = np.cumsum(sizes) - sizes
@@ -370,6 +372,7 @@ def encode(documents: DataFrame, out: str = "ids", model: str = MODEL, chunk: in
 def _scan(texts: DataFrame, pieces: list[tuple[str, bool]], chunk: int) -> DataFrame:
     """``sha`` and ids of each distinct text."""
 
+    @lean
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces)
         reach = lattice.longest - 1
@@ -409,6 +412,7 @@ def _scan(texts: DataFrame, pieces: list[tuple[str, bool]], chunk: int) -> DataF
         .applyInPandas(per_block, "sha string, i long, first int, last int")
     )
 
+    @lean
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces)
         for batch in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import fresh, small_batches, stored, text_of
+from lodestone.llm.common import fresh, lean, small_batches, stored, text_of
 from lodestone.llm.components import components
 from lodestone.operators.topk import join_counted, without_rows_of
 
@@ -65,6 +65,7 @@ def fingerprint(text: Column) -> Column:
     """The fingerprint of a text column."""
 
     @F.arrow_udf("long")
+    @lean
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([fingerprint_of(t) for t in texts.to_pylist()], pa.int64())
@@ -108,6 +109,7 @@ def anchors_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(places), np.concatenate(homes)
 
 
+@lean
 def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = batch.column(0).to_numpy()
@@ -141,6 +143,7 @@ def forest(prints: np.ndarray, homes: np.ndarray) -> tuple[list, list]:
     return a, b
 
 
+@lean
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links within blocks; the rows of a block arrive one after the other."""
     left = None

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import small_batches, stored, text_of
+from lodestone.llm.common import lean, small_batches, stored, text_of
 
 # The closed classes of the grammar and the insults that need no label.
 INSULTS = "idiot idiots moron morons scum loser losers imbecile imbeciles vermin worthless pathetic disgusting stupid"
@@ -151,6 +151,7 @@ def word_counts(documents: DataFrame, labels: DataFrame, held_out: Column) -> tu
     rows = rows.groupBy("toxic", "first").agg(F.min("text").alias("text"), F.min_by("second", "text").alias("second"))
     rows = rows.groupBy("toxic", "second").agg(F.min("text").alias("text")).select("toxic", "text")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
         for batch in batches:
@@ -177,6 +178,7 @@ def least_hashes():
     """A column function: the least values of two hashes over the word triples of a text."""
 
     @F.arrow_udf("struct<first:bigint,second:bigint>")
+    @lean
     def low(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             out = []
@@ -228,6 +230,7 @@ def scorer(words: dict[str, float], prefixes: dict[str, float]):
     """A column function: the score of a text."""
 
     @F.arrow_udf("double")
+    @lean
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         grammar = Grammar(words, prefixes)
         for texts in batches:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestone.llm import lm, near, queries, simhash
+from lodestone.llm import common, lm, near, pieces, queries, simhash
 
 SF = "/root/testdata/sf0.1"
 
@@ -133,3 +133,27 @@ def test_lm_knows_every_word_at_a_larger_size(spark):
     for i, t in texts.items():
         if t:
             assert [out[i].n_tokens, out[i].target_loss, out[i].background_loss] == pytest.approx([len(t), loss(0, t), loss(1, t)], abs=1e-9)
+
+
+def test_a_task_gives_its_memory_back():
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4_096 >> 20
+
+    kept = []
+
+    def task(batches):
+        held = []
+        for size in batches:
+            for i in range(size):
+                held.append(bytes(600))
+                if i % 5_000 == 0:  # what is still used lies between what is free
+                    kept.append(bytes(600))
+            yield len(held)
+
+    before = resident()
+    assert list(common.lean(task)(iter([200_000, 200_000]))) == [200_000, 400_000]
+    assert resident() - before < 60  # of some 240 MB
+    assert common.lean(task).__wrapped__ is task
+    for made in (pieces.encoder(pieces.vocabulary()), pieces.decoder(pieces.vocabulary())):
+        assert hasattr(made.func, "__wrapped__")
