@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import ctypes
-import functools
-import gc
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.session import scratch_path
+from lodestone.workers import lean, small_batches
 
-BATCH_BYTES = "2m"
+__all__ = ["fresh", "lean", "once_per_worker", "parts", "small_batches", "stored", "text_of"]
 
 
 def text_of(column: str) -> Column:
@@ -29,29 +24,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch, so that very long texts do not pile up in one."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
-def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``task``, a function of a task's batches, after which the worker gives its free memory back.
-
-    Workers outlive their tasks, and what one allocator keeps for reuse is lacking to the others.
-    """
-
-    @functools.wraps(task)
-    def run(batches: Iterator) -> Iterator:
-        yield from task(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim:
-            trim(0)
-
-    return run
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back.
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from lodestone.functions.vectors import METRICS, score_block, to_matrix
 from lodestone.operators.topk import deepest, limit_per_query, rank_hits
+from lodestone.workers import lean
 
 DEFAULT_TOP_K = 10
 QUERY_ROWS = 4_096  # most queries sent to every task
@@ -146,6 +147,7 @@ def _broadcast_scan(
     query_ids = queries["query_id"].combine_chunks()
     extra = ["scale"] if "scale" in corpus.columns else []
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = Scan(metric, matrix, k, id_cols)
         for batch in batches:

@@ -11,7 +11,7 @@ reproducible but knows nothing about meaning. Other models are registered by pro
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import hash_bucket, tokens
 from lodestone.functions.vectors import to_lists
+from lodestone.workers import lean, small_batches
 
 HASHING = ("local", "hashing")
 DEFAULT_DIM = 64
@@ -58,8 +59,7 @@ def hashing_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:
     batch becomes one histogram. Nothing is shuffled.
     """
 
-    @F.arrow_udf("array<float>")
-    def count_buckets(buckets: pa.Array) -> pa.Array:
+    def histogram(buckets: pa.Array) -> pa.Array:
         lengths = pc.list_value_length(buckets).fill_null(0).to_numpy()
         flat = buckets.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(lengths)
@@ -76,6 +76,11 @@ def hashing_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:
         matrix = np.concatenate(parts) if parts else np.zeros((0, dim))
         return to_lists(matrix, pa.float32())
 
+    @F.arrow_udf("array<float>")
+    @lean
+    def count_buckets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from map(histogram, batches)
+
     return count_buckets.asNondeterministic()(F.transform(tokens(text), lambda t: hash_bucket(t, dim)))
 
 
@@ -109,6 +114,7 @@ def embed_texts(
     nothing. A registered model runs once per distinct text of an Arrow batch.
     """
     if (provider, model) == HASHING:
+        small_batches(df.sparkSession)
         return df.withColumn(out, hashing_vector(F.col(text), dim))
     if (provider, model) not in _embedders:
         raise ValueError(f"no embedder registered for {provider}/{model}")

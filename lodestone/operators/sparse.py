@@ -19,15 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.text import term_counts, tokens
-from lodestone.operators.dense import BLOCK_CELLS, Scan, flat_id, nested_id
+from lodestone.operators.dense import Scan, flat_id, nested_id
 from lodestone.operators.topk import deepest, join_counted, limit_per_query, rank_hits
 from lodestone.session import cut_lineage
+from lodestone.workers import lean, small_batches
 
 K1 = 1.2
 B = 0.75
 TERM_ROWS = 500_000  # largest (query, term) table sent to every task
 HOT_ROWS = 1_000_000  # postings of one term that one task may hold in a shuffled join
-BLOCK_DOCS, BLOCK_POSTINGS = 4_096, 1_000_000  # a block ends with the document that reaches either
+BLOCK_DOCS, BLOCK_POSTINGS = 4_096, 250_000  # a block ends with the document that reaches either
+SCORE_CELLS = 500_000  # scores of a block held at once
 
 
 @dataclass
@@ -101,6 +103,7 @@ def block_schema(id_type: T.DataType) -> T.StructType:
 
 def pack(rows: DataFrame) -> DataFrame:
     """Blocks of ``doc, term, id, dl, tf``, in which the rows of a ``doc`` follow each other."""
+    small_batches(rows.sparkSession)
     schema = block_schema(rows.schema["id"].dataType)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -128,6 +131,7 @@ def pack(rows: DataFrame) -> DataFrame:
             lists.append(pa.ListArray.from_arrays([0, len(values)], values.cast(field.type.value_type)).cast(field.type))
         return pa.RecordBatch.from_arrays(lists, schema=names)
 
+    @lean
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs, size, last = [], 0, 0, None
         for batch in batches:
@@ -234,6 +238,7 @@ class Asked:
         one = blocks.select(F.element_at("ids", 1).alias("id"))
         _, fields, id_cols = flat_id(one)
 
+        @lean
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = BlockScan(len(query_ids), k, id_cols, asking, idf, avg_dl)
             for batch in batches:
@@ -289,7 +294,7 @@ class BlockScan(Scan):
         for i, term in terms:
             bound[self.asking[term]] += self.idf[term] * top[i]
         live = np.flatnonzero((bound > 0) & (bound + 1e-5 >= self.floor))  # scores are rounded
-        step = max(1, BLOCK_CELLS // len(dls))
+        step = max(1, SCORE_CELLS // len(dls))
         impact = saturation(tfs, dls[places], self.avg_dl)
         for start in range(0, len(live), step):
             some = live[start : start + step]

@@ -167,3 +167,13 @@ def test_hybrid_is_exact_over_the_whole_corpus(docs, asks, depth, k, alpha):
 
 def test_hybrid_without_queries(docs, asks):
     assert hybrid_search(asks.limit(0), embed_texts(docs), build_sparse_index(docs), 3).count() == 0
+
+
+def test_blocks_and_batches_of_a_search_are_small(spark):
+    text = " ".join(f"w{i}" for i in range(1_000))
+    docs = spark.createDataFrame([(i, text) for i in range(300)], "id bigint, text string").coalesce(1)
+    sizes = [r.n for r in build_sparse_index(docs).packed().select(F.size("places").alias("n")).collect()]
+    assert sum(sizes) == 300_000 and max(sizes) <= 251_000
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert embed_texts(docs, "text", "values").select("values").distinct().count() == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m"
