@@ -135,7 +135,7 @@ def test_lm_knows_every_word_at_a_larger_size(spark):
             assert [out[i].n_tokens, out[i].target_loss, out[i].background_loss] == pytest.approx([len(t), loss(0, t), loss(1, t)], abs=1e-9)
 
 
-def test_a_task_gives_its_memory_back():
+def test_a_task_gives_its_memory_back(spark):
     def resident():
         with open("/proc/self/statm") as file:
             return int(file.read().split()[1]) * 4_096 >> 20
