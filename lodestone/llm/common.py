@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.session import scratch_path
-from lodestone.workers import lean, small_batches
+from lodestone.workers import give_back, lean, small_batches
 
-__all__ = ["fresh", "lean", "once_per_worker", "parts", "small_batches", "stored", "text_of"]
+__all__ = ["fresh", "give_back", "lean", "once_per_worker", "parts", "small_batches", "stored", "text_of"]
 
 
 def text_of(column: str) -> Column:

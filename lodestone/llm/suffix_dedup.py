@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import parts, small_batches, stored, text_of
+from lodestone.llm.common import give_back, lean, parts, small_batches, stored, text_of
 from lodestone.operators.topk import join_counted
 
 LENGTH = 50
@@ -41,6 +41,9 @@ GRAM = 32
 SHORT = 6
 #: Bytes of text a part holds, about.
 PART_BYTES = 16 << 20
+#: Bytes of a part whose windows are named at once, and powers that are kept.
+BLOCK = 1 << 18
+KEPT_POWERS = 1 << 20
 #: Largest table of removed spans sent to every task.
 SPAN_BYTES = 32 << 20
 LAST = (1 << 63) - 1
@@ -68,10 +71,12 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """The first ``n`` powers, kept for the next call."""
+    """The first ``n`` powers, kept for the next call unless they are very many."""
     known = _POWERS.get(int(base))
     if known is None or len(known) < n:
-        known = _POWERS[int(base)] = np.concatenate([[U(1)], np.cumprod(np.full(max(n, 1 << 16), base, U))])
+        known = np.concatenate([[U(1)], np.cumprod(np.full(max(n, 1 << 16), base, U))])
+        if len(known) <= KEPT_POWERS:
+            _POWERS[int(base)] = known
     return known[:n]
 
 
@@ -206,9 +211,16 @@ def asked(rows: DataFrame, entries, slots: int) -> DataFrame:
                 out.append((part, slot, cut_short(found.a[at]), None, None, found.several[at].tobytes()))
             else:
                 out.append((part, slot, found.a[at].tobytes(), found.b[at].tobytes(), squeezed(found.o[at]), None))
+        del found
+        give_back()
         return table_of(out, ENTRY)
 
-    return rows.groupBy("part").applyInArrow(send, ENTRY).groupBy("slot").applyInArrow(answer, ANSWER)
+    def tell(table: pa.Table) -> pa.Table:
+        out = answer(table)
+        give_back()
+        return out
+
+    return rows.groupBy("part").applyInArrow(send, ENTRY).groupBy("slot").applyInArrow(tell, ANSWER)
 
 
 class Buckets(Entries):
@@ -284,7 +296,18 @@ def window_entries(table: pa.Table) -> Entries:
     at = open_windows(firsts, lasts)
     whose = np.searchsorted(np.cumsum(sizes), at, side="right")
     owners = np.array(table["ord"].to_pylist(), np.int64)[whose]
-    return Entries(identifiers(data, at, at + LENGTH), identifiers(data, at, at + LENGTH, 1), owners)
+    return Entries(window_identifiers(data, at), window_identifiers(data, at, 1), owners)
+
+
+def window_identifiers(data: np.ndarray, at: np.ndarray, which: int = 0) -> np.ndarray:
+    """``identifiers`` of the windows that start at ``at``, which rises, block by block: they don't depend on the place."""
+    edges = np.searchsorted(at, np.arange(0, len(data) + BLOCK, BLOCK))
+    names = [np.empty(0, U)]
+    for begin, i, j in zip(range(0, len(data), BLOCK), edges, edges[1:]):
+        if i < j:
+            starts = at[i:j] - begin
+            names.append(identifiers(data[begin : begin + BLOCK + LENGTH], starts, starts + LENGTH, which))
+    return np.concatenate(names)
 
 
 def open_windows(firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
@@ -334,7 +357,13 @@ def removed_spans(texts: DataFrame, slots: int) -> DataFrame:
 
     def paired(rows: DataFrame, entries, shape: str, step) -> DataFrame:
         answers = asked(rows, entries, slots)
-        return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(step, shape)
+
+        def take(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+            out = step(key, table, told)
+            give_back()
+            return out
+
+        return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(take, shape)
 
     shared = stored(paired(texts, lambda t: part_runs(t)[1], REGION, find), "regions")
     settled = stored(paired(shared, run_entries, OPEN, settle), "settled")
@@ -380,7 +409,7 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     n = max(parts(spark), -(-size // PART_BYTES))
     texts = rows.where(~F.col("copy") & (F.octet_length("text") >= LENGTH))
     texts = texts.select(F.pmod("rk", F.lit(n)).alias("part"), "rk", "ord", F.col("text").cast("binary").alias("raw"))
-    texts = texts.mapInArrow(packed, TEXT)
+    texts = texts.mapInArrow(lean(packed), TEXT)
     spans = removed_spans(texts, n).groupBy("rk").agg(F.collect_list("spans").alias("spans"))
     spans = stored(spans, "spans")
     weight = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + F.octet_length(s) + 16)

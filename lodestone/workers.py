@@ -18,6 +18,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def give_back() -> None:
+    """Give the worker's free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``task``, a function of a task's batches, after which the worker gives its free memory back.
 
@@ -28,9 +36,6 @@ def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     def run(batches: Iterator) -> Iterator:
         yield from task(batches)
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim:
-            trim(0)
+        give_back()
 
     return run

@@ -1,12 +1,15 @@
 """What operators store and hold."""
 
 import random
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestone import session
-from lodestone.llm import lm
+from lodestone.llm import lm, suffix_dedup
 
 
 def test_a_rare_bigram_is_stored_in_a_few_bytes(spark, folder, monkeypatch):
@@ -34,3 +37,21 @@ def test_lm_counts_over_all_chunks(spark, monkeypatch):
         assert one[:2] == other[:2]
         assert one[2:] == pytest.approx(other[2:], abs=1e-12)
     assert [r.score for r in whole if not r.n_tokens] == [None, None]
+
+
+def test_windows_of_a_part_are_named_in_bounded_memory():
+    draw = np.random.default_rng(3)
+    data = draw.integers(97, 123, 2_000_000).astype(np.uint8)
+    n = 1_000
+    table = {"ord": [0], "rk": [0], "start": [0], "data": [data.tobytes()]}
+    table |= {"firsts": [np.arange(0, n * 1_900, 1_900).tobytes()], "lasts": [np.arange(0, n * 1_900, 1_900).tobytes()]}
+    suffix_dedup._POWERS.clear()
+    tracemalloc.start()
+    found = suffix_dedup.window_entries(pa.table(table))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found.a) == n
+    at = np.arange(0, n * 1_900, 1_900)
+    assert (np.sort(suffix_dedup.identifiers(data, at, at + suffix_dedup.LENGTH)) == found.a).all()
+    assert most < 32 * len(data)  # each array of 64-bit numbers for every byte takes 8 times its bytes
+    assert all(len(p) <= suffix_dedup.KEPT_POWERS for p in suffix_dedup._POWERS.values())
