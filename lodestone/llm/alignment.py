@@ -8,7 +8,8 @@ Coarse cuts come from the libraries' own character spans: A's offsets and the sp
 where exactly one token of each side ends and the next one begins. Within a coarse group that holds
 characters of several bytes, tokens may be parts of characters (A cuts them anywhere, B falls back
 to bytes); such groups are cut further by the decoded bytes of their tokens. In all others a
-character is a byte and the spans say all.
+character is a byte and the spans say all; where that holds for whole segments, the spans are the
+sums of the decoded tokens' sizes, and the libraries need not make any.
 
 Both tokenizers part before a blank that follows another character: no piece of B holds a blank
 behind another character, and A's word pattern ends there. The segments in between are aligned once
@@ -45,7 +46,7 @@ PAIR_SHARE = 1e-6
 #: (document, pair) rows a task holds before it sends their counts on.
 HELD = 2_000_000
 #: Segments a worker remembers, in each of two generations, and the longest that it does.
-REMEMBERED, REMEMBERED_LENGTH = 110_000, 64
+REMEMBERED, REMEMBERED_LENGTH = 160_000, 64
 #: Short segments that are aligned as one text.
 AT_ONCE = 2_000
 #: Characters of the texts that are aligned at once, about.
@@ -53,8 +54,8 @@ TOGETHER = 1 << 20
 
 
 # A segment's alignment: (n_a, n_b, n_groups, n_links, groups, pairs, times). ``groups`` is the text
-# of the digest, ``pairs`` the distinct ``a << 32 | b`` as 64-bit and ``times`` how often each is
-# linked as 32-bit numbers, both as bytes. A plain tuple, which the garbage collector need not track.
+# of the digest, ``pairs`` the linked ``a << 32 | b`` as 64-bit numbers, which may repeat, and ``times``
+# how often each is linked as 32-bit numbers, both as bytes. A plain tuple, which the garbage collector need not track.
 Aligned = tuple[int, int, int, int, str, bytes, bytes]
 
 
@@ -68,6 +69,7 @@ class Aligner:
 
         self.first = Tokenizer.from_str(files[0])
         self.first.encode_special_tokens = True
+        self.first_ids = getattr(self.first, "encode_batch_fast", self.first.encode_batch)  # the former leaves the offsets out
         self.second = sentencepiece.SentencePieceProcessor(model_proto=files[1])
         code = byte_of_character()
         self.first_bytes = {i: bytes(map(code.get, t)) for t, i in self.first.get_vocab(False).items()}
@@ -114,9 +116,11 @@ class Aligner:
         """Short segments are aligned together, as one text; longer ones and those that end with white space alone."""
         together = [s for s in segments if len(s) <= REMEMBERED_LENGTH and not s[-1].isspace()]
         solved: dict[str, Aligned | None] = {}
-        for start in range(0, len(together), AT_ONCE):
-            some = together[start : start + AT_ONCE]
-            solved.update(zip(some, self.many(some)))
+        plain = [s for s in together if s.isascii()]
+        for alike in (plain, [s for s in together if not s.isascii()] if len(plain) < len(together) else []):
+            for start in range(0, len(alike), AT_ONCE):
+                some = alike[start : start + AT_ONCE]
+                solved.update(zip(some, self.many(some)))
         if len(solved) < len(segments):
             solved |= {s: self.alone(s) for s in segments if s not in solved}
         return solved
@@ -129,9 +133,14 @@ class Aligner:
         """``segment`` of many at once: one after the other they are a text that both tokenizers part between them."""
         text = "".join(segments)
         data = text.encode()
-        first = self.first.encode(text, add_special_tokens=False)
-        pieces = self.second.encode(text[1:], return_type="proto").pieces
-        ids_a, ids_b = first.ids, [p.id for p in pieces]
+        plain = len(data) == len(text)  # a character is a byte: the decoded bytes are the spans
+        if plain:
+            first = self.first_ids([text], add_special_tokens=False)[0]
+            ids_a, ids_b = first.ids, self.second.encode(text[1:], out_type=int)
+        else:
+            first = self.first.encode(text, add_special_tokens=False)
+            pieces = self.second.encode(text[1:], return_type="proto").pieces
+            ids_a, ids_b = first.ids, [p.id for p in pieces]
         a, b = np.array(ids_a), np.array(ids_b)
         bytes_a, bytes_b = map(self.first_bytes.__getitem__, ids_a), map(self.second_bytes.__getitem__, ids_b)
         if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
@@ -139,27 +148,8 @@ class Aligner:
                 return [None]
             half = len(segments) // 2
             return self.many(segments[:half]) + self.many(segments[half:])
-        # spans in bytes
-        starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-        byte_of = np.append(starts, len(data))
-        spans_a = byte_of[np.fromiter(chain.from_iterable(first.offsets), np.int64, 2 * len(a)).reshape(-1, 2)]
-        spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]]).T + 1
-        spans_b[0, 0] = 0
-        if not self.in_bytes:
-            spans_b = byte_of[spans_b]
-        aligned = np.zeros(len(data) + 1, bool)
-        aligned[byte_of] = True
-        coarse = np.intersect1d(lone(spans_a), lone(spans_b), assume_unique=True)
-        coarse = coarse[aligned[coarse]]
-        if not len(coarse) or coarse[-1] < len(data):
-            coarse = np.append(coarse, len(data))
-        # within coarse groups of characters of several bytes the decoded bytes decide
-        wide = np.diff(np.searchsorted(byte_of, np.concatenate([[0], coarse]))) != np.diff(coarse, prepend=0)
-        ends = []
-        for spans, sizes in ((spans_a, self.first_sizes[a]), (spans_b, self.second_sizes[b])):
-            decoded = np.cumsum(sizes)
-            group = np.searchsorted(coarse, decoded)
-            ends.append(np.where(wide[group], decoded, spans[:, 1]))
+        decoded = np.cumsum(self.first_sizes[a]), np.cumsum(self.second_sizes[b])
+        ends = decoded if plain else self.ends(data, first.offsets, pieces, decoded)
         cuts = np.intersect1d(*ends, assume_unique=True)
         group_a, group_b = np.searchsorted(cuts, ends[0]), np.searchsorted(cuts, ends[1])
         n_a, n_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
@@ -170,11 +160,7 @@ class Aligner:
         before = np.repeat(np.cumsum(times) - times, times)
         partner = np.repeat((np.cumsum(n_b) - n_b)[group_a], times) + np.arange(times.sum()) - before
         pairs, where = np.repeat(a, times) << 32 | b[partner], np.repeat(place[group_a], times)
-        order = np.lexsort((pairs, where))
-        pairs, where = pairs[order], where[order]
-        new = np.flatnonzero(np.concatenate([[True], (np.diff(pairs) != 0) | (np.diff(where) != 0)]))
-        often = np.diff(np.append(new, len(pairs))).astype(np.int32)
-        pairs, where = pairs[new], where[new]
+        often = np.ones(len(pairs), np.int32)  # repeated ones are added up with the rest of the text
         # names: A ids of a group, then its B ids
         last_a, last_b = (np.append(np.diff(g) != 0, True) for g in (group_a, group_b))
         parts = np.concatenate([self.names[np.where(last_a, 1, 0), a], self.names[np.where(last_b, 2, 0), b]])
@@ -191,6 +177,25 @@ class Aligner:
             out.append((*numbers, names, pair_bytes[8 * x : 8 * y], time_bytes[4 * x : 4 * y]))
         return out
 
+    def ends(self, data: bytes, offsets: list, pieces, decoded: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+        """The bytes where the tokens of both end, from their spans and, where these are too coarse, their decoded bytes."""
+        starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        byte_of = np.append(starts, len(data))
+        spans_a = byte_of[np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)]
+        spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]]).T + 1
+        spans_b[0, 0] = 0
+        if not self.in_bytes:
+            spans_b = byte_of[spans_b]
+        aligned = np.zeros(len(data) + 1, bool)
+        aligned[byte_of] = True
+        coarse = np.intersect1d(lone(spans_a), lone(spans_b), assume_unique=True)
+        coarse = coarse[aligned[coarse]]
+        if not len(coarse) or coarse[-1] < len(data):
+            coarse = np.append(coarse, len(data))
+        # within coarse groups of characters of several bytes the decoded bytes decide
+        wide = np.diff(np.searchsorted(byte_of, np.concatenate([[0], coarse]))) != np.diff(coarse, prepend=0)
+        return [np.where(wide[np.searchsorted(coarse, d)], d, spans[:, 1]) for spans, d in ((spans_a, decoded[0]), (spans_b, decoded[1]))]
+
     def segment(self, text: str, first, second) -> Aligned | None:
         a, ends_a = first.ids, [end for _, end in first.offsets]
         pieces = second.pieces  # spans are of the text behind the blank
@@ -304,7 +309,9 @@ def batches_of(texts: list[str | None], size: int = TOGETHER) -> Iterator[list[s
 
 
 def packed(values: np.ndarray) -> bytes:
-    return pa.compress(np.diff(values, prepend=0).astype(np.int64).tobytes(), "zstd", asbytes=True)
+    steps = values.astype(np.int64)
+    steps[1:] -= values[:-1]
+    return pa.compress(steps.tobytes(), "zstd", asbytes=True)
 
 
 def unpacked(data: bytes, size: int) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from lodestone import session
-from lodestone.llm import lm, suffix_dedup
+from lodestone.llm import alignment, lm, suffix_dedup
 
 
 def test_a_rare_bigram_is_stored_in_a_few_bytes(spark, folder, monkeypatch):
@@ -55,3 +55,27 @@ def test_windows_of_a_part_are_named_in_bounded_memory():
     assert (np.sort(suffix_dedup.identifiers(data, at, at + suffix_dedup.LENGTH)) == found.a).all()
     assert most < 32 * len(data)  # each array of 64-bit numbers for every byte takes 8 times its bytes
     assert all(len(p) <= suffix_dedup.KEPT_POWERS for p in suffix_dedup._POWERS.values())
+
+
+def test_segments_of_single_bytes_need_no_spans_of_the_library():
+    with open(alignment.vocabulary_path(alignment.FIRST), encoding="utf-8") as one, open(alignment.vocabulary_path(alignment.SECOND), "rb") as other:
+        aligner = alignment.Aligner((one.read(), other.read()))
+    draw = random.Random(5)
+    segments = list({" " + "".join(draw.choices("abcdeXYZ019_.-/\t", k=draw.randint(1, 30))) + "z" for _ in range(3_000)})
+    segments += [" </s>", " <unk>", " <|endoftext|>x", " a\x00b", " <0x41>", " a\r\nb", " é", " naïve", " 日本x"]
+    want = {s: aligner.alone(s) for s in segments}
+    library, asked = aligner.second, []
+
+    class Second:
+        def encode(self, text, **options):
+            asked.extend([text] * (options.get("return_type") == "proto"))
+            return library.encode(text, **options)
+
+    aligner.second = Second()
+    found = aligner.solve(segments)
+
+    def plain(x):
+        return x and (*x[:5], [c.tolist() for c in alignment.of_text([x[5]], [x[6]])])
+
+    assert {s: plain(x) for s, x in found.items()} == {s: plain(x) for s, x in want.items()}
+    assert asked and not any(map(str.isascii, asked))
