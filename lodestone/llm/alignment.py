@@ -13,7 +13,9 @@ sums of the decoded tokens' sizes, and the libraries need not make any.
 
 Both tokenizers part before a blank that follows another character: no piece of B holds a blank
 behind another character, and A's word pattern ends there. The segments in between are aligned once
-and remembered, so texts of any length need the memory of their own segments only.
+and remembered, so texts of any length need the memory of their own segments only. Segments not met
+before are put together from units: both also part before a line break between two other characters
+and, if no piece of B holds both, between a Latin letter and a sign.
 
 A text's distinct pairs are stored packed, then counted over all documents. Pairs with at least ``PAIR_SHARE`` of all
 (document, pair) rows, so at most ``1 / PAIR_SHARE``, are looked up in the tasks; the others are joined
@@ -29,7 +31,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -45,8 +49,10 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PAIR_SHARE = 1e-6
 #: (document, pair) rows a task holds before it sends their counts on.
 HELD = 2_000_000
-#: Segments a worker remembers, in each of two generations, and the longest that it does.
-REMEMBERED, REMEMBERED_LENGTH = 160_000, 64
+#: Segments and units a worker remembers, in each of two generations, and the longest that it does.
+REMEMBERED, REMEMBERED_LENGTH = 200_000, 64
+#: Letters that A's word pattern knows as such, and signs that it parts from them.
+LATIN, SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ",.;:!?|%$&*#"
 #: Short segments that are aligned as one text.
 AT_ONCE = 2_000
 #: Characters of the texts that are aligned at once, about.
@@ -82,10 +88,18 @@ class Aligner:
         numbers = [str(i) for i in range(max(len(self.first_sizes), len(pieces)))]
         self.names = np.array([[n + sign for n in numbers] for sign in ",|;"], object)
         self.cuts = not any(" " in p.lstrip(" ") for p in (p.replace("▁", " ") for p in pieces))
+        self.units = self.unit_ends(pieces)
         # releases of the library differ in whether spans count characters or bytes
         self.in_bytes = self.second.encode("é", return_type="proto").pieces[-1].end == 2
-        self.known: dict[str, Aligned | None] = {}
-        self.older: dict[str, Aligned | None] = {}
+        self.known: dict[str, Aligned | tuple[()]] = {}  # empty: not given back byte by byte
+        self.older: dict[str, Aligned | tuple[()]] = {}
+
+    def unit_ends(self, pieces: list[str]) -> re.Pattern:
+        """Matches the empty places inside segments where both tokenizers part."""
+        inside = set(re.findall(rf"(?<=[{LATIN}])[{re.escape(SIGNS)}]", "\0".join(pieces)))
+        signs = re.escape("".join(c for c in SIGNS if c not in inside))
+        places = [r"(?<=\S)(?=\n\S)"] * (not any("\n" in p for p in pieces)) + [rf"(?<=[{LATIN}])(?=[{signs}])"] * bool(signs)
+        return re.compile("|".join(places) if self.cuts and places else r"(?!)")
 
     def segments(self, text: str) -> list[str]:
         """The parts of a blank and the text, each with a blank in front."""
@@ -97,32 +111,53 @@ class Aligner:
     def align(self, texts: list[str]) -> Iterator[list[Aligned] | None]:
         """Per text its segments' alignments; None if it has no tokens."""
         cut = [self.segments(t) if t else [] for t in texts]
-        met = set().union(*cut)
-        table = {s: self.known[s] for s in met & self.known.keys()}
-        met.difference_update(table)
+        held = [list(map(self.known.get, parts)) for parts in cut]
+        met = {s for parts, found in zip(cut, held) if None in found for s, a in zip(parts, found) if a is None}
         fresh = {s: self.older[s] for s in met & self.older.keys()}
         met.difference_update(fresh)
-        fresh |= self.solve(list(met))
-        table |= fresh
-        failed = None in table.values()
-        for parts in cut:
-            found = list(map(table.__getitem__, parts))
-            yield None if not found or failed and None in found else found
+        fresh |= {s: a or () for s, a in self.solve(list(met)).items()}
+        for parts, found in zip(cut, held):
+            if None in found:
+                found = [fresh[s] if a is None else a for s, a in zip(parts, found)]
+            yield found if found and all(found) else None
         if len(self.known) + len(fresh) > REMEMBERED:  # those not met again for as many others are forgotten
             self.older, self.known = self.known, {}
         self.known |= {s: a for s, a in fresh.items() if len(s) <= REMEMBERED_LENGTH}
 
     def solve(self, segments: list[str]) -> dict[str, Aligned | None]:
-        """Short segments are aligned together, as one text; longer ones and those that end with white space alone."""
-        together = [s for s in segments if len(s) <= REMEMBERED_LENGTH and not s[-1].isspace()]
+        """Short segments are put together from their units; longer ones and those that end with white space are aligned alone."""
+        single, units, rest, cut = set(), {}, [], self.units.split
+        for s in segments:
+            if len(s) > REMEMBERED_LENGTH or s[-1].isspace():
+                rest.append(s)
+            elif s[1:].isalpha() or len(parts := cut(s)) == 1:
+                single.add(s)
+            else:
+                units[s] = parts
+        met, held = set().union(*units.values()) - single, {}
+        for some in (self.known, self.older):
+            found = {u: some[u] for u in met & some.keys()}
+            met.difference_update(found)
+            held |= found
+        solved = self.solve_units([*single, *met])
+        held |= {u: solved.pop(u) or () for u in met}
+        self.known |= held
+        held |= solved
+        for s, parts in units.items():
+            found = list(map(held.__getitem__, parts))
+            solved[s] = reduce(joined, found) if all(found) else None
+        return solved | {s: self.alone(s) for s in rest}
+
+    def solve_units(self, together: list[str]) -> dict[str, Aligned | None]:
+        """Units are aligned many at once, as one text; those without a blank in front stand behind a letter."""
         solved: dict[str, Aligned | None] = {}
         plain = [s for s in together if s.isascii()]
         for alike in (plain, [s for s in together if not s.isascii()] if len(plain) < len(together) else []):
             for start in range(0, len(alike), AT_ONCE):
-                some = alike[start : start + AT_ONCE]
+                some = [p for u in alike[start : start + AT_ONCE] for p in ((u,) if u[0] == " " else (" a", u))]
                 solved.update(zip(some, self.many(some)))
-        if len(solved) < len(segments):
-            solved |= {s: self.alone(s) for s in segments if s not in solved}
+        if " a" not in together:
+            solved.pop(" a", None)
         return solved
 
     def alone(self, segment: str) -> Aligned | None:
@@ -139,14 +174,17 @@ class Aligner:
             ids_a, ids_b = first.ids, self.second.encode(text[1:], out_type=int)
         else:
             first = self.first.encode(text, add_special_tokens=False)
-            pieces = self.second.encode(text[1:], return_type="proto").pieces
-            ids_a, ids_b = first.ids, [p.id for p in pieces]
+            pieces = [(p.id, p.begin, p.end) for p in self.second.encode(text[1:], return_type="proto").pieces]
+            ids_a, ids_b = first.ids, [i for i, _, _ in pieces]
         a, b = np.array(ids_a), np.array(ids_b)
         bytes_a, bytes_b = map(self.first_bytes.__getitem__, ids_a), map(self.second_bytes.__getitem__, ids_b)
         if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
             if len(segments) == 1:
                 return [None]
             half = len(segments) // 2
+            half += segments[half][0] != " "
+            if half == len(segments):
+                return self.many(segments[:1]) + [None]
             return self.many(segments[:half]) + self.many(segments[half:])
         decoded = np.cumsum(self.first_sizes[a]), np.cumsum(self.second_sizes[b])
         ends = decoded if plain else self.ends(data, first.offsets, pieces, decoded)
@@ -177,12 +215,12 @@ class Aligner:
             out.append((*numbers, names, pair_bytes[8 * x : 8 * y], time_bytes[4 * x : 4 * y]))
         return out
 
-    def ends(self, data: bytes, offsets: list, pieces, decoded: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    def ends(self, data: bytes, offsets: list, pieces: list[tuple[int, int, int]], decoded: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
         """The bytes where the tokens of both end, from their spans and, where these are too coarse, their decoded bytes."""
         starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
         byte_of = np.append(starts, len(data))
         spans_a = byte_of[np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)]
-        spans_b = np.array([[p.begin for p in pieces], [p.end for p in pieces]]).T + 1
+        spans_b = np.array(pieces)[:, 1:] + 1
         spans_b[0, 0] = 0
         if not self.in_bytes:
             spans_b = byte_of[spans_b]
@@ -229,6 +267,11 @@ class Aligner:
         return len(a), len(b), len(groups), n_links, names, pairs.tobytes(), times.tobytes()
 
 
+def joined(a: Aligned, b: Aligned) -> Aligned:
+    """The alignment of two parts one after the other."""
+    return a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3], f"{a[4]};{b[4]}", a[5] + b[5], a[6] + b[6]
+
+
 def lone(spans: np.ndarray) -> np.ndarray:
     """``lone_ends`` of spans as an array."""
     begins, ends = spans[:, 0], spans[:, 1]

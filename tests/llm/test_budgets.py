@@ -79,3 +79,32 @@ def test_segments_of_single_bytes_need_no_spans_of_the_library():
 
     assert {s: plain(x) for s, x in found.items()} == {s: plain(x) for s, x in want.items()}
     assert asked and not any(map(str.isascii, asked))
+
+
+def test_segments_are_put_together_from_units():
+    with open(alignment.vocabulary_path(alignment.FIRST), encoding="utf-8") as one, open(alignment.vocabulary_path(alignment.SECOND), "rb") as other:
+        files = one.read(), other.read()
+    aligner, library, lengths = alignment.Aligner(files), alignment.Aligner(files), []
+    draw = random.Random(7)
+    words = ["die", "Größe", "ñandú", "x1", "don't", "\u017fa", "日本", "ﬁ", "e\u0301", "a\u2581b"]
+    signs = [".", ",", "$$$", ".\n", "!!\n", "\n", ".com", "|", "'s", "\r\n", "\n\n", "</s>", "-", "²", "\u00a0"]
+    segments = list({" " + "".join(draw.choice(words) + draw.choice(signs) for _ in range(draw.randint(1, 3))) + draw.choice(["", "End"]) for _ in range(2_000)})
+    want = {s: library.alone(s) for s in segments}
+    many = aligner.many
+    aligner.many = lambda some: lengths.append(sum(map(len, some))) or many(some)
+
+    def plain(x):
+        return x and (*x[:5], [c.tolist() for c in alignment.of_text([x[5]], [x[6]])])
+
+    half = len(segments) // 2
+    found = aligner.solve(segments[:half]) | aligner.solve(segments[half:])  # the second finds units of the first
+    assert {s: plain(x) for s, x in found.items()} == {s: plain(x) for s, x in want.items()}
+    assert None in want.values() and sum(want[s] is not None for s in segments) > 500
+    texts = ["a" + "".join(draw.choices(segments, k=20)) for _ in range(50)]
+    whole = [w if (w := library.alone(" " + t)) is None else w[:5] for t in texts]
+    parts = [f and (*map(sum, zip(*[x[:4] for x in f])), ";".join(x[4] for x in f)) for f in aligner.align(texts)]
+    assert parts == whole
+    # words with different signs are the same units
+    lengths.clear()
+    aligner.solve([f" wort{a}{b}" for a in (",", ".", "!!", "|", "&&&", ";") for b in ("", "\nEs", "\nOf", "\nTh")])
+    assert sum(lengths) < 80
