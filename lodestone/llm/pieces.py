@@ -42,7 +42,7 @@ BLOCK = 256
 SCALE = 1 << 16
 UNKNOWN = 10
 NEVER = -(1 << 60)
-REMEMBERED = 50_000
+REMEMBERED = 100_000
 #: Longest segment that is remembered, and the number of new ones solved together.
 TOGETHER, AT_ONCE = 64, 10_000
 #: Characters of the texts whose segments are held at once, about.
@@ -151,20 +151,17 @@ class Lattice(dict):
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        new = []
-        for s in segments:
-            if s not in self and 0 < len(s) <= TOGETHER:
-                if (made := self.older.get(s)) is not None:
-                    self[s] = made
-                else:
-                    new.append(s)
+        new = {s for s in segments.difference(self) if 0 < len(s) <= TOGETHER}
+        met = new & self.older.keys()
+        self.update({s: self.older[s] for s in met})
+        new = list(new - met)
         for at in range(0, len(new), AT_ONCE):
             self.update(self.solved(new[at : at + AT_ONCE]))
 
     def solved(self, words: list[str]) -> Iterator[tuple[str, tuple[bytes, int]]]:
         """What ``path`` gives for each of many short texts."""
         sizes = np.array([len(w) for w in words])
-        chars = np.array([ord(c) for w in words for c in w])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         # position p of word w is place begin[w] + p; a word has one place more than characters
         begin = np.cumsum(sizes + 1) - (sizes + 1)
         places = np.arange(len(chars)) + np.repeat(np.arange(len(words)), sizes)
@@ -214,13 +211,13 @@ class Lattice(dict):
         raw = ids.astype(np.int32).tobytes()
         odd = np.zeros(len(words), bool)
         odd[owner[piece < 0]] = True
-        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
-        for w, a, b, strange, total in zip(words, [0, *ends], ends, odd.tolist(), best[begin + sizes].tolist()):
-            if strange:
-                each = (self.spelled(w[p]) if i < 0 else (i,) for i, p in zip(ids[a:b].tolist(), at[a:b].tolist()))
-                yield w, (np.fromiter(chain.from_iterable(each), np.int32).tobytes(), total)
-            else:
-                yield w, (raw[4 * a : 4 * b], total)
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        made = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        for i in np.nonzero(odd)[0].tolist():
+            w, a, b = words[i], ends[i - 1] // 4 if i else 0, ends[i] // 4
+            each = (self.spelled(w[p]) if x < 0 else (x,) for x, p in zip(ids[a:b].tolist(), at[a:b].tolist()))
+            made[i] = np.fromiter(chain.from_iterable(each), np.int32).tobytes()
+        yield from zip(words, zip(made, best[begin + sizes].tolist()))
 
     def spelled(self, text: str) -> list[int]:
         """The ids of a text's bytes."""

@@ -176,3 +176,16 @@ def test_grammar():
     assert grammar.score("I will kill you") > grammar.score("kill the process")
     assert grammar.score("not bad. blorp") > 0.6  # a negation does not reach over the clause
     assert 0 <= grammar.score("blorp " * 10_000) <= 1
+
+
+def test_segments_met_again_are_not_solved_again():
+    lattice, asked = pieces.Lattice(pieces.vocabulary()), []
+    solved = lattice.solved
+    lattice.solved = lambda words: asked.append(len(words)) or solved(words)
+    odd = {" 漢字", "▁x", "😀a", " naïve", "\ud800"}
+    first, other = odd | {f" a{i}" for i in range(60_000)}, {f" b{i}" for i in range(60_000)}
+    for segments in (first, other, first):
+        lattice.remember(segments)
+    assert sum(asked) == len(first) + len(other)
+    for s in sorted(odd) + [" a17", " b59999"]:
+        assert lattice[s] == lattice.path(s)
